@@ -25,10 +25,13 @@ def trip_dates(trips: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
 
 def holiday_lists(holidays: DataFrame) -> DataFrame:
     """Per date the holidays and their countries, as two aligned lists in the
-    order of the country label."""
+    order of the country label. A holiday entered twice counts once, so a list is
+    no longer than the calendars of all countries allow."""
     entry = F.struct(labelled(F.col("country"), COUNTRY_LABELS).alias("country"), "holiday_name")
     return (
-        holidays.groupBy(F.col("holiday_date").alias("date"))
+        holidays.select("country", "holiday_date", "holiday_name")
+        .distinct()
+        .groupBy(F.col("holiday_date").alias("date"))
         .agg(F.sort_array(F.collect_list(entry)).alias("entries"))
         .select(
             "date",

@@ -88,7 +88,8 @@ def lookup_join(
         return big
     if size <= limit_bytes:
         return big.join(F.broadcast(lookup), on, how)
-    slices = F.explode(F.sequence(F.lit(0), F.lit(spread - 1))).cast("bigint").alias("_slice")
+    every_slice = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
+    slices = F.explode(every_slice).alias("_slice")
     repeated = lookup.select("*", slices).alias("r")
     sliced = big.withColumn("_slice", F.monotonically_increasing_id() % spread).alias("l")
     same = reduce(and_, (F.col(f"l.{name}") == F.col(f"r.{name}") for name in [*on, "_slice"]))

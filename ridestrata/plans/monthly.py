@@ -12,6 +12,7 @@ from ridestrata.operators.conform import fact, role_union_dim, to_silver
 from ridestrata.operators.datatests import DataTest, gate, silver_tests
 from ridestrata.operators.quarantine import bad_rows, failures_long, flag
 from ridestrata.operators.repair import merge_repaired, repair_candidates
+from ridestrata.plans.ridership import MONTH_COLUMN, with_month_column
 from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months
 from ridestrata.sources.warehouse import (
     create_layers,
@@ -52,14 +53,16 @@ def ingest(
 def build_models(
     spark: SparkSession, strict: bool = True, tz: str = LOCAL_TZ
 ) -> Warehouse:
-    """Rebuild everything below ``bronze.trips``, each model from stored ones."""
+    """Rebuild everything below ``bronze.trips``, each model from stored ones. The
+    fact is partitioned by local month for queries with bounds."""
     bronze = read_model(spark, "bronze", "trips")
     flagged = flag(bronze)
     quarantined = replace_table(bad_rows(flagged), "bronze", "quarantine")
     failures = failures_long(quarantined).hint("rebalance", "failed_rule")
     replace_table(failures, "audit", "failures", ("failed_rule",))
     silver = replace_table(to_silver(flagged, tz, strict), "silver", "trips")
-    trips = replace_table(fact(silver), "gold", "fct_trips")
+    trips = with_month_column(fact(silver), tz)
+    trips = replace_table(trips, "gold", "fct_trips", (MONTH_COLUMN,))
     stations = replace_table(role_union_dim(silver), "gold", "dim_stations")
     candidates = replace_table(repair_candidates(quarantined, stations), "silver", "temp")
     return Warehouse(

@@ -13,18 +13,34 @@ from ridestrata.functions.timezones import LOCAL_TZ, in_local_dates, local_date,
 from ridestrata.plans.star import counted, top_by_dimension, with_context
 
 
+MONTH_COLUMN = "start_month"
+
+
+def with_month_column(trips: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
+    """Add the first day of the local start month, to partition a stored fact by."""
+    return trips.withColumn(MONTH_COLUMN, F.trunc(local_date(F.col("start_time"), tz), "month"))
+
+
 def scoped(
     trips: DataFrame, start: date | None = None, end: date | None = None, tz: str = LOCAL_TZ
 ) -> DataFrame:
+    """Trips of a range of local days. A fact that has the month column is cut to
+    the months of the range first, which prunes its folders."""
     if start is None and end is None:
         return trips
+    if MONTH_COLUMN in trips.columns:
+        month = F.col(MONTH_COLUMN)
+        if start is not None:
+            trips = trips.where(month >= F.lit(start.replace(day=1)))
+        if end is not None:
+            trips = trips.where(month <= F.lit(end.replace(day=1)))
     return trips.where(in_local_dates(F.col("start_time"), start, end, tz))
 
 
 def _minutes(micros: Column, rides: Column) -> Column:
-    """Mean minutes to one decimal; the sum is a decimal, for a sum of
-    microseconds can pass the range of BIGINT."""
-    return F.round(micros / (rides * 60_000_000), 1).cast("double")
+    """Mean minutes to one decimal, from decimals: sums of microseconds can pass
+    the range of BIGINT."""
+    return F.round(micros / (rides.cast("decimal(20,0)") * 60_000_000), 1).cast("double")
 
 
 def trip_range(trips: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
