@@ -1,6 +1,6 @@
 """Exact quantiles and the ride duration profile."""
 
-from math import floor
+from math import ceil, floor
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
@@ -46,12 +46,12 @@ def exact_quantiles(df: DataFrame, value: Column, shares: list[float]) -> list[f
     results = []
     for share in shares:
         place = (total - 1) * share
-        low = floor(place)
-        for rank in (low, min(low + 1, total - 1)):
+        low, high = floor(place), ceil(place)
+        for rank in (low, high):
             if rank not in found:
                 found[rank] = _value_at(histogram, rank)
-        below, above = found[low], found[min(low + 1, total - 1)]
-        results.append(below + (above - below) * (place - low))
+        step = (found[high] - found[low]) * (place - low) if high > low else 0
+        results.append(found[low] + step)
     return results
 
 

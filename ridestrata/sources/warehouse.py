@@ -26,11 +26,12 @@ def read_model(spark: SparkSession, layer: str, model: str) -> DataFrame:
 def replace_table(
     df: DataFrame, layer: str, model: str, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rebuild a table from scratch and return its scan."""
+    """Rebuild a table from scratch and return its scan. A partitioned table
+    remembers that later inserts overwrite only the partitions they hold."""
     name = table_name(layer, model)
     writer = df.write.mode("overwrite").format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -44,8 +45,7 @@ def replace_months(
     if not spark.catalog.tableExists(name):
         return replace_table(df, layer, model, partition_by)
     columns = spark.table(name).columns
-    writer = df.select(*columns).write.mode("overwrite")
-    writer.option("partitionOverwriteMode", "dynamic").insertInto(name)
+    df.select(*columns).write.insertInto(name, overwrite=True)
     return spark.table(name)
 
 
