@@ -1,33 +1,63 @@
 """Exact quantiles and the ride duration profile."""
 
+from functools import reduce
 from math import ceil, floor
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridestrata.operators.stored import store
 
-# A BIGINT is read in digits of 16 bits, most significant first.
-_SHIFTS = (48, 32, 16, 0)
+# Values are told apart by digits of 16 bits.
+_DIGIT_BITS = 16
 
 
-def _value_at(histogram: DataFrame, rank: int) -> int:
-    """The value of a 0-based rank in (value, n) rows. Each pass counts at most
-    65,536 digits, whatever the number of values."""
-    within, passed = histogram, 0
-    running = F.sum("n").over(Window.orderBy("digit"))
-    for shift in _SHIFTS:
-        digit = F.shiftright("value", shift)
-        digits = within.groupBy(digit.alias("digit")).agg(F.sum("n").alias("n"))
-        hit = (
-            digits.withColumn("running", running)
-            .where(F.col("running") > rank - passed)
-            .orderBy("digit")
-            .first()
+def _shifts(lowest: int, highest: int) -> list[int]:
+    """Digit positions, from one at which the range has at most 65,536 digits
+    down to single values."""
+    shift = 0
+    while (highest >> shift) - (lowest >> shift) >= 1 << _DIGIT_BITS:
+        shift += 1
+    return [*range(shift, 0, -_DIGIT_BITS), 0]
+
+
+def _values_at(histogram: DataFrame, ranks: set[int], lowest: int, highest: int) -> dict[int, int]:
+    """The values of 0-based ranks in (value, n) rows.
+
+    Each pass counts the rows per digit below the prefixes found so far, at most
+    65,536 for each of them, and finds the digit in which every rank lies.
+    """
+    prefix = {rank: (None, 0) for rank in ranks}
+    above = None
+    for shift in _shifts(lowest, highest):
+        digit = F.shiftright("value", shift).alias("digit")
+        within, parent = histogram, F.lit(0)
+        if above is not None:
+            wanted = sorted({found for found, _ in prefix.values()})
+            within = histogram.where(F.shiftright("value", above).isin(wanted))
+            parent = F.shiftright("digit", above - shift)
+        running = F.sum("n").over(Window.partitionBy("parent").orderBy("digit"))
+        digits = (
+            within.groupBy(digit)
+            .agg(F.sum("n").alias("n"))
+            .withColumn("parent", parent)
+            .withColumn("running", running)
         )
-        passed += hit["running"] - hit["n"]
-        within = within.where(digit == hit["digit"])
-    return hit["digit"]
+        hits = [
+            (F.col("running") > rank - passed) & (F.col("running") - F.col("n") <= rank - passed)
+            & (F.lit(True) if found is None else F.col("parent") == found)
+            for rank, (found, passed) in prefix.items()
+        ]
+        rows = digits.where(reduce(or_, hits)).collect()
+        for rank, (found, passed) in prefix.items():
+            for row in rows:
+                below = row["running"] - row["n"]
+                inside = found is None or row["parent"] == found
+                if inside and below <= rank - passed < row["running"]:
+                    prefix[rank] = (row["digit"], passed + below)
+        above = shift
+    return {rank: value for rank, (value, _) in prefix.items()}
 
 
 def exact_quantiles(df: DataFrame, value: Column, shares: list[float]) -> list[float | None]:
@@ -35,21 +65,19 @@ def exact_quantiles(df: DataFrame, value: Column, shares: list[float]) -> list[f
 
     Equal values are counted first; then the wanted ranks are found digit by
     digit, so no task ever holds all values, as an exact percentile aggregate
-    would.
+    would. Each pass returns one row per rank.
     """
     counted = df.select(value.alias("value")).dropna().groupBy("value")
     histogram = store(counted.agg(F.count("*").alias("n")), "histogram")
-    total = histogram.agg(F.sum("n")).first()[0]
+    total, lowest, highest = histogram.agg(F.sum("n"), F.min("value"), F.max("value")).first()
     if not total:
         return [None for _ in shares]
-    found: dict[int, int] = {}
+    places = [(total - 1) * share for share in shares]
+    ranks = {rank for place in places for rank in (floor(place), ceil(place))}
+    found = _values_at(histogram, ranks, lowest, highest)
     results = []
-    for share in shares:
-        place = (total - 1) * share
+    for place in places:
         low, high = floor(place), ceil(place)
-        for rank in (low, high):
-            if rank not in found:
-                found[rank] = _value_at(histogram, rank)
         step = (found[high] - found[low]) * (place - low) if high > low else 0
         results.append(found[low] + step)
     return results

@@ -9,7 +9,7 @@ some point of that cell, and each row takes the minimum over its cell's list.
 Cell distances are whole numbers, so no rounding can drop the right station.
 """
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridestrata.functions.scalars import rounded
@@ -18,7 +18,6 @@ from ridestrata.functions.spatial import (
     LNG_SCALE,
     METRES_PER_DEGREE,
     ROOT_LEVEL,
-    coarser,
     grid_index,
     on_map,
     planar_distance_m,
@@ -27,6 +26,9 @@ from ridestrata.operators.stored import lookup_join, measured_bytes, store
 
 # Edges in degrees: 512, 8, 1/8, 1/64, 1/512 (about 220 m).
 LEVELS = (ROOT_LEVEL, 3, -3, -6, -9)
+# With few cells and stations the levels between cost more than they save.
+SHORT_LEVELS = (ROOT_LEVEL, -3, -9)
+FEW_PAIRS = 200_000
 # A row cell with more stations than LONG_LIST is cut into cells of the next
 # level; the last has edges of 0.8 m.
 FINER_LEVELS = (-13, -17)
@@ -38,62 +40,59 @@ def _cell_of(df: DataFrame, level: int, lat: str, lng: str) -> DataFrame:
     return df.select(cx.alias("cx"), cy.alias("cy"))
 
 
-def _gap(low: Column, high: Column, other_low: Column, other_high: Column) -> tuple[Column, Column]:
-    """Smallest and largest distance between two intervals of whole numbers."""
-    near = F.greatest(F.lit(0), low - other_high, other_low - high)
-    far = F.greatest(high - other_low, other_high - low)
-    return near, far
-
-
 def _spanned(pairs: DataFrame, row_edge: int, station_edge: int) -> DataFrame:
     """Add ``near`` and ``far``: squared distances of the nearest and farthest
     points of a row cell (cx, cy) and a station cell (sx, sy), given their edges."""
-    near, far = F.lit(0), F.lit(0)
-    for c, s in (("cx", "sx"), ("cy", "sy")):
-        row, station = F.col(c) * row_edge, F.col(s) * station_edge
-        low, high = _gap(row, row + row_edge, station, station + station_edge)
-        near, far = near + low * low, far + high * high
-    return pairs.withColumns({"near": near, "far": far})
+    gaps = []
+    for axis in ("x", "y"):
+        row, station = f"c{axis} * {row_edge}L", f"s{axis} * {station_edge}L"
+        gaps += [
+            f"greatest(0L, {row} - {station} - {station_edge}L, {station} - {row} - {row_edge}L)"
+            f" AS near_{axis}",
+            f"greatest({row} + {row_edge}L - {station}, {station} + {station_edge}L - {row})"
+            f" AS far_{axis}",
+        ]
+    return pairs.selectExpr("*", *gaps).selectExpr(
+        *pairs.columns,
+        "near_x * near_x + near_y * near_y AS near",
+        "far_x * far_x + far_y * far_y AS far",
+    )
 
 
-def _shifted(df: DataFrame, x: str, y: str, steps: int) -> DataFrame:
-    return df.select(
-        coarser(F.col(x), steps).alias(x), coarser(F.col(y), steps).alias(y)
-    ).distinct()
+def _up(x: str, y: str, steps: int, x_name: str, y_name: str) -> list[str]:
+    """The cell's indices ``steps`` levels up, as select expressions."""
+    return [f"shiftright({x}, {steps}) AS {x_name}", f"shiftright({y}, {steps}) AS {y_name}"]
 
 
 def _descend(row_cells: DataFrame, stations: DataFrame, leaf: int) -> DataFrame:
     """(cx, cy, stn_id, lat, lng): for every row cell of level ``leaf`` the
     stations that may be nearest to a point in it."""
-    levels = [level for level in LEVELS if level > leaf] + [leaf]
+    few = row_cells.count() * stations.count() <= FEW_PAIRS
+    levels = [level for level in (SHORT_LEVELS if few else LEVELS) if level > leaf] + [leaf]
     frontier = None
     for above, level in zip([None, *levels], levels):
-        rows = _shifted(row_cells, "cx", "cy", level - leaf)
-        cells = _shifted(stations, "sx", "sy", level - FINEST_LEVEL)
+        rows = row_cells.selectExpr(*_up("cx", "cy", level - leaf, "cx", "cy")).distinct()
+        cells = stations.selectExpr(*_up("sx", "sy", level - FINEST_LEVEL, "sx", "sy")).distinct()
         if frontier is None:
             frontier = rows.join(cells, (rows.cx == cells.sx) & (rows.cy == cells.sy))
             continue
         step = above - level
-        up = {name: F.shiftright(F.col(name), step) for name in ("cx", "cy", "sx", "sy")}
-        rows = rows.select("cx", "cy", up["cx"].alias("px"), up["cy"].alias("py"))
-        cells = cells.select("sx", "sy", up["sx"].alias("qx"), up["sy"].alias("qy"))
-        parents = frontier.toDF("px", "py", "qx", "qy")
-        pairs = parents.join(cells, ["qx", "qy"]).join(rows, ["px", "py"])
+        pairs = (
+            frontier.toDF("px", "py", "qx", "qy")
+            .join(rows.selectExpr("*", *_up("cx", "cy", step, "px", "py")), ["px", "py"])
+            .join(cells.selectExpr("*", *_up("sx", "sy", step, "qx", "qy")), ["qx", "qy"])
+        )
         # A row cell meets a bounded number of station cells at each level.
-        reach = F.min("far").over(Window.partitionBy("cx", "cy"))
         frontier = (
             _spanned(pairs.select("cx", "cy", "sx", "sy"), 1, 1)
-            .withColumn("reach", reach)
+            .selectExpr("*", "min(far) OVER (PARTITION BY cx, cy) AS reach")
             .where("near <= reach")
             .select("cx", "cy", "sx", "sy")
         )
-    frontier = store(frontier, "near-cells")
+    frontier = store(frontier, "near-cells").toDF("cx", "cy", "lx", "ly")
     up = leaf - FINEST_LEVEL
-    located = stations.withColumnsRenamed({"sx": "fx", "sy": "fy"}).withColumns(
-        {"sx": F.shiftright("fx", up), "sy": F.shiftright("fy", up)}
-    )
-    pairs = frontier.join(located, ["sx", "sy"]).drop("sx", "sy")
-    spanned = _spanned(pairs.withColumnsRenamed({"fx": "sx", "fy": "sy"}), 1 << up, 1)
+    located = stations.selectExpr("*", *_up("sx", "sy", up, "lx", "ly"))
+    spanned = _spanned(frontier.join(located, ["lx", "ly"]), 1 << up, 1)
     reach = spanned.groupBy("cx", "cy").agg(F.min("far").alias("reach"))
     kept = spanned.join(reach, ["cx", "cy"]).where("near <= reach")
     return kept.select("cx", "cy", "stn_id", "lat", "lng")
