@@ -79,8 +79,10 @@ def lookup_join(
     already. An empty lookup needs no anti-join. Under ``limit_bytes`` the lookup is broadcast and the
     big side does not move. Beyond it both sides are shuffled: every lookup row
     is repeated once per slice and each big row takes one slice, so a key that
-    holds a large part of the rows is shared by ``spread`` tasks. Any slice finds
-    the same lookup row, so the slice needs no meaning of its own.
+    holds a large part of the rows is shared by ``spread`` tasks. The slice comes
+    from the row's values, so a task that is run again sends its rows to the same
+    places; copies of one row that still gather are left to adaptive execution,
+    which splits large partitions of such a join.
     """
     if size is None:
         size = measured_bytes(lookup)
@@ -91,7 +93,8 @@ def lookup_join(
     every_slice = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
     slices = F.explode(every_slice).alias("_slice")
     repeated = lookup.select("*", slices).alias("r")
-    sliced = big.withColumn("_slice", F.monotonically_increasing_id() % spread).alias("l")
+    own_slice = F.pmod(F.xxhash64(*big.columns), F.lit(spread))
+    sliced = big.withColumn("_slice", own_slice).alias("l")
     same = reduce(and_, (F.col(f"l.{name}") == F.col(f"r.{name}") for name in [*on, "_slice"]))
     joined = sliced.join(repeated.hint("merge"), same, how)
     if how in ("left_semi", "left_anti"):
