@@ -24,8 +24,11 @@ from ridestrata.functions.spatial import (
 )
 from ridestrata.operators.stored import lookup_join, measured_bytes, store
 
-# Edges in degrees: 512, 8, 1/8, 1/64, 1/512 (about 220 m).
-LEVELS = (ROOT_LEVEL, 3, -3, -6, -9)
+# Row cells have edges of 1/512 degree (about 220 m). The descent from the top
+# takes two levels at a time: a cell then meets at most 16 children of each of
+# the few cells that are near its parent.
+LEAF_LEVEL = -9
+STEP = 2
 # With few cells and stations the levels between cost more than they save.
 SHORT_LEVELS = (ROOT_LEVEL, -3, -9)
 FEW_PAIRS = 200_000
@@ -68,7 +71,8 @@ def _descend(row_cells: DataFrame, stations: DataFrame, leaf: int) -> DataFrame:
     """(cx, cy, stn_id, lat, lng): for every row cell of level ``leaf`` the
     stations that may be nearest to a point in it."""
     few = row_cells.count() * stations.count() <= FEW_PAIRS
-    levels = [level for level in (SHORT_LEVELS if few else LEVELS) if level > leaf] + [leaf]
+    every = SHORT_LEVELS if few else range(ROOT_LEVEL, leaf, -STEP)
+    levels = [level for level in every if level > leaf] + [leaf]
     frontier = None
     for above, level in zip([None, *levels], levels):
         rows = row_cells.selectExpr(*_up("cx", "cy", level - leaf, "cx", "cy")).distinct()
@@ -121,7 +125,7 @@ class StationIndex:
 
         points = points.where(on_map(F.col("lat"), F.col("lng")))
         self.levels: list[tuple[int, DataFrame, int]] = []
-        for level in (LEVELS[-1], *FINER_LEVELS):
+        for level in (LEAF_LEVEL, *FINER_LEVELS):
             cells = store(_cell_of(points, level, "lat", "lng").distinct(), "row-cells")
             found = store(_descend(cells, stations, level), "near-stations")
             last = level == FINER_LEVELS[-1]
