@@ -5,9 +5,12 @@ from collections.abc import Callable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ridestrata.llm.common import table
+from ridestrata.llm.recompression import recompression_dedup
 from ridestrata.llm.simhash import near_duplicates
+from ridestrata.llm.suffix_dedup import suffix_dedup
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -36,3 +39,15 @@ def query(function: Query) -> Query:
 @query
 def op10_simhash(spark, sf_dir):
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, seed=42, distance=3)
+
+
+@query
+def op4_suffix_dedup(spark, sf_dir):
+    cut = suffix_dedup(table(spark, sf_dir, "documents"), width=50)
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
+@query
+def op8_recompression(spark, sf_dir):
+    cut = recompression_dedup(table(spark, sf_dir, "documents"), width=20)
+    return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
