@@ -3,6 +3,8 @@
 import pytest
 
 import __spark_entry__ as entry
+from parity.duckdb_sql import ORACLE
+from parity.spark_queries import QUERIES
 from tests.compare import difference, duckdb_over
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -14,14 +16,16 @@ def connection():
 
 
 def test_every_query_has_sql():
-    assert set(entry.queries()) == set(entry.oracle_sql())
+    assert set(QUERIES) == set(ORACLE)
+    assert set(QUERIES) <= set(entry.queries())
+    assert set(ORACLE) <= set(entry.oracle_sql())
 
 
 def test_entry_returns_days(spark):
     assert entry.entry(spark).count() == 30
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query(spark, connection, name):
     result = entry.queries()[name](spark, SF_DIR)
     assert difference(result, connection, entry.oracle_sql()[name]) is None
