@@ -5,7 +5,8 @@ that depends on nothing but the window, so equal windows share an anchor at the
 same place. The work then is on anchors instead of positions:
 
 1. each anchor gets a bucket, the name of its own units, and the name of its
-   context, all units that a window holding it can reach;
+   context, all units that a window holding it can reach. Equal contexts that meet
+   in one task are settled there;
 2. sorting a bucket by context names refines it into classes of equal context.
    In a class all but the first occurrence are repeats as a whole. Buckets of one
    class need nothing more;
@@ -30,6 +31,7 @@ from ridestrata.operators.stored import lookup_join, store
 
 CROWD = 20_000
 BLOCK = 1 << 16
+TOGETHER = 500_000
 SPAN = "doc_id long, start int, stop int"
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
@@ -117,25 +119,54 @@ def _blocks(batch: pa.RecordBatch, units: Units) -> Iterator[tuple[np.ndarray, l
         yield np.array(ids, dtype=np.int64), texts
 
 
-def _anchors(docs: DataFrame, units: Units) -> DataFrame:
+def _settled(bucket, context, doc_id, at, size, within: bool):
+    """Rows of one task with those marked, by a negative size, that repeat another
+    of its rows as a whole. They are decided, so they need not meet their bucket:
+    they get a bucket of their own. A passage that very many texts share thus sends
+    one row per task to its bucket."""
+    key = name(bucket, context)
+    order = np.argsort(key, kind="stable")
+    same = key[order][1:] == key[order][:-1]
+    order = order[np.r_[same, False] | np.r_[False, same]]
+    if len(order):
+        order = order[np.lexsort((at[order], doc_id[order], key[order]))]
+        head = np.r_[True, key[order][1:] != key[order][:-1]]
+        lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
+        repeat = doc_id[order] != doc_id[lead]
+        if within:
+            repeat |= ~head
+        again = order[repeat]
+        size[again] *= -1
+        bucket[again] = name(doc_id[again].astype(np.uint64), at[again].astype(np.uint64))
+    return bucket, context, doc_id, at, size
+
+
+def _anchors(docs: DataFrame, units: Units, within: bool) -> DataFrame:
+    names = ["bucket", "context", "doc_id", "at", "size"]
+
+    def rows_of(ids: np.ndarray, texts: list[np.ndarray]) -> list[np.ndarray]:
+        array, starts = units.padded(texts)
+        windows = units.windows(array)
+        at, size, bucket = units.anchors(array, units.inside(array), units.width)
+        context = name(windows[at + size - units.width], windows[at])
+        text = np.searchsorted(starts, at, side="right") - 1
+        return [bucket, context, ids[text], at - starts[text], size]
+
+    def given(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
+        bucket, context, doc_id, at, size = _settled(*map(np.concatenate, zip(*parts)), within)
+        columns = [bucket.view(np.int64), context.view(np.int64), doc_id, at.astype(np.int32), size.astype(np.int32)]
+        return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
+
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts = []
         for batch in rows:
             for ids, texts in _blocks(batch, units):
-                array, starts = units.padded(texts)
-                windows = units.windows(array)
-                at, size, bucket = units.anchors(array, units.inside(array), units.width)
-                context = name(windows[at + size - units.width], windows[at])
-                text = np.searchsorted(starts, at, side="right") - 1
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array(bucket.view(np.int64)),
-                        pa.array(context.view(np.int64)),
-                        pa.array(ids[text]),
-                        pa.array((at - starts[text]).astype(np.int32)),
-                        pa.array(size.astype(np.int32)),
-                    ],
-                    ["bucket", "context", "doc_id", "at", "size"],
-                )
+                parts.append(rows_of(ids, texts))
+                if sum(len(part[0]) for part in parts) >= TOGETHER:
+                    yield given(parts)
+                    parts = []
+        if parts:
+            yield given(parts)
 
     return docs.select("doc_id", F.col("text").cast("binary").alias("text")).mapInArrow(
         batches, "bucket long, context long, doc_id long, at int, size int"
@@ -166,7 +197,13 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
             if not part.num_rows:
                 continue
             bucket, context, doc_id, at, size = _columns(part)
+            settled = size < 0
+            if settled.any():
+                yield row_batch(bucket[settled], ~settled[settled], [doc_id[settled], at[settled], -size[settled]])
+                bucket, context, doc_id, at, size = (x[~settled] for x in (bucket, context, doc_id, at, size))
             n = len(bucket)
+            if not n:
+                continue
             new_bucket = np.r_[last is None or bucket[0] != last[0], bucket[1:] != bucket[:-1]]
             new_class = new_bucket | np.r_[last is None or context[0] != last[1], context[1:] != context[:-1]]
             if new_bucket[0]:
@@ -361,7 +398,7 @@ def repeated_spans(
         text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
         judged = lookup_join(judged.withColumn("key", text_key), chosen.select("doc_id", "key"), ["doc_id", "key"], "left_semi")
     judged = lookup_join(judged.select("doc_id", "text"), copies, ["doc_id"], "left_anti")
-    classes = store(_classes(_anchors(judged, units), within), "classes")
+    classes = store(_classes(_anchors(judged, units, within), within), "classes")
     firsts = classes.where("bucket IS NOT NULL")
     compared = store(_compare(_contexts(judged, firsts, units), units, within, crowd), "compared")
     whole = classes.where("bucket IS NULL").select(
