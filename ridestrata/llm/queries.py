@@ -4,13 +4,16 @@ import os
 from collections.abc import Callable
 from pathlib import Path
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ridestrata.llm.bpe import coded, load_bpe
 from ridestrata.llm.common import table
 from ridestrata.llm.recompression import recompression_dedup
 from ridestrata.llm.simhash import near_duplicates
 from ridestrata.llm.suffix_dedup import suffix_dedup
+from ridestrata.llm.urls import judged, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -51,3 +54,49 @@ def op4_suffix_dedup(spark, sf_dir):
 def op8_recompression(spark, sf_dir):
     cut = recompression_dedup(table(spark, sf_dir, "documents"), width=20)
     return cut.select("doc_id", "n_words", "n_removed", F.sha2(F.encode("kept", "utf-8"), 256).alias("kept_sha256"))
+
+
+@query
+def op5_bpe(spark, sf_dir):
+    bpe = load_bpe(spark, public_tokenizers.path("byte_bpe_50k.json"))
+    return coded(table(spark, sf_dir, "documents"), bpe)
+
+
+#: The rules that the pages are judged by.
+URL_RULES = [
+    ("org", "/", "allow"),
+    ("example.org", "/es/", "block"),
+    ("example.org", "/en/1", "block"),
+    ("com", "/fr/", "allow"),
+    ("com", "/de/", "block"),
+]
+
+
+@query
+def op7_url_rules(spark, sf_dir):
+    return judged(table(spark, sf_dir, "pages"), rule_table(spark, URL_RULES))
+
+
+_RULE_VALUES = ", ".join(f"('{host}', '{path}', '{verdict}')" for host, path, verdict in URL_RULES)
+
+ORACLE["op7_url_rules"] = f"""
+WITH rules(h, p, v) AS (VALUES {_RULE_VALUES}),
+rests AS (
+  SELECT page_id, CASE WHEN strpos(url, '://') > 0 THEN substr(url, strpos(url, '://') + 3) ELSE '' END AS rest
+  FROM pages
+),
+parts AS (
+  SELECT page_id,
+         translate(regexp_extract(rest, '^[^/?#]*'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+         regexp_extract(substr(rest, length(regexp_extract(rest, '^[^/?#]*')) + 1), '^[^?#]*') AS path
+  FROM rests
+),
+addresses AS (SELECT DISTINCT host, path FROM parts),
+best AS (
+  SELECT host, path, arg_max(h || p, length(h || p)) AS rule, arg_max(v, length(h || p)) AS verdict
+  FROM addresses JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+  GROUP BY host, path
+)
+SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
+FROM parts LEFT JOIN best USING (host, path)
+"""
