@@ -1,8 +1,5 @@
 """Helpers shared by the text operators."""
 
-from collections.abc import Callable, Iterator
-from itertools import chain, islice
-
 import numpy as np
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -31,43 +28,12 @@ def bounded_sample(rows: DataFrame, label: str, per_label: int, max_chars: int)
     sample = []
     for found in eligible.groupBy(label).count().orderBy(label).limit(256).collect():
         share = min(1.0, per_label * 1.1 / found["count"])
-        bound = int((share * 2 - 1) * (2**63 - 1))
+        bound = min(int((share * 2 - 1) * 2.0**63), 2**63 - 1)
         picked = eligible.where((F.col(label) == found[label]) & (order <= bound))
         sample += picked.orderBy(order).limit(per_label).collect()
     return [row.asDict() for row in sample]
 
 
-class TokenRows(dict):
-    """Numbers tokens as they come, keeping one row of ``width`` values per token.
-
-    Looking up a token that is not known calls ``describe`` once. When the table
-    has reached ``limit`` tokens it starts anew with the next call of ``values``,
-    so memory stays bounded whatever the vocabulary."""
-
-    def __init__(self, describe: Callable[[str], tuple], width: int, limit: int = 300_000):
-        super().__init__()
-        self.describe, self.limit = describe, limit
-        self.rows = np.zeros((1024, width), dtype=np.float32)
-
-    def __missing__(self, token: str) -> int:
-        number = len(self)
-        if number == len(self.rows):
-            self.rows = np.concatenate([self.rows, np.zeros_like(self.rows)])
-        self.rows[number] = self.describe(token)
-        self[token] = number
-        return number
-
-    def values(self, tokens: list[str]) -> np.ndarray:
-        if len(self) >= self.limit:
-            self.clear()
-        known = np.fromiter(map(self.__getitem__, tokens), dtype=np.int64, count=len(tokens))
-        return self.rows[known]
-
-    def totals(self, texts: list[list[str]]) -> np.ndarray:
-        """For each list of tokens the sum of its tokens' values."""
-        return segment_sums(self.values(list(chain.from_iterable(texts))), [len(t) for t in texts])
-
-
 def segment_sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:
     """Sums of consecutive segments of these lengths, zero for empty ones."""
     lengths = np.asarray(lengths, dtype=np.int64)
@@ -79,12 +45,6 @@ def segment_sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:
     return out
 
 
-def chunks(items: list, size: int) -> Iterator[list]:
-    rest = iter(items)
-    while part := list(islice(rest, size)):
-        yield part
-
-
 def softmax(logits: np.ndarray) -> np.ndarray:
     shifted = np.exp(logits - logits.max(axis=-1, keepdims=True))
     return shifted / shifted.sum(axis=-1, keepdims=True)

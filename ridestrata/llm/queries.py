@@ -9,10 +9,13 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridestrata.llm.bpe import coded, load_bpe
-from ridestrata.llm.common import table
+from ridestrata.llm.common import in_fold, table
+from ridestrata.llm.language import identified, learn_languages
+from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
 from ridestrata.llm.simhash import near_duplicates
 from ridestrata.llm.suffix_dedup import suffix_dedup
+from ridestrata.llm.toxicity import learn_toxicity, toxicity
 from ridestrata.llm.urls import judged, rule_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -100,3 +103,39 @@ best AS (
 SELECT page_id, host, path, rule, coalesce(verdict, 'allow') AS verdict
 FROM parts LEFT JOIN best USING (host, path)
 """
+
+
+def language_model(spark, sf_dir):
+    """Learned from the rows outside the held-out fold."""
+    docs = table(spark, sf_dir, "documents")
+    return learn_languages(docs.where(~in_fold("doc_id", 5, 0)))
+
+
+@query
+def op1_language(spark, sf_dir):
+    found = identified(table(spark, sf_dir, "documents"), language_model(spark, sf_dir))
+    return found.select("doc_id", in_fold("doc_id", 5, 0).alias("held_out"), "lang_pred", "score", "rejected")
+
+
+def labelled(spark, sf_dir, label):
+    """(doc_id, text, label) of the labelled rows outside the held-out fold."""
+    labels = table(spark, sf_dir, "labels").select("doc_id", label).where(~in_fold("doc_id", 4, 2))
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return docs.join(labels, "doc_id")
+
+
+def _with_fold(scores, threshold):
+    predicted = (F.col("score") >= threshold).cast("int")
+    return scores.select("doc_id", in_fold("doc_id", 4, 2).alias("held_out"), "score", predicted.alias("predicted"))
+
+
+@query
+def op2_quality(spark, sf_dir):
+    model = learn_quality(labelled(spark, sf_dir, "quality"))
+    return _with_fold(scored(table(spark, sf_dir, "documents"), model), 0.7)
+
+
+@query
+def op6_toxicity(spark, sf_dir):
+    model = learn_toxicity(labelled(spark, sf_dir, "toxic"))
+    return _with_fold(toxicity(table(spark, sf_dir, "documents"), model), 0.3)
