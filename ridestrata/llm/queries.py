@@ -13,6 +13,7 @@ from ridestrata.llm.common import in_fold, table
 from ridestrata.llm.language import identified, learn_languages
 from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
+from ridestrata.llm.rules import ruled
 from ridestrata.llm.simhash import near_duplicates
 from ridestrata.llm.suffix_dedup import suffix_dedup
 from ridestrata.llm.toxicity import learn_toxicity, toxicity
@@ -139,3 +140,11 @@ def op2_quality(spark, sf_dir):
 def op6_toxicity(spark, sf_dir):
     model = learn_toxicity(labelled(spark, sf_dir, "toxic"))
     return _with_fold(toxicity(table(spark, sf_dir, "documents"), model), 0.3)
+
+
+@query
+def op3_quality_rules(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
+    trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
+    return ruled(docs, trusted)
