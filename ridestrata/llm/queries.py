@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from ridestrata.llm.bpe import coded, load_bpe
 from ridestrata.llm.common import in_fold, table
+from ridestrata.llm.decontaminate import leaks
 from ridestrata.llm.language import identified, learn_languages
 from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
@@ -148,3 +149,9 @@ def op3_quality_rules(spark, sf_dir):
     good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
     trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
     return ruled(docs, trusted)
+
+
+@query
+def op9_decontamination(spark, sf_dir):
+    found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return found.drop("key").distinct()

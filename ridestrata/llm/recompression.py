@@ -206,4 +206,4 @@ def recompression_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD)
 
     found = repeated_spans(docs, word_units(width), True, crowd)
     cut = with_spans(docs.select("doc_id", "text"), found, kept, CUT)
-    return cut.select("doc_id", "_cut.*")
+    return cut.select("doc_id", "_rs_cut.*")

@@ -419,12 +419,12 @@ def with_spans(
     ``out``. Other columns of ``docs`` come along."""
     spans, copies, chosen = found
     marks = spans.groupBy("doc_id").agg(
-        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_spans")
+        F.sort_array(F.collect_list(F.struct("start", "stop"))).alias("_rs_spans")
     )
-    marks = marks.join(copies.withColumn("_copy", F.lit(True)), "doc_id", "full").join(chosen, "doc_id")
-    marks = marks.select(F.col("doc_id").alias("_id"), "_spans", "_copy", F.col("key").alias("_key"))
+    marks = marks.join(copies.withColumn("_rs_copy", F.lit(True)), "doc_id", "full").join(chosen, "doc_id")
+    marks = marks.select(F.col("doc_id").alias("_rs_id"), "_rs_spans", "_rs_copy", F.col("key").alias("_rs_key"))
     text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    joined = docs.join(marks, (F.col("doc_id") == F.col("_id")) & (text_key == F.col("_key")), "left")
+    joined = docs.join(marks, (F.col("doc_id") == F.col("_rs_id")) & (text_key == F.col("_rs_key")), "left")
 
     def batches(texts: pa.Array, found: pa.Array, copies: pa.Array):
         for text, places, copy in zip(texts, found, copies):
@@ -441,7 +441,7 @@ def with_spans(
         return pa.array([dict(zip(names, row)) for row in rows], type=pa_type)
 
     body = F.col("text").cast("string").cast("binary")
-    cut_column = cut(body, F.col("_spans"), F.col("_copy")).alias("_cut")
+    cut_column = cut(body, F.col("_rs_spans"), F.col("_rs_copy")).alias("_rs_cut")
     return joined.select(*[F.col(f"`{c}`") for c in docs.columns], cut_column)
 
 

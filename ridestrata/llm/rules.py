@@ -53,17 +53,17 @@ def _repeat_words(words: Column, width: int) -> Column:
     return F.when(F.size(words) <= width, F.lit(0).cast("long")).when(suspect, exact).otherwise(F.lit(0).cast("long"))
 
 
-def with_base_rules(docs: DataFrame, words: str = "_words") -> DataFrame:
+def with_base_rules(docs: DataFrame, words: str = "_rs_words") -> DataFrame:
     """``docs`` (doc_id, text) with the counts of the base rules and the words."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", text.alias("_text"), words_of(F.col("text")).alias(words))
-    lines = F.filter(F.split("_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
+    split = docs.select("doc_id", text.alias("_rs_text"), words_of(F.col("text")).alias(words))
+    lines = F.filter(F.split("_rs_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     counted = split.select(
         "doc_id",
         words,
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
-        F.regexp_count("_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
+        F.regexp_count("_rs_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         _let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines"),
         _repeat_words(F.col(words), 5).alias("n_repeat_words"),
     )
@@ -113,13 +113,13 @@ def ruled(
     listed = table.agg(F.sort_array(F.collect_list(F.struct("place", "ratio"))).alias("rows"))
     weights = store(listed.select(F.col("rows.ratio").alias("weights")), "weights").scalar()
     marked = with_base_rules(docs.select("doc_id", F.col("text").cast("string").alias("text")))
-    weighted = marked.withColumn("_weights", weights)
+    weighted = marked.withColumn("_rs_weights", weights)
     total = F.aggregate(
-        _places(F.col("_words"), buckets),
+        _places(F.col("_rs_words"), buckets),
         F.lit(0.0),
-        lambda acc, place: acc + F.get(F.col("_weights"), place),
+        lambda acc, place: acc + F.get(F.col("_rs_weights"), place),
     )
     score = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words"))).otherwise(F.lit(0.0))
     scored = weighted.withColumn("score", score)
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    return scored.withColumn("kept", kept).drop("_words", "_weights")
+    return scored.withColumn("kept", kept).drop("_rs_words", "_rs_weights")

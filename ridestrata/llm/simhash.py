@@ -306,16 +306,16 @@ def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataF
     keeps = store(keeps, "kept-ids")
     if keeps.where("copies > 1 AND doc_id IS NOT NULL").limit(1).count():
         place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-        numbered = docs.withColumn("_place", F.when(F.col("doc_id").isNotNull(), place).otherwise(1))
-        docs = numbered.where("_place = 1").drop("_place")
+        numbered = docs.withColumn("_rs_place", F.when(F.col("doc_id").isNotNull(), place).otherwise(1))
+        docs = numbered.where("_rs_place = 1").drop("_rs_place")
     ids = keeps.where("doc_id IS NOT NULL").select("doc_id")
     kept = lookup_join(docs, ids, ["doc_id"], "left_semi")
     # An id-less row stays only if its own group has no id.
     if keeps.where("doc_id IS NULL").limit(1).count():
-        lone = found.where("component_id IS NULL").select(F.col("fingerprint").alias("_fp")).distinct()
+        lone = found.where("component_id IS NULL").select(F.col("fingerprint").alias("_rs_fp")).distinct()
         idless = docs.where("doc_id IS NULL")
-        marked = idless.withColumn("_fp", _hex_fingerprint(shingle)("text"))
-        kept = kept.unionByName(marked.join(lone, "_fp", "left_semi").drop("_fp"))
+        marked = idless.withColumn("_rs_fp", _hex_fingerprint(shingle)("text"))
+        kept = kept.unionByName(marked.join(lone, "_rs_fp", "left_semi").drop("_rs_fp"))
     return kept
 
 

@@ -72,7 +72,7 @@ CUT = T.StructType(
 
 
 def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
-    """``docs`` with a column ``_cut`` (n_bytes, n_removed, n_spans, kept): each text
+    """``docs`` with a column ``_rs_cut`` (n_bytes, n_removed, n_spans, kept): each text
     without the bytes covered by a string of ``width`` bytes that also starts in a
     text with a smaller doc_id.
 
@@ -96,7 +96,7 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) ->
 def suffix_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
     """One row per row of ``docs``: doc_id, the counts, and the bytes kept."""
     cut = without_repeats(docs.select("doc_id", "text"), width, crowd)
-    return cut.select("doc_id", "_cut.*")
+    return cut.select("doc_id", "_rs_cut.*")
 
 
 def with_kept_text(docs: DataFrame, width: int = WIDTH) -> DataFrame:
@@ -108,8 +108,8 @@ def with_kept_text(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     def whole_characters(bodies: pd.Series) -> pd.Series:
         return bodies.map(lambda body: None if body is None else bytes(body).decode(errors="ignore"))
 
-    kept = F.col("_cut.kept")
-    text = F.when(F.col("_cut.n_removed") > 0, whole_characters(kept)).otherwise(F.col("text"))
+    kept = F.col("_rs_cut.kept")
+    text = F.when(F.col("_rs_cut.n_removed") > 0, whole_characters(kept)).otherwise(F.col("text"))
     cut = without_repeats(docs, width).withColumn("text", text)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
