@@ -19,6 +19,7 @@ from ridestrata.llm.simhash import near_duplicates
 from ridestrata.llm.suffix_dedup import suffix_dedup
 from ridestrata.llm.toxicity import learn_toxicity, toxicity
 from ridestrata.llm.urls import judged, rule_table
+from ridestrata.operators.stored import lookup_join, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -146,9 +147,9 @@ def op6_toxicity(spark, sf_dir):
 @query
 def op3_quality_rules(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
-    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id")
-    trusted = docs.select("doc_id", "text").join(good, "doc_id", "left_semi")
-    return ruled(docs, trusted)
+    good = table(spark, sf_dir, "labels").where("quality = 1").select("doc_id").distinct()
+    good = store(good.withColumn("trusted", F.lit(True)), "trusted")
+    return ruled(lookup_join(docs.select("doc_id", "text"), good, ["doc_id"]))
 
 
 @query

@@ -80,18 +80,15 @@ def _places(words: Column, buckets: int) -> Column:
     return F.concat(whole, ends)
 
 
-def ratios(corpus: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> DataFrame:
-    """(place, ratio): the log-likelihood ratio of each of the ``buckets`` places, from
-    all n-grams of both tables, each count raised by one half. Counts are summed before
-    the shuffle, and the table has one row per place whatever the data."""
-
-    def counts(docs: DataFrame, name: str) -> DataFrame:
-        places = docs.select(F.explode(_places(words_of(F.col("text")), buckets)).alias("place"))
-        return places.groupBy("place").agg(F.count("*").alias(name))
-
-    every = corpus.sparkSession.range(buckets).select(F.col("id").cast("int").alias("place"))
-    both = every.join(counts(trusted, "t"), "place", "left").join(counts(corpus, "c"), "place", "left")
-    both = store(both.na.fill(0), "places")
+def ratios(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    """(place, ratio): the log-likelihood ratio of each of the ``buckets`` places between
+    the ``trusted`` texts of ``docs`` (text, trusted) and all of them, from all n-grams,
+    each count raised by one half. Both are counted in one pass and summed before the
+    shuffle; the table has one row per place whatever the data."""
+    places = docs.select("trusted", F.explode(_places(words_of(F.col("text")), buckets)).alias("place"))
+    counts = places.groupBy("place").agg(F.count_if("trusted").alias("t"), F.count("*").alias("c"))
+    every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("place"))
+    both = store(every.join(counts, "place", "left").na.fill(0), "places")
     total = both.agg(F.sum("t").alias("t_all"), F.sum("c").alias("c_all"))
     share = lambda n, whole: (F.col(n) + 0.5) / (F.col(whole) + 0.5 * buckets)
     return both.withColumns(
@@ -99,16 +96,15 @@ def ratios(corpus: DataFrame, trusted: DataFrame, buckets: int = BUCKETS) -> Dat
     ).select("place", F.log(share("t", "t_all") / share("c", "c_all")).alias("ratio"))
 
 
-def ruled(
-    docs: DataFrame, trusted: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS
-) -> DataFrame:
-    """doc_id, counts, base_failed, score and kept per row of ``docs`` (doc_id, text).
+def ruled(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS) -> DataFrame:
+    """doc_id, counts, base_failed, score and kept per row of ``docs`` (doc_id, text,
+    trusted).
 
-    ``trusted`` (text) are the target texts. A null text has no words and fails the base
+    ``trusted`` marks the target texts; null is false. A null text has no words and fails the base
     rules, with score 0. Repeated rows come back repeated, an empty table gives no rows;
-    without trusted texts every ratio is that of an even multinomial. Other columns than
-    doc_id and text are not read."""
-    table = store(ratios(docs, trusted, buckets), "ratios")
+    without trusted texts every ratio is that of an even multinomial. Other columns are not
+    read."""
+    table = store(ratios(docs, buckets), "ratios")
     # The table has ``buckets`` rows, so as one array it has a bound of its own.
     listed = table.agg(F.sort_array(F.collect_list(F.struct("place", "ratio"))).alias("rows"))
     weights = store(listed.select(F.col("rows.ratio").alias("weights")), "weights").scalar()
