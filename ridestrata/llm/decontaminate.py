@@ -22,7 +22,7 @@ from ridestrata.operators.stored import lookup_join, store
 
 MATCH = 5
 COVERAGE = 0.6
-FILTER_BITS = 22  #: the bitmap of seeds has two to this many bits, whatever the data
+FILTER_BITS = 25  #: the bitmap of seeds has two to this many bits, whatever the data
 WORDS = re.compile(r"\w+")
 _MODULUS, _BASE = (1 << 61) - 1, 1_000_003
 
