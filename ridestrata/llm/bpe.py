@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE = 300_000
+CACHE = 500_000  #: stretches and pieces that a worker remembers
 
 #: The white space of Unicode, and the pieces of byte-level BPE.
 WHITE = "\t-\r \x85\xa0  -     　"
@@ -43,70 +43,82 @@ class ByteBpe:
         self.strings = {str(number): bytes(as_byte[c] for c in token) for token, number in vocabulary.items()}
         self.strings |= {str(number): token.encode() for token, number in added.items()}
         self.byte_ids = [vocabulary.get(c, -1) for _, c in sorted(byte_characters().items())]
-        self.pairs = {
-            (vocabulary[a], vocabulary[b]): (rank, vocabulary[a + b]) for rank, (a, b) in enumerate(merges)
-        }
+        # Merges by rank: the pair of ids as one number, and the id that they make.
+        self.ranks = {vocabulary[a] << 32 | vocabulary[b]: rank for rank, (a, b) in enumerate(merges)}
+        self.made = [vocabulary[a + b] for a, b in merges]
         self.added = added
-        self._cache: dict[str, str] = {}
         self._compile()
 
     def _compile(self) -> None:
+        self._known_chunks: dict[str, str] = {}
+        self._known_pieces: dict[str, str] = {}
         longest_first = sorted(self.added, key=len, reverse=True)
         self._added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
         self._chunks = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self._pieces = regex.compile(PIECES)
 
     def __getstate__(self):
-        return {name: self.__dict__[name] for name in ("strings", "byte_ids", "pairs", "added")}
+        return {name: self.__dict__[name] for name in ("strings", "byte_ids", "ranks", "made", "added")}
 
     def __setstate__(self, state):
         self.__dict__ |= state
-        self._cache = {}
         self._compile()
 
     def merge(self, piece: bytes) -> list[int]:
-        """Ids of one piece."""
+        """Ids of one piece. A queue entry is a rank and a place in one number; it is
+        stale if the symbols there no longer make a pair of that rank."""
         ids = [self.byte_ids[byte] for byte in piece]
-        n = len(ids)
-        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
-        pairs, queue = self.pairs, []
+        n, rank_of, made = len(ids), self.ranks.get, self.made
+        queue = []
         for i in range(n - 1):
-            found = pairs.get((ids[i], ids[i + 1]))
-            if found:
-                queue.append((found[0], i, ids[i], ids[i + 1], found[1]))
+            rank = rank_of(ids[i] << 32 | ids[i + 1])
+            if rank is not None:
+                queue.append(rank << 32 | i)
+        if not queue:
+            return ids
         heapq.heapify(queue)
+        before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            _, i, left, right, made = heapq.heappop(queue)
-            j = after[i] if ids[i] == left else n
-            if j >= n or ids[j] != right:
-                continue  # stale: one of the two has been merged since
-            ids[i], ids[j] = made, -2
-            after[i] = after[j]
-            if after[j] < n:
-                before[after[j]] = i
-            for a in (before[i], i):
-                b = after[a] if a >= 0 else n
-                if b < n:
-                    found = pairs.get((ids[a], ids[b]))
-                    if found:
-                        heapq.heappush(queue, (found[0], a, ids[a], ids[b], found[1]))
-        return [number for number in ids if number != -2]
+            entry = heapq.heappop(queue)
+            rank, i = entry >> 32, entry & 0xFFFFFFFF
+            j = after[i]
+            if ids[i] < 0 or j >= n or rank_of(ids[i] << 32 | ids[j]) != rank:
+                continue
+            ids[i], ids[j] = made[rank], -1
+            after[i] = j = after[j]
+            if j < n:
+                before[j] = i
+                rank = rank_of(ids[i] << 32 | ids[j])
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | i)
+            h = before[i]
+            if h >= 0:
+                rank = rank_of(ids[h] << 32 | ids[i])
+                if rank is not None:
+                    heapq.heappush(queue, rank << 32 | h)
+        return [number for number in ids if number >= 0]
+
+    def _piece(self, piece: str) -> str:
+        return self._remembered(self._known_pieces, piece, ",".join(map(str, self.merge(piece.encode()))))
 
     def _chunk(self, chunk: str) -> str:
         """Ids of a stretch without inner white space, or of white space alone, joined
         by commas. Pieces do not reach over the ends of such a stretch."""
-        ids = [number for piece in self._pieces.findall(chunk) for number in self.merge(piece.encode())]
-        joined = ",".join(map(str, ids))
-        if len(chunk) <= 64:
-            if len(self._cache) >= CACHE:
-                self._cache.clear()
-            self._cache[chunk] = joined
-        return joined
+        known = self._known_pieces.get
+        ids = ",".join([known(piece) or self._piece(piece) for piece in self._pieces.findall(chunk)])
+        return self._remembered(self._known_chunks, chunk, ids)
+
+    def _remembered(self, known: dict[str, str], text: str, ids: str) -> str:
+        if len(text) <= 64:
+            if len(known) >= CACHE:
+                known.clear()
+            known[text] = ids
+        return ids
 
     def encode_joined(self, text: str) -> str:
         """The ids of a text in decimal, joined by commas."""
         parts = self._added.split(text) if self._added else [text]
-        known, out = self._cache.get, []
+        known, out = self._known_chunks.get, []
         for number, part in enumerate(parts):
             if number % 2:
                 out.append(str(self.added[part]))
