@@ -10,7 +10,6 @@ identifiers of all later and earlier offsets that a window can reach
 (``ridestrata.llm.repeats``)."""
 
 import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -71,10 +70,11 @@ CUT = T.StructType(
 )
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, whole: bool = False) -> DataFrame:
     """``docs`` with a column ``_rs_cut`` (n_bytes, n_removed, n_spans, kept): each text
     without the bytes covered by a string of ``width`` bytes that also starts in a
-    text with a smaller doc_id.
+    text with a smaller doc_id. With ``whole``, a character of which a byte goes is left
+    out of ``kept`` altogether.
 
     Null texts count as empty. Repeated rows get the same result each. Rows without
     doc_id are left whole and cover nothing. Of different texts under one doc_id one
@@ -87,8 +87,11 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) ->
             return n, n, 1, b""
         starts, stops = merged(starts, stops, n)
         cuts = [0, *np.stack([starts, stops], axis=1).ravel().tolist(), n]
-        left = b"".join(text[a:b] for a, b in zip(cuts[::2], cuts[1::2]))
-        return n, n - len(left), len(starts), left
+        parts = [text[a:b] for a, b in zip(cuts[::2], cuts[1::2])]
+        removed = n - sum(map(len, parts))
+        if whole:
+            parts = [part.decode(errors="ignore").encode() for part in parts]
+        return n, removed, len(starts), b"".join(parts)
 
     return with_spans(docs, repeated_spans(docs, byte_units(width), False, crowd), kept, CUT)
 
@@ -104,13 +107,9 @@ def with_kept_text(docs: DataFrame, width: int = WIDTH) -> DataFrame:
     character of which a byte was removed goes as a whole; null texts stay null."""
 
 
-    @F.pandas_udf(T.StringType())
-    def whole_characters(bodies: pd.Series) -> pd.Series:
-        return bodies.map(lambda body: None if body is None else bytes(body).decode(errors="ignore"))
-
-    kept = F.col("_rs_cut.kept")
-    text = F.when(F.col("_rs_cut.n_removed") > 0, whole_characters(kept)).otherwise(F.col("text"))
-    cut = without_repeats(docs, width).withColumn("text", text)
+    kept = F.col("_rs_cut.kept").cast("string")
+    text = F.when(F.col("_rs_cut.n_removed") > 0, kept).otherwise(F.col("text"))
+    cut = without_repeats(docs, width, whole=True).withColumn("text", text)
     if "n_chars" in docs.columns:
         cut = cut.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
     return cut.select(*docs.columns)
