@@ -74,7 +74,7 @@ def role_union_dim(
     """One row per key (the first of ``names``) seen in any role.
 
     Of several versions of a key the smallest is kept, compared column by column
-    with NULLs last. Spark cuts the ranking to one row per key in every task before
+    with NULLs last. Equal rows collapse first, so few are ranked; Spark cuts the ranking to one row per key in every task before
     the shuffle, so a hot key does not gather in one task.
     """
     key, *versions = names
@@ -83,6 +83,7 @@ def role_union_dim(
     return (
         in_roles(df, roles, names)
         .where(F.col(key).isNotNull())
+        .distinct()
         .withColumn("_rank", F.row_number().over(first))
         .where("_rank = 1")
         .drop("_rank")

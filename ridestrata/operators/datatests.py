@@ -83,6 +83,11 @@ def silver_tests(
     ]
 
 
+def not_empty(df: DataFrame) -> DataFrame:
+    """One row if the table has none."""
+    return df.limit(1).agg(F.count("*").alias("rows")).where("rows = 0")
+
+
 def failing(tests: list[DataTest]) -> list[str]:
     """Names of the tests that have failures, found in one job."""
     found = [t.failures.limit(1).select(F.lit(t.name).alias("test")) for t in tests]

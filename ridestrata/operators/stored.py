@@ -9,7 +9,7 @@ keys of the big side spread over several tasks.
 
 import tempfile
 from functools import reduce
-from operator import add, and_
+from operator import add, and_, or_
 from uuid import uuid4
 
 from pyspark.sql import DataFrame, SparkSession
@@ -18,6 +18,7 @@ from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 SPREAD = 32
+CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 _local_scratch: list[str] = []
 
@@ -41,9 +42,17 @@ def scratch_path(spark: SparkSession, label: str) -> str:
 
 def store(df: DataFrame, label: str) -> DataFrame:
     """Write a table to the shared folder and read it back: cuts the lineage,
-    survives lost executors, and gives the planner its real size."""
+    survives lost executors, and gives the planner its real size. The shuffle files
+    of the write are of no more use and go with it, without waiting for the driver's
+    garbage collection."""
     path = scratch_path(df.sparkSession, label)
-    df.write.parquet(path)
+    conf = df.sparkSession.conf
+    before = conf.get(CLEANUP, "false")
+    conf.set(CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        conf.set(CLEANUP, before)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
@@ -82,7 +91,8 @@ def lookup_join(
     holds a large part of the rows is shared by ``spread`` tasks. The slice comes
     from the row's values, so a task that is run again sends its rows to the same
     places; copies of one row that still gather are left to adaptive execution,
-    which splits large partitions of such a join.
+    which splits large partitions of such a join. Rows with a NULL key match nothing
+    and are spread over all tasks.
     """
     if size is None:
         size = measured_bytes(lookup)
@@ -93,7 +103,8 @@ def lookup_join(
     every_slice = F.sequence(F.lit(0).cast("bigint"), F.lit(spread - 1).cast("bigint"))
     slices = F.explode(every_slice).alias("_slice")
     repeated = lookup.select("*", slices).alias("r")
-    own_slice = F.pmod(F.xxhash64(*big.columns), F.lit(spread))
+    row, no_key = F.xxhash64(*big.columns), reduce(or_, (F.col(name).isNull() for name in on))
+    own_slice = F.when(no_key, row).otherwise(F.pmod(row, F.lit(spread)))
     sliced = big.withColumn("_slice", own_slice).alias("l")
     same = reduce(and_, (F.col(f"l.{name}") == F.col(f"r.{name}") for name in [*on, "_slice"]))
     joined = sliced.join(repeated.hint("merge"), same, how)

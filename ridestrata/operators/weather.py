@@ -1,5 +1,8 @@
 """Daily weather rows from responses that hold one positional array per variable."""
 
+from functools import reduce
+from operator import or_
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -28,8 +31,12 @@ def arrays_to_rows(df: DataFrame, keys: list[str], arrays: list[Column]) -> Data
 
 
 def weather_daily(responses: DataFrame) -> DataFrame:
-    """(latitude, longitude) and the daily columns, for every location."""
+    """(latitude, longitude) and the daily columns, for every location. An array that
+    is longer or shorter than the span of its response is an error."""
     steps = time_steps(F.col("time"), F.col("time_end"), F.col("interval_s"))
+    uneven = reduce(or_, (F.size(name) != F.size(steps) for name in WEATHER_VARIABLES))
+    message = F.lit("a weather variable has another number of values than its response has steps")
+    steps = F.when(uneven, F.raise_error(message).cast("array<bigint>")).otherwise(steps)
     rows = arrays_to_rows(
         responses.withColumn("step", steps),
         ["latitude", "longitude"],

@@ -9,11 +9,11 @@ from pyspark.sql import functions as F
 from ridestrata.functions.timezones import LOCAL_TZ
 from ridestrata.operators.calendar import date_dim, trip_dates
 from ridestrata.operators.conform import fact, role_union_dim, to_silver
-from ridestrata.operators.datatests import DataTest, gate, silver_tests
+from ridestrata.operators.datatests import DataTest, gate, not_empty, silver_tests
 from ridestrata.operators.quarantine import bad_rows, failures_long, flag
 from ridestrata.operators.repair import merge_repaired, repair_candidates
 from ridestrata.plans.ridership import MONTH_COLUMN, with_month_column
-from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months
+from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months, require_files
 from ridestrata.sources.warehouse import (
     create_layers,
     read_model,
@@ -41,8 +41,10 @@ def ingest(
     keep_other_months: bool = False,
 ) -> DataFrame:
     """Load months into ``bronze.trips``. The table is replaced as a whole, or,
-    with ``keep_other_months``, only in the months that are read."""
+    with ``keep_other_months``, only in the months that are read. A month without
+    files is an error, raised before anything is replaced."""
     folders = [month_folder(root, year, month) for year, month in months]
+    require_files(spark, folders, "*.zip" if zipped else "*.csv")
     read = read_trip_archives if zipped else read_trip_csv_months
     trips = read(spark, folders)
     if keep_other_months:
@@ -72,7 +74,11 @@ def build_models(
         stations,
         trips,
         candidates,
-        silver_tests(silver, stations, quarantined, bronze),
+        [
+            *silver_tests(silver, stations, quarantined, bronze),
+            DataTest("bronze_not_empty", not_empty(bronze)),
+            DataTest("silver_not_empty", not_empty(silver)),
+        ],
     )
 
 

@@ -87,7 +87,8 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
     """Rows of all CSV members of zip files given as (path, content).
 
     One zip is opened by one task, since a zip cannot be split; its rows leave
-    the task block by block, as text columns found by their names.
+    the task block by block, as text columns found by their names. A zip without a
+    CSV member, or a member with other columns than the schema's, is an error.
     """
     names = TRIPS_RAW.names
     block_bytes = _BLOCK_BYTES
@@ -95,23 +96,30 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
     # Nested, so that workers get it by value and need no copy of this package.
     def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         as_text = csv.ConvertOptions(
-            include_columns=names,
             column_types={name: pa.string() for name in names},
             strings_can_be_null=False,
         )
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 archive = zipfile.ZipFile(BytesIO(content.as_py()))
-                for member in archive.namelist():
-                    if not member.lower().endswith(".csv") or member.startswith("__MACOSX/"):
-                        continue
+                members = [
+                    member
+                    for member in archive.namelist()
+                    if member.lower().endswith(".csv") and not member.startswith("__MACOSX/")
+                ]
+                if not members:
+                    raise ValueError(f"no CSV file in {path.as_py()}")
+                for member in members:
                     blocks = csv.open_csv(
                         pa.PythonFile(archive.open(member), mode="r"),
                         read_options=csv.ReadOptions(block_size=block_bytes),
                         parse_options=csv.ParseOptions(newlines_in_values=True),
                         convert_options=as_text,
                     )
+                    if sorted(blocks.schema.names) != sorted(names):
+                        raise ValueError(f"{member} in {path.as_py()} has columns {blocks.schema.names}")
                     for block in blocks:
+                        block = block.select(names)
                         paths = pa.array([path.as_py()] * block.num_rows, pa.string())
                         yield pa.RecordBatch.from_arrays(
                             [paths, *block.columns], names=["path", *names]
@@ -121,6 +129,16 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
     return typed_trips(raw)
 
 
+def require_files(spark: SparkSession, folders: Iterable[str], pattern: str) -> None:
+    """Raise unless every month folder holds a file of this pattern."""
+    wanted = list(folders)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", pattern).load(wanted)
+    found = {tuple(row) for row in with_month(files.select("path")).select("year", "month").distinct().collect()}
+    empty = [f for f in wanted if tuple(map(int, f.rstrip("/").split("/")[-2:])) not in found]
+    if empty:
+        raise FileNotFoundError(f"no {pattern} in {', '.join(empty)}")
+
+
 def read_trip_archives(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
     """Trips of the zip files in month folders, with ``year`` and ``month``."""
     archives = (

@@ -1,5 +1,6 @@
 """Layered warehouse tables: names, sinks, scans and SQL."""
 
+import re
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
@@ -81,7 +82,7 @@ def run_sql_file(spark: SparkSession, path: str, **binds) -> DataFrame | None:
     """All statements of a file, each ended by a semicolon at the end of a line;
     returns the last result."""
     result = None
-    for statement in (Path(path).read_text() + "\n").split(";\n"):
+    for statement in re.split(r";[ \t]*\r?\n", Path(path).read_text() + "\n"):
         if statement.strip():
             result = run_sql(spark, statement, **binds)
     return result

@@ -52,3 +52,18 @@ def test_spread_plan_shuffles_and_small_plan_does_not(sides, capsys):
 
 def test_scratch_is_the_folder_of_the_session(spark):
     assert scratch_folder(spark) == spark.conf.get("spark.checkpoint.dir")
+
+
+def test_rows_without_key_are_spread(spark):
+    big = spark.range(20_000).select(F.when(F.col("id") % 10 == 0, F.col("id")).alias("k"), F.col("id").alias("v"))
+    lookup = store(spark.range(100).select(F.col("id").alias("k"), F.lit(1).alias("n")), "keys")
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    spark.conf.set("spark.sql.shuffle.partitions", "64")
+    try:
+        joined = lookup_join(big, lookup, ["k"], limit_bytes=0, spread=4)
+        sizes = joined.groupBy(F.spark_partition_id()).count().collect()
+        assert joined.count() == 20_000 and len(sizes) == 64
+        assert max(row["count"] for row in sizes) < 3 * 20_000 / 64
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

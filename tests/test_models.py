@@ -234,3 +234,11 @@ def test_holiday_effect(trips, spark):
     off = spark.createDataFrame([("US", date(2024, 1, 11), "Day off")], HOLIDAYS)
     effect = ridership.holiday_effect(trips, date_dim(trip_dates(trips), off))
     assert sorted(cells(effect, "day_kind", "avg_trips", "days")) == [("Holiday", 2.0, 1), ("Ordinary", 2.0, 2)]
+
+
+def test_weather_of_uneven_length_fails(spark, tmp_path):
+    import json
+
+    (tmp_path / "r.json").write_text(json.dumps(weather_row(rain_sum=[1.0, 2.0, 3.0])))
+    with pytest.raises(Exception, match="another number of values"):
+        weather_daily(read_weather(spark, [str(tmp_path)])).collect()

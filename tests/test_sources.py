@@ -126,3 +126,15 @@ def test_replay_loads_each_file_once(spark, tmp_path):
     loaded = spark.read.parquet(str(table))
     assert ids(loaded) == ["a", "b", "c"]
     assert loaded.where(F.col("month") == 2).count() == 1
+
+
+def test_zip_without_csv_and_extra_column_fail(spark, tmp_path):
+    land(tmp_path, 2024, 1, csv_text(line() + ",1", header=HEADER + ",more"))
+    with pytest.raises(Exception, match="has columns"):
+        read_trip_archives(spark, [month_folder(str(tmp_path), 2024, 1)]).collect()
+    folder = tmp_path / "2024" / "02"
+    folder.mkdir()
+    with zipfile.ZipFile(folder / "a.zip", "w") as archive:
+        archive.writestr("readme.txt", "junk")
+    with pytest.raises(Exception, match="no CSV file"):
+        read_trip_archives(spark, [month_folder(str(tmp_path), 2024, 2)]).collect()

@@ -155,3 +155,19 @@ def test_bounds_prune_the_stored_fact(spark, layers, capsys):
     assert "GreaterThanOrEqual(start_time,2024-01-01 05:00:00.0)" in plan
     assert "LessThan(start_time,2024-02-01 05:00:00.0)" in plan
     assert "ride_id" not in plan.split("ReadSchema")[1]
+
+
+def test_an_empty_month_replaces_nothing(spark, layers, tmp_path):
+    land(tmp_path, 2024, 1, csv_text(line()))
+    ingest(spark, str(tmp_path), [(2024, 1)])
+    (tmp_path / "2024" / "02").mkdir()
+    for keep in (False, True):
+        with pytest.raises(FileNotFoundError, match="2024/02"):
+            ingest(spark, str(tmp_path), [(2024, 1), (2024, 2)], keep_other_months=keep)
+    assert wh.read_model(spark, "bronze", "trips").count() == 1
+
+
+def test_sql_file_with_other_line_ends(spark, tmp_path):
+    file = tmp_path / "two.sql"
+    file.write_bytes(b"SELECT 1 AS a;  \r\nSELECT 2 AS a;\r\n")
+    assert wh.run_sql_file(spark, str(file)).first()["a"] == 2
