@@ -110,7 +110,7 @@ class ByteBpe:
 
     def _remembered(self, known: dict[str, str], text: str, ids: str) -> str:
         if len(text) <= 64:
-            if len(known) >= CACHE:
+            if len(known) >= (CACHE if known is self._known_chunks else CACHE // 2):
                 known.clear()
             known[text] = ids
         return ids
