@@ -96,6 +96,7 @@ part(
     f"SELECT *, ({failing(list(RULES))}) AS is_bad, {rule_names(list(RULES))} AS failed_rules FROM trips",
 )
 part("bad", "flagged", "SELECT * EXCLUDE (is_bad) FROM flagged WHERE is_bad")
+part("bad_rows", "bad", "SELECT row_number() OVER () AS n, * FROM bad")
 
 
 def conformed(source: str) -> str:
@@ -183,37 +184,39 @@ part("date_dim", "dates lists", date_table("holiday_count IS NOT NULL"))
 
 
 def snapped(side: str) -> str:
+    """Every row on its own: a missing id leaves a row out, a blank or repeated one does not."""
     return f"""
-    SELECT ride_id, stn_id, CAST(CAST(dist * 111000 AS DECIMAL(18, 0)) AS DOUBLE) AS metres
-    FROM (SELECT b.ride_id, d.stn_id,
-                 sqrt(pow(b.{side}_lat - d.lat, 2) + pow((b.{side}_lng - d.lng) * 0.778, 2)) AS dist
-          FROM bad AS b, dim AS d
-          WHERE b.{side}_station_id IS NULL AND trim(b.ride_id) <> ''
-            AND b.{side}_lat IS NOT NULL AND b.{side}_lng IS NOT NULL
-            AND d.lat IS NOT NULL AND d.lng IS NOT NULL)
-    QUALIFY row_number() OVER (PARTITION BY ride_id ORDER BY dist, stn_id) = 1
+    SELECT p.n, arg_min(d.stn_id, (dist, d.stn_id)) AS stn_id,
+           CAST(CAST(min(dist) * 111000 AS DECIMAL(18, 0)) AS DOUBLE) AS metres
+    FROM (SELECT n, {side}_lat AS lat, {side}_lng AS lng FROM bad_rows
+          WHERE {side}_station_id IS NULL AND ride_id IS NOT NULL) AS p
+    CROSS JOIN dim AS d
+    CROSS JOIN LATERAL (SELECT sqrt(pow(p.lat - d.lat, 2) + pow((p.lng - d.lng) * 0.778, 2)) AS dist)
+    WHERE dist IS NOT NULL
+    GROUP BY p.n
+    """
+
+
+part("near_start", "bad_rows dim", snapped("start"))
+part("near_end", "bad_rows dim", snapped("end"))
+
+
+def repaired(side: str) -> str:
+    return f"""
+    CASE WHEN {side}_station_id IS NOT NULL THEN {side}_station_id
+         WHEN near_{side}.metres <= 50 THEN near_{side}.stn_id END AS {side}_stn_id_repaired,
+    {side}_station_id IS NULL AND coalesce(near_{side}.metres, 51) <= 50 AS {side}_stn_imputed,
+    near_{side}.metres AS {side}_snap_m
     """
 
 
-part("near_start", "bad dim", snapped("start"))
-part("near_end", "bad dim", snapped("end"))
-COLUMNS = ", ".join(f"b.{name}" for name in TRIPS.names)
 part(
     "candidates",
-    "bad near_start near_end",
+    "bad_rows near_start near_end",
     f"""
-    SELECT {COLUMNS}, b.failed_rules,
-           coalesce(start_station_id, CASE WHEN s.metres <= 50 THEN s.stn_id END)
-               AS start_stn_id_repaired,
-           coalesce(end_station_id, CASE WHEN e.metres <= 50 THEN e.stn_id END)
-               AS end_stn_id_repaired,
-           start_station_id IS NULL AND coalesce(s.metres <= 50, FALSE) AS start_stn_imputed,
-           end_station_id IS NULL AND coalesce(e.metres <= 50, FALSE) AS end_stn_imputed,
-           s.metres AS start_snap_m, e.metres AS end_snap_m
-    FROM bad AS b
-    LEFT JOIN near_start AS s ON s.ride_id = b.ride_id
-    LEFT JOIN near_end AS e ON e.ride_id = b.ride_id
-    WHERE s.metres IS NOT NULL OR e.metres IS NOT NULL
+    SELECT bad_rows.* EXCLUDE (n), {repaired('start')}, {repaired('end')}
+    FROM bad_rows LEFT JOIN near_start USING (n) LEFT JOIN near_end USING (n)
+    WHERE coalesce(near_start.metres, near_end.metres) IS NOT NULL
     """,
 )
 OPEN = " + ".join(
@@ -247,6 +250,15 @@ part(
     """,
 )
 
+part(
+    "merged",
+    "silver named_recovered",
+    "SELECT *, FALSE AS start_stn_imputed, FALSE AS end_stn_imputed FROM silver UNION ALL "
+    + conformed("named_recovered").replace(
+        "AS rider_type", "AS rider_type, start_stn_imputed, end_stn_imputed"
+    ),
+)
+
 
 def kpis(source: str) -> str:
     return f"""
@@ -390,27 +402,30 @@ ORACLE = {
     ),
     "q_fact": sql("silver", f"SELECT {FACT} FROM silver"),
     "q_snap_start": sql(
-        "bad near_start",
+        "bad_rows near_start",
         "SELECT ride_id, start_lat, start_lng, stn_id AS start_near_stn, metres AS start_snap_m "
-        "FROM near_start JOIN bad USING (ride_id)",
+        "FROM near_start JOIN bad_rows USING (n)",
     ),
     "q_snap_end": sql(
-        "bad near_end",
+        "bad_rows near_end",
         "SELECT ride_id, end_lat, end_lng, stn_id AS end_near_stn, metres AS end_snap_m "
-        "FROM near_end JOIN bad USING (ride_id)",
+        "FROM near_end JOIN bad_rows USING (n)",
     ),
     "q_snap_within_radius": sql(
-        "bad near_start",
+        "bad_rows near_start",
         "SELECT ride_id, start_lat, start_lng, stn_id AS start_near_stn, metres AS start_snap_m "
-        "FROM near_start JOIN bad USING (ride_id) WHERE metres <= 50",
+        "FROM near_start JOIN bad_rows USING (n) WHERE metres <= 50",
     ),
     "q_repair": sql("candidates", "SELECT * FROM candidates"),
-    "q_merge_repaired": sql(
-        "silver named_recovered",
-        "SELECT *, FALSE AS start_stn_imputed, FALSE AS end_stn_imputed FROM silver UNION ALL "
-        + conformed("named_recovered").replace(
-            "AS rider_type", "AS rider_type, start_stn_imputed, end_stn_imputed"
-        ),
+    "q_merge_repaired": sql("merged", "SELECT * FROM merged"),
+    "q_kpis_repaired": sql("merged", kpi_row("merged", share=False)),
+    "q_month_run": sql("silver", "SELECT * FROM silver"),
+    "q_gold_repaired": sql(
+        "merged", f"SELECT {FACT}, start_stn_imputed, end_stn_imputed FROM merged"
+    ),
+    "q_backfill": sql(
+        "trips",
+        "SELECT *, 2024 AS year, CAST(1 + day(started_at) % 3 AS INTEGER) AS month FROM trips",
     ),
     "q_recovery_summary": sql(
         "trips bad recovered",

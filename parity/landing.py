@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ridestrata.operators.stored import scratch_path
+from ridestrata.sources.archive import month_folder
 
 
 def as_text(trips: DataFrame) -> DataFrame:
@@ -28,11 +29,24 @@ def zipped(trips: DataFrame) -> DataFrame:
     return as_text(trips).mapInPandas(pack, "path string, content binary")
 
 
-def landed_csv(trips: DataFrame) -> str:
-    """Write trips as CSV files; returns their folder."""
-    path = scratch_path(trips.sparkSession, "landed")
+def _write_csv(trips: DataFrame, path: str) -> None:
     writer = as_text(trips).write.option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option(
         "ignoreTrailingWhiteSpace", False
     ).csv(path)
+
+
+def landed_csv(trips: DataFrame) -> str:
+    """Write trips as CSV files; returns their folder."""
+    path = scratch_path(trips.sparkSession, "landed")
+    _write_csv(trips, path)
     return path
+
+
+def landed_months(trips: DataFrame, months: dict[tuple[int, int], str]) -> str:
+    """Write the trips of each condition into the CSV folder of its month; returns
+    the folder of all months."""
+    root = scratch_path(trips.sparkSession, "landed")
+    for (year, month), rows in months.items():
+        _write_csv(trips.where(rows), month_folder(root, year, month))
+    return root

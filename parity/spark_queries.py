@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parity.landing import landed_csv, zipped
+from parity.landing import landed_csv, landed_months, zipped
 from parity.trips_fx import holiday_seed, trips_fx
 from ridestrata.functions.scalars import COUNTRY_LABELS, labelled, two_digits
 from ridestrata.functions.timezones import (
@@ -64,12 +64,15 @@ from ridestrata.operators.rules import (
 from ridestrata.operators.stored import scratch_path, store
 from ridestrata.operators.weather import arrays_to_rows, weather_daily
 from ridestrata.plans import ridership
+from ridestrata.plans.monthly import ingest, run_months, store_repaired
 from ridestrata.plans.star import counted, top_by_dimension, with_context
 from ridestrata.schemas import TRIPS, WEATHER_VARIABLES
 from ridestrata.sources.archive import read_trip_csv, unzip_trips
 from ridestrata.sources.warehouse import (
     create_folder,
+    create_layers,
     publish_view,
+    read_model,
     replace_partitions,
     run_sql,
     run_sql_file,
@@ -265,14 +268,23 @@ def q_repair(spark, sf_dir):
     return repair_candidates(*quarantined_and_stations(spark, sf_dir))
 
 
-@query
-def q_merge_repaired(spark, sf_dir):
+def merged(spark, sf_dir):
     flagged = flag(trips_fx(spark, sf_dir))
     kept = to_silver(flagged, strict=False)
     stations = store(role_union_dim(kept), "stations")
     return merge_repaired(kept, repair_candidates(bad_rows(flagged), stations), stations)
 
 
+@query
+def q_merge_repaired(spark, sf_dir):
+    return merged(spark, sf_dir)
+
+
+@query
+def q_kpis_repaired(spark, sf_dir):
+    return ridership.kpis(merged(spark, sf_dir))
+
+
 @query
 def q_recovery_summary(spark, sf_dir):
     flagged = flag(trips_fx(spark, sf_dir))
@@ -571,3 +583,41 @@ def q_param_sql(spark, sf_dir):
 def q_sql_file(spark, sf_dir):
     publish_view(table(spark, sf_dir, "events"), "trip_events")
     return run_sql_file(spark, str(Path(__file__).with_name("event_mix.sql")))
+
+
+# The month run, over landed files and stored tables
+
+
+FEEDS = {(2024, 1 + k): f"day(to_date(started_at)) % 3 = {k}" for k in range(3)}
+
+
+def layers_and_files(spark, trips):
+    create_layers(spark, location=scratch_path(spark, "layers"))
+    return landed_months(trips, FEEDS)
+
+
+@query
+def q_month_run(spark, sf_dir):
+    root = layers_and_files(spark, trips_fx(spark, sf_dir))
+    built = run_months(spark, root, FEEDS, zipped=False, strict=False, tested=False)
+    return store(built.silver, "silver")
+
+
+@query
+def q_gold_repaired(spark, sf_dir):
+    root = layers_and_files(spark, trips_fx(spark, sf_dir))
+    run_months(spark, root, FEEDS, zipped=False, strict=False, tested=False)
+    store_repaired(spark)
+    trips = read_model(spark, "gold", "fct_trips_repaired")
+    return store(trips.drop(ridership.MONTH_COLUMN), "repaired")
+
+
+@query
+def q_backfill(spark, sf_dir):
+    """The second month is first loaded wrong and then loaded again."""
+    trips = trips_fx(spark, sf_dir)
+    second = list(FEEDS)[1]
+    wrong = F.when(F.expr(FEEDS[second]), "wrong").otherwise(F.col("ride_id"))
+    ingest(spark, layers_and_files(spark, trips.withColumn("ride_id", wrong)), FEEDS, zipped=False)
+    root = landed_months(trips, {second: FEEDS[second]})
+    return store(ingest(spark, root, [second], zipped=False, keep_other_months=True), "bronze")

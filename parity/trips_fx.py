@@ -22,6 +22,7 @@ WITH e AS (
 )
 SELECT
   CASE WHEN e % 401 = 0 THEN NULL WHEN e % 397 = 0 THEN '  '
+       WHEN e % 307 = 0 THEN 'R' || CAST(e - 1 AS {text})
        ELSE 'R' || CAST(e AS {text}) END AS ride_id,
   CASE WHEN event_type IN ('click', 'view') THEN 'electric_bike'
        WHEN event_type IN ('purchase', 'signup') THEN 'classic_bike'
@@ -32,13 +33,17 @@ SELECT
        WHEN u % 50 = 3 AND e % 2 = 0 THEN 'Station 31003 (old)'
        ELSE 'Station ' || CAST(sid AS {text}) END AS start_station_name,
   CASE WHEN e % 5 <> 0 THEN CAST(sid AS DOUBLE) END AS start_station_id,
-  CASE WHEN e % 8 <> 0 THEN 'Station ' || CAST(eid AS {text}) END AS end_station_name,
+  CASE WHEN e % 8 = 0 THEN NULL
+       WHEN eid = 31017 AND e % 2 = 0 THEN 'Station 31017 (old)'
+       ELSE 'Station ' || CAST(eid AS {text}) END AS end_station_name,
   CASE WHEN e % 8 <> 0 THEN CAST(eid AS DOUBLE) END AS end_station_id,
-  CASE WHEN e % 211 <> 0 THEN CAST(388000 + (sid % 10) * 200 + joff AS DOUBLE) / 10000 END AS start_lat,
+  CASE WHEN e % 305 = 0 THEN 389.0
+       WHEN e % 211 <> 0 THEN CAST(388000 + (sid % 10) * 200 + joff AS DOUBLE) / 10000 END AS start_lat,
   CASE WHEN e % 211 <> 0
        THEN CAST(((sid - 31000) {div} 10) * 200 + joff - 771000 AS DOUBLE) / 10000 END AS start_lng,
   CASE WHEN e % 223 <> 0 THEN CAST(388000 + (eid % 10) * 200 + joff AS DOUBLE) / 10000 END AS end_lat,
-  CASE WHEN e % 223 <> 0
+  CASE WHEN e % 488 = 0 THEN -180.5
+       WHEN e % 223 <> 0
        THEN CAST(((eid - 31000) {div} 10) * 200 + joff - 771000 AS DOUBLE) / 10000 END AS end_lng,
   CASE WHEN u % 3 = 0 THEN 'casual' ELSE 'member' END AS member_casual
 FROM e

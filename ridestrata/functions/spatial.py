@@ -1,21 +1,19 @@
-"""Planar distance and the nested square grid used to find nearest points.
+"""Planar distance and the nested square grids used to find nearest points.
 
 Coordinates are flattened to x = latitude, y = longitude * lng_scale, so the
-planar distance is Euclidean in (x, y). The grid has one cell of 512 degrees at
+planar distance is Euclidean in (x, y). A grid has one cell around the origin at
 the top; a cell of level k has an edge of 2**k degrees, and the cell of a point
 at a coarser level is its index shifted to the right.
 """
 
+from dataclasses import dataclass
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 LNG_SCALE = 0.778
 METRES_PER_DEGREE = 111_000
 
-ROOT_LEVEL = 9
-FINEST_LEVEL = -18
-_OFFSET = 2.0 ** (ROOT_LEVEL - 1)
-
 
 def planar_distance_m(
     lat1: Column,
@@ -31,17 +29,34 @@ def planar_distance_m(
     return F.sqrt(F.pow(dx, F.lit(2)) + F.pow(dy, F.lit(2))) * F.lit(m_per_deg)
 
 
-def on_map(lat: Column, lng: Column) -> Column:
-    return lat.between(-90, 90) & lng.between(-180, 180)
+@dataclass(frozen=True)
+class Grid:
+    """Levels ``root`` (one cell) to ``finest``. At most 30 levels apart, so that
+    squared distances in finest cells fit a BIGINT."""
+
+    root: int
+    finest: int
+
+    def holds(self, lat: Column, lng: Column, lng_scale: float = LNG_SCALE) -> Column:
+        """False for NaN, NULL for NULL."""
+        edge = 2.0 ** (self.root - 1)
+        inside = lambda v: (v >= F.lit(-edge)) & (v < F.lit(edge))
+        return inside(lat) & inside(lng * F.lit(lng_scale))
+
+    def index(
+        self, lat: Column, lng: Column, level: int, lng_scale: float = LNG_SCALE
+    ) -> tuple[Column, Column]:
+        """Cell indices of a point at a level, nested exactly across levels."""
+        offset, fine = 2.0 ** (self.root - 1), 2.0**-self.finest
+        ix = F.floor((lat + F.lit(offset)) * F.lit(fine))
+        iy = F.floor((lng * F.lit(lng_scale) + F.lit(offset)) * F.lit(fine))
+        step = level - self.finest
+        return coarser(ix, step), coarser(iy, step)
 
 
-def grid_index(lat: Column, lng: Column, level: int, lng_scale: float = LNG_SCALE) -> tuple[Column, Column]:
-    """Cell indices of a point at a level, nested exactly across levels."""
-    fine = 2.0**-FINEST_LEVEL
-    ix = F.floor((lat + _OFFSET) * fine)
-    iy = F.floor((lng * F.lit(lng_scale) + _OFFSET) * fine)
-    step = level - FINEST_LEVEL
-    return coarser(ix, step), coarser(iy, step)
+# EARTH holds every place there is; WIDE also mistyped ones, up to a million degrees.
+EARTH = Grid(root=9, finest=-18)
+WIDE = Grid(root=21, finest=-9)
 
 
 def coarser(index: Column, steps: int) -> Column:

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ridestrata.functions.scalars import blank, share_percent
+from ridestrata.functions.scalars import share_percent
 from ridestrata.functions.timezones import LOCAL_TZ
 from ridestrata.operators.conform import conform, silver_mapping
 from ridestrata.operators.snap import StationIndex
@@ -58,7 +58,7 @@ class Side:
             F.col(self.station_id).isNull()
             & F.col(self.lat).isNotNull()
             & F.col(self.lng).isNotNull()
-            & ~blank(F.col(key))
+            & F.col(key).isNotNull()
         )
 
 

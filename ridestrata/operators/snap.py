@@ -14,32 +14,28 @@ from pyspark.sql import functions as F
 
 from ridestrata.functions.scalars import rounded
 from ridestrata.functions.spatial import (
-    FINEST_LEVEL,
+    EARTH,
     LNG_SCALE,
     METRES_PER_DEGREE,
-    ROOT_LEVEL,
-    grid_index,
-    on_map,
+    WIDE,
+    Grid,
     planar_distance_m,
 )
 from ridestrata.operators.stored import lookup_join, measured_bytes, store
 
 # Row cells have edges of 1/512 degree (about 220 m). The descent from the top
-# takes two levels at a time: a cell then meets at most 16 children of each of
+# takes three levels at a time: a cell then meets at most 64 children of each of
 # the few cells that are near its parent.
 LEAF_LEVEL = -9
-STEP = 2
-# With few cells and stations the levels between cost more than they save.
-SHORT_LEVELS = (ROOT_LEVEL, -3, -9)
-FEW_PAIRS = 200_000
+STEP = 3
 # A row cell with more stations than LONG_LIST is cut into cells of the next
 # level; the last has edges of 0.8 m.
 FINER_LEVELS = (-13, -17)
 LONG_LIST = 64
 
 
-def _cell_of(df: DataFrame, level: int, lat: str, lng: str) -> DataFrame:
-    cx, cy = grid_index(F.col(lat), F.col(lng), level)
+def _cell_of(df: DataFrame, grid: Grid, level: int, lat: str, lng: str) -> DataFrame:
+    cx, cy = grid.index(F.col(lat), F.col(lng), level)
     return df.select(cx.alias("cx"), cy.alias("cy"))
 
 
@@ -67,16 +63,14 @@ def _up(x: str, y: str, steps: int, x_name: str, y_name: str) -> list[str]:
     return [f"shiftright({x}, {steps}) AS {x_name}", f"shiftright({y}, {steps}) AS {y_name}"]
 
 
-def _descend(row_cells: DataFrame, stations: DataFrame, leaf: int) -> DataFrame:
+def _descend(row_cells: DataFrame, stations: DataFrame, grid: Grid, leaf: int) -> DataFrame:
     """(cx, cy, stn_id, lat, lng): for every row cell of level ``leaf`` the
     stations that may be nearest to a point in it."""
-    few = row_cells.count() * stations.count() <= FEW_PAIRS
-    every = SHORT_LEVELS if few else range(ROOT_LEVEL, leaf, -STEP)
-    levels = [level for level in every if level > leaf] + [leaf]
+    levels = [*range(grid.root, leaf, -STEP), leaf]
     frontier = None
     for above, level in zip([None, *levels], levels):
         rows = row_cells.selectExpr(*_up("cx", "cy", level - leaf, "cx", "cy")).distinct()
-        cells = stations.selectExpr(*_up("sx", "sy", level - FINEST_LEVEL, "sx", "sy")).distinct()
+        cells = stations.selectExpr(*_up("sx", "sy", level - grid.finest, "sx", "sy")).distinct()
         if frontier is None:
             frontier = rows.join(cells, (rows.cx == cells.sx) & (rows.cy == cells.sy))
             continue
@@ -94,7 +88,7 @@ def _descend(row_cells: DataFrame, stations: DataFrame, leaf: int) -> DataFrame:
             .select("cx", "cy", "sx", "sy")
         )
     frontier = store(frontier, "near-cells").toDF("cx", "cy", "lx", "ly")
-    up = leaf - FINEST_LEVEL
+    up = leaf - grid.finest
     located = stations.selectExpr("*", *_up("sx", "sy", up, "lx", "ly"))
     spanned = _spanned(frontier.join(located, ["lx", "ly"]), 1 << up, 1)
     reach = spanned.groupBy("cx", "cy").agg(F.min("far").alias("reach"))
@@ -107,39 +101,53 @@ def _lists(found: DataFrame) -> DataFrame:
     return found.groupBy("cx", "cy").agg(F.collect_list(station).alias("stations"))
 
 
+def _nowhere(lat: Column, lng: Column) -> Column:
+    return F.lit(False)
+
+
 class StationIndex:
     """Short lists of possibly nearest stations, per occupied cell of ``points``.
 
     ``points`` has the columns lat and lng (DOUBLE) of all rows to be snapped;
     ``dim`` is a station table (stn_id, lat, lng). Of stations at one and the
-    same place the smallest id stands for all.
+    same place the smallest id stands for all. Places beyond every map are as good
+    as others up to a million degrees; above, a place counts as unknown. Points off
+    the earth's grid look at all stations in the wide one, which has no finer cells;
+    with a station off the earth's grid all points do.
     """
 
     def __init__(self, points: DataFrame, dim: DataFrame, long_list: int = LONG_LIST):
-        placed = dim.select(
-            "stn_id", F.col("lat").cast("double").alias("lat"), F.col("lng").cast("double").alias("lng")
-        ).where(on_map(F.col("lat"), F.col("lng")))
-        placed = placed.groupBy("lat", "lng").agg(F.min("stn_id").alias("stn_id"))
-        sx, sy = grid_index(F.col("lat"), F.col("lng"), FINEST_LEVEL)
-        stations = store(placed.withColumns({"sx": sx, "sy": sy}), "stations")
-
-        points = points.where(on_map(F.col("lat"), F.col("lng")))
-        self.levels: list[tuple[int, DataFrame, int]] = []
-        for level in (LEAF_LEVEL, *FINER_LEVELS):
-            cells = store(_cell_of(points, level, "lat", "lng").distinct(), "row-cells")
-            found = store(_descend(cells, stations, level), "near-stations")
-            last = level == FINER_LEVELS[-1]
+        lat, lng = F.col("lat"), F.col("lng")
+        placed = dim.select("stn_id", lat.cast("double").alias("lat"), lng.cast("double").alias("lng"))
+        placed = placed.where(WIDE.holds(lat, lng)).groupBy("lat", "lng").agg(F.min("stn_id").alias("stn_id"))
+        stations = store(placed, "stations")
+        self.parts: list[tuple[Grid, int, DataFrame, int]] = []
+        self.earth = EARTH.holds if stations.where(~EARTH.holds(lat, lng)).isEmpty() else _nowhere
+        points = store(points.where(WIDE.holds(lat, lng)).distinct(), "points")
+        self._add(EARTH, points.where(self.earth(lat, lng)), stations, (LEAF_LEVEL, *FINER_LEVELS), long_list)
+        off = points.where(~self.earth(lat, lng))
+        if not off.isEmpty():
+            self._add(WIDE, off, stations, (LEAF_LEVEL,), long_list)
+
+    def _add(
+        self, grid: Grid, points: DataFrame, stations: DataFrame, levels: tuple[int, ...], long_list: int
+    ) -> None:
+        sx, sy = grid.index(F.col("lat"), F.col("lng"), grid.finest)
+        stations = stations.withColumns({"sx": sx, "sy": sy})
+        for level in levels:
+            cells = store(_cell_of(points, grid, level, "lat", "lng").distinct(), "row-cells")
+            found = store(_descend(cells, stations, grid, level), "near-stations")
             crowded = None
-            if not last:
+            if level != levels[-1]:
                 longer = found.groupBy("cx", "cy").count().where(F.col("count") > long_list)
                 if not longer.isEmpty():
                     crowded = store(longer.select("cx", "cy"), "crowded-cells")
             short = found if crowded is None else found.join(crowded, ["cx", "cy"], "left_anti")
             lists = store(_lists(short), "station-lists")
-            self.levels.append((level, lists, measured_bytes(lists)))
+            self.parts.append((grid, level, lists, measured_bytes(lists)))
             if crowded is None:
                 break
-            cx, cy = grid_index(F.col("lat"), F.col("lng"), level)
+            cx, cy = grid.index(F.col("lat"), F.col("lng"), level)
             points = lookup_join(
                 points.withColumns({"cx": cx, "cy": cy}), crowded, ["cx", "cy"], "left_semi"
             ).select("lat", "lng")
@@ -151,13 +159,17 @@ class StationIndex:
         for which ``wanted`` is true; NULL in the others. Of equally near
         stations the smallest id is taken."""
         columns = df.columns
-        asked = wanted & on_map(F.col(lat), F.col(lng))
+        place = F.col(lat), F.col(lng)
+        asked = {
+            EARTH: wanted & self.earth(*place),
+            WIDE: wanted & WIDE.holds(*place) & ~self.earth(*place),
+        }
         lists = []
-        for level, table, size in self.levels:
-            keys = [f"_cx{level}", f"_cy{level}"]
-            for key, index in zip(keys, grid_index(F.col(lat), F.col(lng), level)):
-                df = df.withColumn(key, F.when(asked, index))
-            lists.append(f"_stations{level}")
+        for number, (grid, level, table, size) in enumerate(self.parts):
+            keys = [f"_cx{number}", f"_cy{number}"]
+            for key, index in zip(keys, grid.index(*place, level)):
+                df = df.withColumn(key, F.when(asked[grid], index))
+            lists.append(f"_stations{number}")
             df = lookup_join(df, table.toDF(*keys, lists[-1]), keys, size=size)
         degrees = lambda s: planar_distance_m(
             F.col(lat), F.col(lng), s["lat"], s["lng"], LNG_SCALE, 1

@@ -8,10 +8,10 @@ from pyspark.sql import functions as F
 
 from ridestrata.functions.timezones import LOCAL_TZ
 from ridestrata.operators.calendar import date_dim, trip_dates
-from ridestrata.operators.conform import fact, role_union_dim, to_silver
+from ridestrata.operators.conform import FACT_COLUMNS, fact, role_union_dim, to_silver
 from ridestrata.operators.datatests import DataTest, gate, not_empty, silver_tests
 from ridestrata.operators.quarantine import bad_rows, failures_long, flag
-from ridestrata.operators.repair import merge_repaired, repair_candidates
+from ridestrata.operators.repair import SIDES, merge_repaired, repair_candidates
 from ridestrata.plans.ridership import MONTH_COLUMN, with_month_column
 from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months, require_files
 from ridestrata.sources.warehouse import (
@@ -88,14 +88,20 @@ def build_calendar(spark: SparkSession, holidays: DataFrame, tz: str = LOCAL_TZ)
 
 
 def store_repaired(spark: SparkSession, tz: str = LOCAL_TZ) -> DataFrame:
-    """``silver.trips_repaired``: silver and the trips that could be repaired."""
+    """``silver.trips_repaired``: silver and the trips that could be repaired; and
+    their star schema, ``gold.fct_trips_repaired`` with the flags of inferred
+    stations and ``gold.dim_stations_repaired``."""
     merged = merge_repaired(
         read_model(spark, "silver", "trips"),
         read_model(spark, "silver", "temp"),
         read_model(spark, "gold", "dim_stations"),
         tz,
     )
-    return replace_table(merged, "silver", "trips_repaired")
+    merged = replace_table(merged, "silver", "trips_repaired")
+    trips = fact(merged, (*FACT_COLUMNS, *[side.imputed for side in SIDES]))
+    replace_table(with_month_column(trips, tz), "gold", "fct_trips_repaired", (MONTH_COLUMN,))
+    replace_table(role_union_dim(merged), "gold", "dim_stations_repaired")
+    return merged
 
 
 def rule_failures(spark: SparkSession, rule: str) -> DataFrame:

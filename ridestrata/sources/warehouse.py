@@ -8,9 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 LAYERS = ("bronze", "silver", "gold", "audit")
 
 
-def create_layers(spark: SparkSession, layers: tuple[str, ...] = LAYERS) -> None:
+def create_layers(
+    spark: SparkSession, layers: tuple[str, ...] = LAYERS, location: str | None = None
+) -> None:
+    """One database per layer, in the warehouse or in folders of ``location``."""
     for layer in layers:
-        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}")
+        folder = f" LOCATION '{location}/{layer}'" if location else ""
+        spark.sql(f"CREATE DATABASE IF NOT EXISTS {layer}{folder}")
 
 
 def table_name(layer: str | None, model: str) -> str:

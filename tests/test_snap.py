@@ -61,7 +61,7 @@ def test_crowded_and_far(spark):
     points = [(38.9 + rng.uniform(-0.0002, 0.001), -77.0 + rng.uniform(-0.0002, 0.001)) for _ in range(600)]
     points += [(rng.uniform(-89, 89), rng.uniform(-180, 180)) for _ in range(200)]
     index = check(spark, points, stations, long_list=8)
-    assert len(index.levels) > 1
+    assert len(index.parts) > 1
 
 
 def test_ties_and_equal_places(spark):
@@ -80,9 +80,19 @@ def test_no_station_and_off_the_map(spark):
     found = StationIndex(rows, none).with_nearest(rows, "lat", "lng", F.lit(True), "stn", "m").first()
     assert found.stn is None and found.m is None
     dim = spark.createDataFrame([(1, 1.0, 1.0)], "stn_id int, lat double, lng double")
-    off = spark.createDataFrame([(300.0, 0.0), (1.0, 1.0)], "lat double, lng double")
+    off = spark.createDataFrame([(float("nan"), 0.0), (None, 0.0), (1e9, 0.0), (1.0, 1.0)], "lat double, lng double")
     found = StationIndex(off, dim).with_nearest(off, "lat", "lng", F.lit(True), "stn", "m").collect()
-    assert [(r.stn, r.m) for r in found] == [(None, None), (1, 0)]
+    assert [(r.stn, r.m) for r in found] == [(None, None)] * 3 + [(1, 0)]
+
+
+def test_mistyped_places(spark):
+    """Points and stations off the map, some by a lost decimal point."""
+    rng = random.Random(3)
+    stations = [(i, round(rng.uniform(38.8, 39.0), 5), round(rng.uniform(-77.2, -76.9), 5)) for i in range(60)]
+    points = [(rng.uniform(38.8, 39.0) * scale, rng.uniform(-77.2, -76.9)) for scale in (1, 10, 100, 10_000) for _ in range(50)]
+    points += [(38.9, -180.5), (389.0, -771.0), (-389.0, 771.0)]
+    assert len(check(spark, points, stations).parts) == 2
+    check(spark, points, [*stations, (70, 389.0, -77.0), (71, 38.9, 77000.0)])
 
 
 @pytest.fixture()
@@ -118,7 +128,7 @@ def test_only_rows_that_lack_a_station_and_have_key_and_place(spark, dim):
         {"start_station_id": None, "start_lat": None},
         {"ended_at": "2024-02-01 00:00:00"},
     )
-    assert ids(repair_candidates(bad_rows(flag(df)), dim)) == ["R0"]
+    assert ids(repair_candidates(bad_rows(flag(df)), dim)) == [" ", "R0"]
 
 
 def test_rows_with_one_key_do_not_multiply(spark, dim):

@@ -108,6 +108,9 @@ def test_month_run(spark, layers, tmp_path, zipped):
     assert sorted(cells(built.stations, "stn_id", "stn_name")) == [(1, "A"), (2, "B")]
     assert cells(wh.read_model(spark, "silver", "temp"), "ride_id", "start_stn_id_repaired") == [("c", 1.0)]
     assert ids(store_repaired(spark)) == ["a", "b", "c", "d"]
+    in_gold = wh.read_model(spark, "gold", "fct_trips_repaired").where("start_stn_imputed")
+    assert cells(in_gold, "ride_id", "start_stn_id", "end_stn_imputed") == [("c", 1, False)]
+    assert wh.read_model(spark, "gold", "dim_stations_repaired").count() == 2
     holidays = spark.createDataFrame([("US", date(2024, 1, 15), "MLK Day")], HOLIDAYS)
     dates = build_calendar(spark, holidays)
     days = ridership.daily(wh.read_model(spark, "gold", "fct_trips"), dates)
