@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import types as T
 
-from ridestrata.llm.repeats import CROWD, Units, merged, name, repeated_spans, with_spans
+from ridestrata.llm.repeats import CROWD, HOT, Units, merged, name, repeated_spans, with_spans
 
 WIDTH = 20
 ROUNDS = 6
@@ -183,7 +183,7 @@ CUT = T.StructType(
 )
 
 
-def recompression_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def recompression_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, hot: float = HOT) -> DataFrame:
     """(doc_id, n_words, n_removed, kept) per row of ``docs``: each text without the
     words covered by a window of ``width`` words that also starts earlier, in a text
     with a smaller doc_id or before it in the same text; kept words are joined by
@@ -204,6 +204,6 @@ def recompression_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD)
         left = [word for a, b in zip(cuts[::2], cuts[1::2]) for word in words[a:b]]
         return n, n - len(left), b" ".join(left).decode()
 
-    found = repeated_spans(docs, word_units(width), True, crowd)
+    found = repeated_spans(docs, word_units(width), True, crowd, hot)
     cut = with_spans(docs.select("doc_id", "text"), found, kept, CUT)
     return cut.select("doc_id", "_rs_cut.*")

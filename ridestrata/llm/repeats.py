@@ -14,6 +14,11 @@ same place. The work then is on anchors instead of positions:
    of their windows. A bucket of more than ``CROWD`` such rows is not held by one
    task: its windows become rows that Spark groups by name.
 
+A bucket that holds more than a share ``HOT`` of the anchors of a task, counted with
+``SMALL`` more, is not gathered at all. The task sends it a mark, and its rows elsewhere,
+each on its own, to have their windows grouped by name; the mark lets the rows of other
+tasks follow.
+
 Names are 64-bit and built by doubling: the name of 2k units at p comes from the
 names of k units at p and at p + k.
 """
@@ -30,9 +35,12 @@ from pyspark.sql import types as T
 from ridestrata.operators.stored import lookup_join, store
 
 CROWD = 20_000
+HOT = 0.001
+SMALL = 32_000
 BLOCK = 1 << 16
 TOGETHER = 500_000
 SPAN = "doc_id long, start int, stop int"
+MARK = 1 << 63  #: context of marks and of rows of hot buckets: first in the order
 _A, _B, _C = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -119,11 +127,16 @@ def _blocks(batch: pa.RecordBatch, units: Units) -> Iterator[tuple[np.ndarray, l
         yield np.array(ids, dtype=np.int64), texts
 
 
-def _settled(bucket, context, doc_id, at, size, within: bool):
+def _own_bucket(doc_id: np.ndarray, at: np.ndarray) -> np.ndarray:
+    return name(doc_id.astype(np.uint64), at.astype(np.uint64))
+
+
+def _settled(bucket, context, doc_id, at, size, within: bool, hot: float):
     """Rows of one task with those marked, by a negative size, that repeat another
     of its rows as a whole. They are decided, so they need not meet their bucket:
     they get a bucket of their own. A passage that very many texts share thus sends
-    one row per task to its bucket."""
+    one row per task to its bucket. The open rows of a hot bucket get buckets of their
+    own too, and the context ``MARK``; a row of size zero marks the bucket."""
     key = name(bucket, context)
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]
@@ -137,11 +150,23 @@ def _settled(bucket, context, doc_id, at, size, within: bool):
             repeat |= ~head
         again = order[repeat]
         size[again] *= -1
-        bucket[again] = name(doc_id[again].astype(np.uint64), at[again].astype(np.uint64))
-    return bucket, context, doc_id, at, size
-
-
-def _anchors(docs: DataFrame, units: Units, within: bool) -> DataFrame:
+        bucket[again] = _own_bucket(doc_id[again], at[again])
+    context[context == MARK] += np.uint64(1)
+    open_ = np.flatnonzero(size > 0)
+    some = np.sort(bucket[open_])
+    limit = int(hot * (len(bucket) + SMALL))
+    marks = np.unique(some[limit:][some[limit:] == some[: len(some) - limit]]) if limit < len(some) else some[:0]
+    if not len(marks):
+        return bucket, context, doc_id, at, size
+    loose = open_[np.isin(bucket[open_], marks)]
+    bucket[loose], context[loose] = _own_bucket(doc_id[loose], at[loose]), MARK
+    first = np.full(len(marks), np.iinfo(np.int64).min)
+    none = np.zeros(len(marks), dtype=np.int64)
+    added = (marks, np.full(len(marks), MARK, dtype=np.uint64), first, none, none)
+    return tuple(map(np.concatenate, zip((bucket, context, doc_id, at, size), added)))
+
+
+def _anchors(docs: DataFrame, units: Units, within: bool, hot: float) -> DataFrame:
     names = ["bucket", "context", "doc_id", "at", "size"]
 
     def rows_of(ids: np.ndarray, texts: list[np.ndarray]) -> list[np.ndarray]:
@@ -153,7 +178,7 @@ def _anchors(docs: DataFrame, units: Units, within: bool) -> DataFrame:
         return [bucket, context, ids[text], at - starts[text], size]
 
     def given(parts: list[list[np.ndarray]]) -> pa.RecordBatch:
-        bucket, context, doc_id, at, size = _settled(*map(np.concatenate, zip(*parts)), within)
+        bucket, context, doc_id, at, size = _settled(*map(np.concatenate, zip(*parts)), within, hot)
         columns = [bucket.view(np.int64), context.view(np.int64), doc_id, at.astype(np.int32), size.astype(np.int32)]
         return pa.RecordBatch.from_arrays([pa.array(column) for column in columns], names)
 
@@ -179,10 +204,15 @@ def _columns(batch: pa.RecordBatch) -> list[np.ndarray]:
 
 def _classes(anchors: DataFrame, within: bool) -> DataFrame:
     """(bucket, doc_id, at, size): repeats as a whole have no bucket; the other rows
-    are first occurrences in buckets of several classes."""
+    are first occurrences in buckets of several classes, with a negative size and a
+    bucket of their own where the bucket is hot. A mark counts as a class."""
 
-    def row_batch(bucket, has, rows):
+    def row_batch(bucket, has, rows, hot=False):
         doc_id, at, size = rows
+        hot = np.broadcast_to(hot, size.shape) & has
+        bucket = np.where(hot, _own_bucket(doc_id, at).view(np.int64), bucket)
+        real = size > 0
+        bucket, has, doc_id, at, size = (x[real] for x in (bucket, has, doc_id, at, np.where(hot, -size, size)))
         return pa.RecordBatch.from_arrays(
             [pa.array(bucket, mask=~has), pa.array(doc_id), pa.array(at), pa.array(size)],
             ["bucket", "doc_id", "at", "size"],
@@ -192,7 +222,7 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
         # Of the bucket that a batch ends in: its last class and the least id there,
         # whether it has several classes, and first occurrences not yet given out.
         last = None
-        several, pending = False, None
+        several, pending, is_hot = False, None, False
         for part in parts:
             if not part.num_rows:
                 continue
@@ -201,13 +231,17 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
             if settled.any():
                 yield row_batch(bucket[settled], ~settled[settled], [doc_id[settled], at[settled], -size[settled]])
                 bucket, context, doc_id, at, size = (x[~settled] for x in (bucket, context, doc_id, at, size))
+            loose = (context == -MARK) & (size > 0)
+            if loose.any():
+                yield row_batch(bucket[loose], loose[loose], [x[loose] for x in (doc_id, at, size)], True)
+                bucket, context, doc_id, at, size = (x[~loose] for x in (bucket, context, doc_id, at, size))
             n = len(bucket)
             if not n:
                 continue
             new_bucket = np.r_[last is None or bucket[0] != last[0], bucket[1:] != bucket[:-1]]
             new_class = new_bucket | np.r_[last is None or context[0] != last[1], context[1:] != context[:-1]]
             if new_bucket[0]:
-                several, pending = False, None
+                several, pending, is_hot = False, None, False
             number = np.cumsum(new_class)  # 0: the class that goes on from before
             least = np.concatenate([[last[2] if last else 0], doc_id[new_class]])[number]
             repeat = ~new_class if within else doc_id != least
@@ -215,13 +249,16 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
             many = np.zeros(group[-1] + 1, dtype=bool)
             many[group[new_class & ~new_bucket]] = True
             many[0] |= several
+            hot = np.zeros(group[-1] + 1, dtype=bool)
+            hot[group[size == 0]] = True
+            hot[0] |= is_hot
             first = ~repeat
             if pending is not None and many[0]:
                 yield row_batch(*pending)
                 pending = None
             out = repeat | (first & many[group])
             if out.any():
-                yield row_batch(bucket[out], first[out], [x[out] for x in (doc_id, at, size)])
+                yield row_batch(bucket[out], first[out], [x[out] for x in (doc_id, at, size)], hot[group[out]])
             held = first & ~many[group] & (group == group[-1])
             if held.any():
                 now = (bucket[held], first[held], [x[held] for x in (doc_id, at, size)])
@@ -234,7 +271,7 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
                 pending = now
             elif group[-1] > 0:
                 pending = None
-            several = bool(many[group[-1]])
+            several, is_hot = bool(many[group[-1]]), bool(hot[group[-1]])
             last = (bucket[n - 1], context[n - 1], least[n - 1])
 
     return (
@@ -245,8 +282,9 @@ def _classes(anchors: DataFrame, within: bool) -> DataFrame:
 
 
 def _contexts(docs: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
-    """(bucket, doc_id, start, units): the units that windows around an anchor reach,
-    padding included, and the place of the first of them."""
+    """(bucket, doc_id, start, units, loose): the units that windows around an anchor
+    reach, padding included, and the place of the first of them; whether the bucket was
+    hot."""
     per_doc = firsts.groupBy("doc_id").agg(F.collect_list(F.struct("bucket", "at", "size")).alias("found"))
     texts = docs.select("doc_id", F.col("text").cast("binary").alias("text")).join(per_doc, "doc_id")
 
@@ -259,8 +297,9 @@ def _contexts(docs: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
                 lo, hi = lists[part], lists[part + 1]
                 cut = units.cut(batch["text"][part].as_py())
                 array, starts = units.padded([cut])
-                start = at[lo:hi].astype(np.int64) + size[lo:hi] - units.width
-                length = 2 * units.width - size[lo:hi].astype(np.int64)
+                sizes = np.abs(size[lo:hi].astype(np.int64))
+                start = at[lo:hi].astype(np.int64) + sizes - units.width
+                length = 2 * units.width - sizes
                 step = array.itemsize
                 whole = array.tobytes()
                 begins = ((start + starts[0]) * step).tolist()
@@ -271,11 +310,12 @@ def _contexts(docs: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
                         pa.array(np.full(hi - lo, batch["doc_id"][part].as_py(), dtype=np.int64)),
                         pa.array(start.astype(np.int32)),
                         pa.array([whole[a:b] for a, b in zip(begins, ends)], type=pa.binary()),
+                        pa.array(size[lo:hi] < 0),
                     ],
-                    ["bucket", "doc_id", "start", "units"],
+                    ["bucket", "doc_id", "start", "units", "loose"],
                 )
 
-    return texts.mapInArrow(batches, "bucket long, doc_id long, start int, units binary")
+    return texts.mapInArrow(batches, "bucket long, doc_id long, start int, units binary, loose boolean")
 
 
 def _windows_of(bucket, doc_id, start, contexts, units: Units):
@@ -295,9 +335,9 @@ def _windows_of(bucket, doc_id, start, contexts, units: Units):
 
 def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> DataFrame:
     """(doc_id, start, stop, name): runs of windows that occur earlier, without name;
-    of crowded buckets every window, with its name."""
+    of crowded and hot buckets the other windows, with their names."""
 
-    def found(bucket, doc_id, start, texts) -> Iterator[pa.RecordBatch]:
+    def found(bucket, doc_id, start, texts, named: bool = False) -> Iterator[pa.RecordBatch]:
         row, names, place = _windows_of(bucket, doc_id, start, texts, units)
         if not len(row):
             return
@@ -309,6 +349,11 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
         again = docs != docs[lead]
         if within:
             again |= place != place[lead]
+        if named:
+            # Windows around several anchors come several times.
+            new = group | np.r_[True, (docs[1:] != docs[:-1]) | (place[1:] != place[:-1])]
+            rest = ~again & new
+            yield spans(docs[rest], place[rest], place[rest] + units.width, names[rest])
         row, place = row[again], place[again]
         if not len(row):
             return
@@ -325,9 +370,7 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
         return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "stop", "name"])
 
     def every_window(bucket, doc_id, start, texts) -> Iterator[pa.RecordBatch]:
-        row, names, place = _windows_of(bucket, doc_id, start, texts, units)
-        if len(row):
-            yield spans(doc_id[row], place, place + units.width, names)
+        yield from found(np.zeros_like(bucket), doc_id, start, texts, named=True)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, flood = None, None
@@ -335,6 +378,12 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
             if not part.num_rows:
                 continue
             rows = [*(x.to_numpy() for x in part.columns[:3]), np.array(part.column(3).to_pylist(), dtype=object)]
+            loose = part.column(4).to_numpy(zero_copy_only=False)
+            if loose.any():
+                yield from every_window(*(x[loose] for x in rows))
+                rows = [x[~loose] for x in rows]
+                if not len(rows[0]):
+                    continue
             if held is not None:
                 rows = [np.concatenate(pair) for pair in zip(held, rows)]
                 held = None
@@ -363,7 +412,7 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
 
 
 def _again(windows: DataFrame, within: bool) -> DataFrame:
-    """The windows of crowded buckets that occur earlier."""
+    """The windows of crowded and hot buckets that occur earlier."""
     earliest = windows.groupBy("name").agg(F.min(F.struct("doc_id", "start")).alias("least"))
     place = F.struct("doc_id", "start") if within else F.col("doc_id")
     lead = F.col("least") if within else F.col("least.doc_id")
@@ -376,7 +425,7 @@ def _keyed(docs: DataFrame) -> DataFrame:
 
 
 def repeated_spans(
-    docs: DataFrame, units: Units, within: bool, crowd: int = CROWD
+    docs: DataFrame, units: Units, within: bool, crowd: int = CROWD, hot: float = HOT
 ) -> tuple[DataFrame, DataFrame, DataFrame]:
     """Spans of units covered by windows that occur earlier, and exact copies.
 
@@ -398,7 +447,7 @@ def repeated_spans(
         text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
         judged = lookup_join(judged.withColumn("key", text_key), chosen.select("doc_id", "key"), ["doc_id", "key"], "left_semi")
     judged = lookup_join(judged.select("doc_id", "text"), copies, ["doc_id"], "left_anti")
-    classes = store(_classes(_anchors(judged, units, within), within), "classes")
+    classes = store(_classes(_anchors(judged, units, within, hot), within), "classes")
     firsts = classes.where("bucket IS NOT NULL")
     compared = store(_compare(_contexts(judged, firsts, units), units, within, crowd), "compared")
     whole = classes.where("bucket IS NULL").select(

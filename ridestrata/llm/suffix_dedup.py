@@ -14,7 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridestrata.llm.repeats import CROWD, Units, later, merged, name, repeated_spans, with_spans
+from ridestrata.llm.repeats import CROWD, HOT, Units, later, merged, name, repeated_spans, with_spans
 
 WIDTH = 50
 QGRAM = 16
@@ -70,7 +70,9 @@ CUT = T.StructType(
 )
 
 
-def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, whole: bool = False) -> DataFrame:
+def without_repeats(
+    docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, whole: bool = False, hot: float = HOT
+) -> DataFrame:
     """``docs`` with a column ``_rs_cut`` (n_bytes, n_removed, n_spans, kept): each text
     without the bytes covered by a string of ``width`` bytes that also starts in a
     text with a smaller doc_id. With ``whole``, a character of which a byte goes is left
@@ -93,12 +95,12 @@ def without_repeats(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, who
             parts = [part.decode(errors="ignore").encode() for part in parts]
         return n, removed, len(starts), b"".join(parts)
 
-    return with_spans(docs, repeated_spans(docs, byte_units(width), False, crowd), kept, CUT)
+    return with_spans(docs, repeated_spans(docs, byte_units(width), False, crowd, hot), kept, CUT)
 
 
-def suffix_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD) -> DataFrame:
+def suffix_dedup(docs: DataFrame, width: int = WIDTH, crowd: int = CROWD, hot: float = HOT) -> DataFrame:
     """One row per row of ``docs``: doc_id, the counts, and the bytes kept."""
-    cut = without_repeats(docs.select("doc_id", "text"), width, crowd)
+    cut = without_repeats(docs.select("doc_id", "text"), width, crowd, hot=hot)
     return cut.select("doc_id", "_rs_cut.*")
 
 

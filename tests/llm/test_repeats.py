@@ -42,17 +42,20 @@ def digests(rows):
     return sorted((tuple(r)[:-1] + (sha256(bytes(r[-1]) if not isinstance(r[-1], str) else r[-1].encode()).hexdigest(),) for r in rows), key=str)
 
 
-@pytest.mark.parametrize("seed,width,crowd", [(1, 50, 20_000), (2, 24, 20_000), (3, 50, 3), (4, 30, 1)])
-def test_substrings(spark, seed, width, crowd):
+LIMITS = [(20_000, 0.001), (20_000, 0.00008), (3, 0.001), (1, 0.0002)]
+
+
+@pytest.mark.parametrize("seed,width,limits", [*zip((1, 2, 3, 4), (50, 24, 50, 30), LIMITS)])
+def test_substrings(spark, seed, width, limits):
     docs = corpus(seed)
-    found = suffix_dedup(spark.createDataFrame(docs, SCHEMA).repartition(5), width, crowd)
+    found = suffix_dedup(spark.createDataFrame(docs, SCHEMA).repartition(5), width, *limits)
     assert digests(found.collect()) == substring_rows(docs, width)
 
 
-@pytest.mark.parametrize("seed,width,crowd", [(5, 20, 20_000), (6, 8, 20_000), (7, 20, 3), (8, 5, 1)])
-def test_windows(spark, seed, width, crowd):
+@pytest.mark.parametrize("seed,width,limits", [*zip((5, 6, 7, 8), (20, 8, 20, 5), LIMITS)])
+def test_windows(spark, seed, width, limits):
     docs = corpus(seed)
-    found = recompression_dedup(spark.createDataFrame(docs, SCHEMA).repartition(5), width, crowd)
+    found = recompression_dedup(spark.createDataFrame(docs, SCHEMA).repartition(5), width, *limits)
     assert digests(found.collect()) == window_rows(docs, width)
 
 
@@ -90,3 +93,15 @@ def test_kept_text_keeps_columns_and_whole_characters(spark):
     assert with_kept_text(frame).columns == frame.columns
     assert found[1]["text"] == "ab" + shared and found[2]["text"] == "z" and found[2]["n_chars"] == 1
     assert found[3]["text"] is None
+
+
+@pytest.mark.parametrize("hot", [0.00004, 0.0001, 0.001])
+def test_buckets_over_many_batches(spark, hot):
+    docs = corpus(9)
+    frame = spark.createDataFrame(docs, SCHEMA).repartition(3)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        assert digests(suffix_dedup(frame, 30, 4, hot).collect()) == substring_rows(docs, 30)
+        assert digests(recompression_dedup(frame, 8, 4, hot).collect()) == window_rows(docs, 8)
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
