@@ -440,7 +440,8 @@ def repeated_spans(
     chosen = keyed.groupBy("doc_id").agg(F.min(F.struct("key", "more")).alias("k"))
     chosen = store(chosen.select("doc_id", "k.key", "k.more"), "chosen")
     least = chosen.groupBy("key", "more").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
-    copied = chosen.join(least.where("n > 1"), ["key", "more"]).where("doc_id > least")
+    shared = store(least.where("n > 1").select("key", "more", "least"), "shared-texts")
+    copied = lookup_join(chosen, shared, ["key", "more"], "inner").where("doc_id > least")
     copies = store(copied.select("doc_id"), "copies")
     judged = known.select("doc_id", "text")
     if keyed.count() > chosen.count():

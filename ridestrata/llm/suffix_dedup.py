@@ -14,10 +14,13 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ridestrata.llm.repeats import CROWD, HOT, Units, later, merged, name, repeated_spans, with_spans
+from ridestrata.llm.repeats import CROWD, Units, later, merged, name, repeated_spans, with_spans
 
 WIDTH = 50
 QGRAM = 16
+#: No bucket counts as hot: each row of one would become up to 35 windows, too many to
+#: shuffle. A bucket of more than ``CROWD`` rows is still not held by its task.
+HOT = 1.0
 
 
 def _bytes(text: bytes) -> np.ndarray:
