@@ -434,20 +434,26 @@ def repeated_spans(
     (doc_id) of texts that equal one with a smaller id and are therefore not cut
     into units, and (doc_id, key): the key of the text that was judged for an id.
     Rows without id take no part. Of several texts under one id, the one with the
-    least key is judged."""
+    least key is judged; of repeated rows one is, since a text is no earlier than itself."""
     known = docs.where("doc_id IS NOT NULL")
-    keyed = store(_keyed(known).distinct(), "keys")
-    chosen = keyed.groupBy("doc_id").agg(F.min(F.struct("key", "more")).alias("k"))
-    chosen = store(chosen.select("doc_id", "k.key", "k.more"), "chosen")
+    keyed = store(_keyed(known).groupBy("doc_id", "key", "more").agg(F.count("*").alias("n")), "keys")
+    chosen = keyed.groupBy("doc_id").agg(F.min(F.struct("key", "more", "n")).alias("k"))
+    chosen = store(chosen.select("doc_id", "k.key", "k.more", "k.n"), "chosen")
     least = chosen.groupBy("key", "more").agg(F.min("doc_id").alias("least"), F.count("*").alias("n"))
     shared = store(least.where("n > 1").select("key", "more", "least"), "shared-texts")
-    copied = lookup_join(chosen, shared, ["key", "more"], "inner").where("doc_id > least")
+    copied = lookup_join(chosen.drop("n"), shared, ["key", "more"], "inner").where("doc_id > least")
     copies = store(copied.select("doc_id"), "copies")
     judged = known.select("doc_id", "text")
     if keyed.count() > chosen.count():
         text_key = F.xxhash64(F.coalesce(F.col("text").cast("string"), F.lit("")))
         judged = lookup_join(judged.withColumn("key", text_key), chosen.select("doc_id", "key"), ["doc_id", "key"], "left_semi")
     judged = lookup_join(judged.select("doc_id", "text"), copies, ["doc_id"], "left_anti")
+    if not chosen.where("n > 1").isEmpty():
+        # Only the texts of repeated rows move.
+        again = store(chosen.where("n > 1").select("doc_id"), "repeated-rows")
+        single = lookup_join(judged, again, ["doc_id"], "left_anti")
+        one = lookup_join(judged, again, ["doc_id"], "left_semi").dropDuplicates(["doc_id"])
+        judged = single.unionByName(one)
     classes = store(_classes(_anchors(judged, units, within, hot), within), "classes")
     firsts = classes.where("bucket IS NOT NULL")
     compared = store(_compare(_contexts(judged, firsts, units), units, within, crowd), "compared")

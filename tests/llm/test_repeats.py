@@ -70,6 +70,16 @@ def test_odd_rows(spark):
     assert digests(recompression_dedup(frame).collect()) == window_rows(ODD, 20)
 
 
+@pytest.mark.parametrize("limits", [(20_000, 0.001), (1, 0.00004)])
+def test_repeated_rows(spark, limits):
+    long = [" ".join(f"{p}{i % 50}" for i in range(70)) for p in "pqr"]
+    docs = [(1, long[0]), (1, long[0]), (2, f"{long[1]} {long[0]}"), (3, long[2]), (5, long[1])] + [(4, f"x {long[2]}")] * 4
+    for parts in (1, 5):
+        frame = spark.createDataFrame(docs, SCHEMA).repartition(parts)
+        assert digests(recompression_dedup(frame, 20, *limits).collect()) == window_rows(docs, 20)
+        assert digests(suffix_dedup(frame, 50, *limits).collect()) == substring_rows(docs, 50)
+
+
 def test_texts_that_share_an_id(spark):
     one, two = " ".join(f"p{i}" for i in range(40)), " ".join(f"q{i}" for i in range(40))
     frame = spark.createDataFrame([(1, one), (2, one), (2, two), (3, two)], SCHEMA)
