@@ -55,8 +55,9 @@ def _runs(texts: list[list[str]], size: int) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _seeds(items: DataFrame, match: int) -> DataFrame:
-    """(seed, item_id, n): the runs of each item; one with fewer words than ``match``
-    is one run of its own length. ``n`` is the length of the item."""
+    """(seed, item_id, n, places): the runs of each item and at how many places of it
+    each stands; an item with fewer words than ``match`` is one run of its own length.
+    ``n`` is the length of the item."""
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
@@ -64,13 +65,14 @@ def _seeds(items: DataFrame, match: int) -> DataFrame:
                 words = tokens(text)
                 if not words:
                     continue
-                found = np.unique(_runs([words], min(match, len(words)))[0]).view(np.int64)
+                found, places = np.unique(_runs([words], min(match, len(words)))[0], return_counts=True)
+                ids, lengths = [item_id] * len(found), [len(words)] * len(found)
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(found), pa.array([item_id] * len(found), pa.int64()), pa.array([len(words)] * len(found), pa.int32())],
-                    ["seed", "item_id", "n"],
+                    [pa.array(found.view(np.int64)), pa.array(ids, pa.int64()), pa.array(lengths, pa.int32()), pa.array(places, pa.int32())],
+                    ["seed", "item_id", "n", "places"],
                 )
 
-    return items.mapInArrow(batches, "seed long, item_id long, n int")
+    return items.mapInArrow(batches, "seed long, item_id long, n int, places int")
 
 
 def _bitmap(seeds: DataFrame) -> np.ndarray:
@@ -195,8 +197,8 @@ def leaks(docs: DataFrame, items: DataFrame, match: int = MATCH, coverage: float
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     suspects = store(_suspects(texts, seeds, match).withColumn("key", F.xxhash64("text")), "suspects")
     met = suspects.select("doc_id", "key", F.explode("seeds").alias("seed")).join(seeds, "seed")
-    # Each shared seed covers ``match`` words at most, so fewer cannot be enough.
-    pairs = met.groupBy("doc_id", "key", "item_id", "n").agg(F.countDistinct("seed").alias("shared"))
+    # Each place of a shared seed covers ``match`` words at most, so fewer cannot be enough.
+    pairs = met.distinct().groupBy("doc_id", "key", "item_id", "n").agg(F.sum("places").alias("shared"))
     pairs = store(pairs.where(F.col("shared") * match >= F.col("n") * coverage), "pairs")
     bodies = suspects.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "text").dropDuplicates(["d", "k"])
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))

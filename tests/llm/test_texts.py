@@ -153,6 +153,21 @@ def test_leaks(spark):
     assert leaks(frame.where("false"), items).count() == 0 and leaks(frame, items.where("false")).count() == 0
 
 
+def test_leaks_of_items_that_repeat_runs(spark):
+    one, refrain = " ".join(["la"] * 10), "we all sing this song"
+    verses = [" ".join(f"{v}{i}" for i in range(5)) for v in "abcd"]
+    song = " ".join(f"{refrain} {verse}" for verse in verses)
+    table = " ".join("0 1" for _ in range(12))
+    items = [(1, one), (2, song), (3, table)]
+    docs = [
+        (1, f"x {one} y"), (2, f"{refrain} x {refrain} y {refrain} z {refrain} u {verses[2]}"), (3, f"n {table} 2"),
+        (4, "la la la la la"), (5, refrain), (6, "0 1 0 1 0 1"), (1, f"x {one} y"),
+    ]
+    found = leaks(spark.createDataFrame(docs, DOCS), spark.createDataFrame(items, "item_id long, text string"))
+    rows = [(r["doc_id"], r["item_id"], r["n_tokens"], r["n_covered"]) for r in found.collect()]
+    assert sorted(rows) == [(1, 1, 10, 10), (2, 2, 40, 25), (3, 3, 24, 24)]
+
+
 def test_leaks_find_every_whole_item(spark):
     found = {(r["doc_id"], r["item_id"]) for r in QUERIES["op9_decontamination"](spark, SF).collect()}
     plain = lambda text: f" {' '.join(tokens(text))} "
