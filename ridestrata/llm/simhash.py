@@ -22,7 +22,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ridestrata.llm.graph import components
@@ -274,6 +274,25 @@ def fingerprint_links(points: DataFrame, distance: int = 3, limit: int = CELL) -
     return first.where("choice < 0").unionByName(second).select("a", "b").distinct()
 
 
+def _grouped(docs: DataFrame, shingle: int, seed: int, distance: int, limit: int) -> DataFrame:
+    """(doc_id, fp, root, component_id) for every row of ``docs``. ``root`` names the
+    group, ``component_id`` need not where groups share an id."""
+    marked = store(fingerprints(docs, shingle, seed), "fingerprints")
+    points = store(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
+    classes = components(fingerprint_links(points.select("fp"), distance, limit))
+    # Only fingerprints that have a link are in ``classes``.
+    rooted = points.join(classes, points["fp"] == classes["node"], "left").select(
+        "fp", "least", F.coalesce("root", "fp").alias("root")
+    )
+    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
+    named = store(rooted.join(least, "root").select("fp", "root", "component_id"), "classes")
+    return lookup_join(marked, named, ["fp"])
+
+
+def _hex(fp: str) -> Column:
+    return F.lower(F.lpad(F.hex(fp), 16, "0"))
+
+
 def near_duplicates(
     docs: DataFrame, shingle: int = 3, seed: int = 42, distance: int = 3, limit: int = CELL
 ) -> DataFrame:
@@ -283,36 +302,35 @@ def near_duplicates(
     rows come back repeated. A row without doc_id links its group too, but only
     ids count for ``component_id``, which is null where a group has none. An empty
     table gives no rows; other columns than doc_id and text are not read."""
-    marked = store(fingerprints(docs, shingle, seed), "fingerprints")
-    points = store(marked.groupBy("fp").agg(F.min("doc_id").alias("least")), "points")
-    classes = components(fingerprint_links(points.select("fp"), distance, limit))
-    # Only fingerprints that have a link are in ``classes``.
-    rooted = points.join(classes, points["fp"] == classes["node"], "left").select(
-        "fp", "least", F.coalesce("root", "fp").alias("root")
-    )
-    least = rooted.groupBy("root").agg(F.min("least").alias("component_id"))
-    named = store(rooted.join(least, "root").select("fp", "component_id"), "classes")
-    return lookup_join(marked, named, ["fp"]).select(
-        "doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
-    )
+    grouped = _grouped(docs, shingle, seed, distance, limit)
+    return grouped.select("doc_id", _hex("fp").alias("fingerprint"), "component_id")
 
 
 def first_of_each(docs: DataFrame, shingle: int = 3, distance: int = 3) -> DataFrame:
     """``docs`` without near copies: of each group the row with the smallest id
-    stays, once. Rows without an id stay only where their group has no id, all of
-    them, since nothing tells them apart."""
-    found = store(near_duplicates(docs, shingle, distance=distance), "near-copies")
-    keeps = found.where("doc_id <=> component_id").groupBy("doc_id").agg(F.count("*").alias("copies"))
-    keeps = store(keeps, "kept-ids")
-    if keeps.where("copies > 1 AND doc_id IS NOT NULL").limit(1).count():
-        place = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64("text")))
-        numbered = docs.withColumn("_rs_place", F.when(F.col("doc_id").isNotNull(), place).otherwise(1))
-        docs = numbered.where("_rs_place = 1").drop("_rs_place")
-    ids = keeps.where("doc_id IS NOT NULL").select("doc_id")
-    kept = lookup_join(docs, ids, ["doc_id"], "left_semi")
+    stays, once, and of several with that id the one with the least fingerprint. Rows
+    without an id stay only where their group has no id, all of them, since nothing
+    tells them apart."""
+    found = store(_grouped(docs, shingle, 42, distance, CELL), "near-copies")
+    leads = F.max(F.col("doc_id") == F.col("component_id")).alias("leads")
+    ids = found.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.count("*").alias("copies"), leads)
+    ids = store(ids.where("leads").select("doc_id", "copies"), "kept-ids")
+    kept = lookup_join(docs, ids.where("copies = 1").select("doc_id"), ["doc_id"], "left_semi")
+    # The id of several rows does not tell which of them leads a group.
+    if not ids.where("copies > 1").isEmpty():
+        shared = store(ids.where("copies > 1").select("doc_id"), "shared-ids")
+        first = lookup_join(found.where("doc_id = component_id"), shared, ["doc_id"], "left_semi")
+        first = first.groupBy("root", "doc_id").agg(F.min("fp").alias("fp"))
+        first = store(first.select("doc_id", _hex("fp").alias("_rs_fp")), "leads")
+        several = lookup_join(docs, shared, ["doc_id"], "left_semi")
+        several = several.withColumn("_rs_fp", _hex_fingerprint(shingle)("text"))
+        several = lookup_join(several, first, ["doc_id", "_rs_fp"], "left_semi")
+        place = F.row_number().over(Window.partitionBy("doc_id", "_rs_fp").orderBy(F.xxhash64("text")))
+        several = several.withColumn("_rs_place", place).where("_rs_place = 1")
+        kept = kept.unionByName(several.drop("_rs_place", "_rs_fp"))
     # An id-less row stays only if its own group has no id.
-    if keeps.where("doc_id IS NULL").limit(1).count():
-        lone = found.where("component_id IS NULL").select(F.col("fingerprint").alias("_rs_fp")).distinct()
+    lone = found.where("component_id IS NULL").select(_hex("fp").alias("_rs_fp")).distinct()
+    if not lone.isEmpty():
         idless = docs.where("doc_id IS NULL")
         marked = idless.withColumn("_rs_fp", _hex_fingerprint(shingle)("text"))
         kept = kept.unionByName(marked.join(lone, "_rs_fp", "left_semi").drop("_rs_fp"))

@@ -93,3 +93,11 @@ def test_repeated_ids_stay_once_and_empty_table(spark):
     assert [tuple(r) for r in first_of_each(frame).collect()] == [(1, "a b c")]
     empty = spark.createDataFrame([], "doc_id long, text string")
     assert near_duplicates(empty).count() == 0 and first_of_each(empty).count() == 0
+
+
+def test_each_group_keeps_its_lead_under_a_shared_id(spark):
+    one, two, three = "a b c d", "other " * 40, "lone words here only"
+    rows = [(1, one), (1, two), (1, two), (5, one), (6, two), (3, three), (3, one), (7, three), (8, None), (None, three)]
+    frame = spark.createDataFrame([(t, i) for i, t in rows], "text string, doc_id int")
+    kept = sorted(((r["doc_id"], r["text"]) for r in first_of_each(frame).collect()), key=str)
+    assert kept == sorted([(1, one), (1, two), (3, three), (8, None)], key=str)
