@@ -20,18 +20,28 @@ def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
 
 
 def bounded_sample(rows: DataFrame, label: str, per_label: int, max_chars: int) -> list[dict]:
-    """At most ``per_label`` rows of each label, texts of up to ``max_chars``
-    characters, on the driver. Rows are picked by a hash of id and text, so the
-    same table always gives the same sample; the bounds are the caller's."""
+    """At most ``per_label`` rows of each label, however many labels there are, texts of
+    up to ``max_chars`` characters, on the driver. Rows are picked by a hash of id and
+    text, so the same table always gives the same sample; the bounds are the caller's.
+    Labels with no more rows than that are read together, each other one by itself."""
     eligible = rows.where(F.col(label).isNotNull() & (F.length("text") <= max_chars))
     order = F.xxhash64("doc_id", "text", F.lit(11))
+    counts = eligible.groupBy(label).count().orderBy(label).collect()
+    whole = {found[label]: [] for found in counts if found["count"] <= per_label}
+    if whole:
+        for row in eligible.where(F.col(label).isin(list(whole))).withColumn("_rs_order", order).collect():
+            whole[row[label]].append(row.asDict())
     sample = []
-    for found in eligible.groupBy(label).count().orderBy(label).limit(256).collect():
+    for found in counts:
+        if found[label] in whole:
+            taken = sorted(whole[found[label]], key=lambda row: row["_rs_order"])
+            sample += [{name: row[name] for name in rows.columns} for row in taken]
+            continue
         share = min(1.0, per_label * 1.1 / found["count"])
         bound = min(int((share * 2 - 1) * 2.0**63), 2**63 - 1)
         picked = eligible.where((F.col(label) == found[label]) & (order <= bound))
-        sample += picked.orderBy(order).limit(per_label).collect()
-    return [row.asDict() for row in sample]
+        sample += [row.asDict() for row in picked.orderBy(order).limit(per_label).collect()]
+    return sample
 
 
 def segment_sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:

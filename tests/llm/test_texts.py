@@ -11,6 +11,7 @@ from tokenizers import Tokenizer
 
 from ridestrata.llm import language, quality, toxicity
 from ridestrata.llm.bpe import coded, load_bpe, token_ids
+from ridestrata.llm.common import bounded_sample
 from ridestrata.llm.decontaminate import covered, leaks, tiles, tokens, without_leaks
 from ridestrata.llm.queries import ORACLE, QUERIES, URL_RULES
 from ridestrata.llm.rules import ruled
@@ -196,6 +197,12 @@ def test_language_rows(spark):
     assert {r["lang_pred"] for r in language.identified(odd_frame(spark), untaught).collect()} == {"und"}
 
 
+def test_sample_takes_every_label(spark):
+    rows = [(i, f"text {i}", f"l{i:03}") for i in range(260)]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").coalesce(1)
+    assert [r["lang"] for r in bounded_sample(frame, "lang", 2, 100)] == [lang for *_, lang in rows]
+
+
 def test_quality_and_toxicity_rows(spark):
     good, bad = "fine words here and there ", "you idiot you stupid MORON!! "
     labels = np.array([0.0, 1.0] * 40)
