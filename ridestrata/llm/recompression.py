@@ -1,7 +1,7 @@
 """Substring dedup by recompression of word sequences.
 
-Round by round, runs of one word and then pairs of neighbouring symbols are
-replaced by new symbols. A symbol's name depends on its content alone, so every
+Runs of one word are replaced by new symbols once, and then, round by round, pairs of
+neighbouring symbols; equal symbols that meet in later rounds stay apart. A symbol's name depends on its content alone, so every
 task gives equal content the same name. Which pairs merge is decided by one bit of
 each symbol's name, new in every round: a left symbol merges with a right symbol
 behind it. Each symbol carries the words on which its making depended; a window

@@ -1,11 +1,12 @@
-"""Exact substring dedup by bucket-pointer refinement of suffixes.
+"""Substring dedup by anchors and hashed names of their contexts.
 
-The suffixes are sorted no deeper than a window of ``WIDTH`` bytes. The initial
+No suffixes are put in order and no bucket pointers are refined. Names reach no deeper
+than a window of ``WIDTH`` bytes. The initial
 buckets are the 8-grams themselves; the bucket of twice the depth follows from the
 identifiers at a place and at the place one depth later, and each deeper identifier
 is built from the deeper ones before it, down to the whole window. Only suffixes
-that start at an anchor are sorted: of the places of a window, the one whose 16-gram
-bucket has the least identifier. Spark sorts their buckets and refines them by the
+that start at an anchor are named: of the places of a window, the one whose 16-gram
+bucket has the least identifier. Spark groups their buckets by the
 identifiers of all later and earlier offsets that a window can reach
 (``ridestrata.llm.repeats``)."""
 
