@@ -14,12 +14,13 @@ from ridestrata.llm.decontaminate import leaks
 from ridestrata.llm.language import identified, learn_languages
 from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
+from ridestrata.llm.records import digests, token_records
 from ridestrata.llm.rules import ruled
 from ridestrata.llm.simhash import near_duplicates
 from ridestrata.llm.suffix_dedup import suffix_dedup
 from ridestrata.llm.toxicity import learn_toxicity, toxicity
 from ridestrata.llm.urls import judged, rule_table
-from ridestrata.operators.stored import lookup_join, store
+from ridestrata.operators.stored import lookup_join, scratch_path, store
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -156,3 +157,9 @@ def op3_quality_rules(spark, sf_dir):
 def op9_decontamination(spark, sf_dir):
     found = leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
     return found.drop("key").distinct()
+
+
+@query
+def op13_token_records(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    return digests(token_records(docs, scratch_path(spark, "records"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
