@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ridestrata.llm.bpe import coded, load_bpe
 from ridestrata.llm.common import in_fold, table
 from ridestrata.llm.decontaminate import leaks
+from ridestrata.llm.importance import Sampling, resampled
 from ridestrata.llm.language import identified, learn_languages
 from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
@@ -163,3 +164,62 @@ def op9_decontamination(spark, sf_dir):
 def op13_token_records(spark, sf_dir):
     docs = table(spark, sf_dir, "documents")
     return digests(token_records(docs, scratch_path(spark, "records"), public_tokenizers.path("byte_bpe_50k.json"), end_id=0))
+
+
+@query
+def op11_importance(spark, sf_dir):
+    settings = Sampling(buckets=10_000, longest=1, least_words=20, percent=10, seed=2024)
+    drawn = resampled(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), settings)
+    return drawn.select("doc_id", "n_features", "weight", "score", "rank")
+
+
+ORACLE["op11_importance"] = """
+WITH texts AS (
+  SELECT doc_id, 'd' AS side, text FROM documents UNION ALL SELECT NULL, 'b', text FROM benchmark
+),
+words AS (
+  SELECT doc_id, side, unnest(regexp_extract_all(
+    translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+')) AS word
+  FROM texts
+),
+counted AS (SELECT doc_id, side, word, count(*) AS n FROM words GROUP BY ALL),
+crc_table AS (
+  SELECT list(list_reduce(list_prepend(i, range(8)), lambda c, k:
+    CASE WHEN c & 1 = 1 THEN xor(3988292384, c >> 1) ELSE c >> 1 END) ORDER BY i) AS entries
+  FROM range(256) AS t(i)
+),
+vocabulary AS (SELECT DISTINCT word FROM counted),
+hashed AS (
+  SELECT word, xor(4294967295, list_reduce(
+    list_prepend(4294967295::BIGINT, list_transform(range(octet_length(encode(word))),
+      lambda p: ('0x' || substr(hex(encode(word)), 2 * p + 1, 2))::BIGINT)),
+    lambda c, byte: xor(c >> 8, entries[(xor(c, byte) & 255) + 1]))) % 10000 AS bucket
+  FROM vocabulary, crc_table
+),
+per_bucket AS (
+  SELECT bucket, sum(CASE WHEN side = 'd' THEN n ELSE 0 END) AS s, sum(CASE WHEN side = 'b' THEN n ELSE 0 END) AS t
+  FROM counted JOIN hashed USING (word) GROUP BY bucket
+),
+totals AS (SELECT sum(s)::DOUBLE AS all_s, sum(t)::DOUBLE AS all_t FROM per_bucket),
+gains AS (
+  SELECT bucket, floor(1000 * ln((t + 1)::DOUBLE * (all_s + 10000) / ((s + 1)::DOUBLE * (all_t + 10000))))::BIGINT AS gain
+  FROM per_bucket, totals
+),
+weights AS (
+  SELECT doc_id, sum(n)::BIGINT AS n_features, sum(n * gain)::BIGINT AS weight
+  FROM counted JOIN hashed USING (word) JOIN gains USING (bucket) WHERE side = 'd' GROUP BY doc_id
+),
+scored AS (
+  SELECT d.doc_id, coalesce(n_features, 0) AS n_features, coalesce(weight, 0) AS weight,
+         coalesce(weight, 0) + floor(-1000 * ln(-ln((('0x' || substr(sha256('2024:' || d.doc_id), 1, 8))::BIGINT + 0.5::DOUBLE)
+           / 4294967296::DOUBLE)))::BIGINT AS score
+  FROM documents AS d LEFT JOIN weights AS w ON d.doc_id = w.doc_id
+),
+places AS (
+  SELECT *, CASE WHEN n_features >= 20 THEN
+    row_number() OVER (PARTITION BY n_features >= 20 ORDER BY score DESC, doc_id) END AS place,
+    count(*) FILTER (n_features >= 20) OVER () AS n
+  FROM scored
+)
+SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM places
+"""
