@@ -3,6 +3,7 @@
 import os
 from collections.abc import Callable
 from pathlib import Path
+from zlib import crc32
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +14,7 @@ from ridestrata.llm.common import in_fold, table
 from ridestrata.llm.decontaminate import leaks
 from ridestrata.llm.importance import Sampling, resampled
 from ridestrata.llm.language import identified, learn_languages
+from ridestrata.llm.periodic import periodic_runs, run_lines, strongest
 from ridestrata.llm.quality import learn_quality, scored
 from ridestrata.llm.recompression import recompression_dedup
 from ridestrata.llm.records import digests, token_records
@@ -223,3 +225,34 @@ places AS (
 )
 SELECT doc_id, n_features, weight, score, CASE WHEN place <= 10 * n // 100 THEN place END AS rank FROM places
 """
+
+
+def planted(doc_id: int | None, words: list[bytes]) -> list[bytes]:
+    """The words with a tail that repeats, in about every tenth document by its id."""
+    if doc_id is None or not words:
+        return words
+    h, n = crc32(str(doc_id).encode()), len(words)
+    if h % 10:
+        return words
+    g = h // 10
+    at = g % n
+    period = 1 + (n - at) // (3 + g % 8)
+    tail = words[at : at + period]
+    return words[:at] + (tail * ((n - at) // period + 1))[: n - at]
+
+
+@query
+def op12_periodic_runs(spark, sf_dir):
+    found = periodic_runs(table(spark, sf_dir, "documents"), least=6, times=4, words=planted)
+    best = strongest(F.col("runs"))
+    found = found.select("doc_id", "runs", "collapsed", best.alias("best"))
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.expr("1000 * best.length div best.period").alias("exponent_milli"),
+        F.sha2(F.encode(run_lines(F.col("runs")), "utf-8"), 256).alias("runs_sha256"),
+        F.sha2(F.encode("collapsed", "utf-8"), 256).alias("collapsed_sha256"),
+    )
