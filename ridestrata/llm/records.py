@@ -19,6 +19,7 @@ holds one line of the manifest per file.
 
 import json
 import re
+from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -28,6 +29,7 @@ from zlib import crc32
 import numpy as np
 import public_tokenizers
 import pyarrow as pa
+import pyarrow.compute as pc
 import pyarrow.fs
 import regex
 from pyspark import TaskContext
@@ -51,7 +53,8 @@ HEAD, FOOT, ENTRY = 12, 12, 16  #: bytes before and after a payload and its own
 CHUNK = 64  #: bytes whose checksum is taken in one step, for all chunks at once
 READ = 4 << 20  #: bytes that a reader asks for at a time, unless one record is larger
 BLOCK = 50_000  #: records of a reading task
-REMEMBERED = 500_000  #: stretches, and pieces, of text whose ids a worker remembers
+REMEMBERED = 700_000  #: words whose ids a worker remembers
+MARKS = frozenset(",.;:!?)\"")  #: single marks behind a word: a piece each
 _MASK = np.uint32(0xA282EAD8)  #: fixed value of the format
 
 
@@ -341,13 +344,15 @@ class TokenRecords(DataSource):
 
 
 class Encoder:
-    """The tokenizers library, with a memory for stretches and pieces of text.
+    """The tokenizers library, with a memory for words.
 
     Pieces of byte-level BPE do not reach over the ends of a stretch: white space ends
     one, and its last blank goes with the word after it. So the ids of a text are those
     of its stretches, one after another, and those of a stretch are those of its pieces,
-    which the library's model encodes. A text that may hold an added token goes to the
-    library as it is, and so does every text of a tokenizer of another kind."""
+    which the library's model encodes. In texts whose words stand one blank or one or two
+    line feeds apart, stretches are the parts between blanks; Arrow finds the different
+    ones of many texts, and each is looked up once. A text that may hold an added token
+    goes to the library as it is, and so does every text of a tokenizer of another kind."""
 
     def __init__(self, tokenizer: str):
         self.library = Tokenizer.from_str(tokenizer)
@@ -363,29 +368,74 @@ class Encoder:
             and not split.get("add_prefix_space")
             and split.get("use_regex", True)
         )
-        self.added = re.compile("|".join(re.escape(token["content"]) for token in parts["added_tokens"]) or r"(?!)")
+        added = "|".join(re.escape(token["content"]) for token in parts["added_tokens"]) or "\0"
+        self.added = re.compile(added)
+        self.uneven = rf"[\x00{WHITE.replace(' ', '').replace(chr(9) + '-', chr(9) + chr(11) + '-')}]|  | \n|\n |\n\n\n|^[ \n]|[ \n]$|{added}"
         self.stretches = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self.pieces = regex.compile(PIECES)
-        self.shown = {byte: character for byte, character in byte_characters().items() if chr(byte) != character}
+        self.shown = "".join(character for _, character in sorted(byte_characters().items()))
+        self.as_bytes = [number.to_bytes(4, "little") for number in range(self.library.get_vocab_size())]
+        self.words: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
-        self.known_pieces: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
         if not self.by_pieces or self.added.search(text):
             return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
         known = self.known.get
-        found = [known(part) or self._stretch(part) for part in self.stretches.findall(text)]
-        return np.frombuffer(b"".join(found), np.uint32)
+        return np.frombuffer(b"".join([known(p) or self._stretch(p) for p in self.stretches.findall(text)]), np.uint32)
+
+    def encode_all(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Ids of each text; there is no null."""
+        uneven = np.ones(len(texts), bool)
+        if self.by_pieces:
+            uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)
+        found: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
+        for row in np.flatnonzero(uneven).tolist():
+            found[row] = self.encode(texts[row].as_py())
+        even = np.flatnonzero(~uneven)
+        if len(even):
+            for row, ids in zip(even.tolist(), self._even(texts.take(pa.array(even)))):
+                found[row] = ids
+        return found
+
+    def _even(self, texts: pa.StringArray) -> list[np.ndarray]:
+        """Texts as the words between blanks: one that begins a text is marked by a NUL, one
+        behind a line feed holds it."""
+        marked = pc.binary_join_element_wise("\0", pc.replace_substring(texts, "\n", " \n"), "")
+        split = pc.split_pattern(marked, " ")
+        coded = split.flatten().dictionary_encode()
+        known = self.words.get
+        parts = [known(word) or self._word(word) for word in coded.dictionary.to_numpy(zero_copy_only=False)]
+        flat, sizes = np.frombuffer(b"".join(parts), np.uint32), np.array(list(map(len, parts)), np.int64) // 4
+        words = coded.indices.to_numpy()
+        lengths = sizes[words]
+        ends = np.concatenate([[0], np.cumsum(lengths)])
+        places = np.repeat((np.cumsum(sizes) - sizes)[words] - ends[:-1], lengths) + np.arange(ends[-1])
+        return np.split(flat[places], ends[split.offsets.to_numpy()[1:-1]])
+
+    def _word(self, word: str) -> bytes:
+        if word[0] == "\0" or word[0] == "\n":
+            ids = b"".join(map(self._ids, self.stretches.findall(word.lstrip("\0"))))
+        else:
+            ids = self._ids(" " + word)
+        return self._remembered(self.words, word, ids)
 
     def _stretch(self, part: str) -> bytes:
-        known = self.known_pieces.get
-        ids = b"".join([known(piece) or self._piece(piece) for piece in self.pieces.findall(part)])
-        return self._remembered(self.known, part, ids)
+        return self._remembered(self.known, part, self._ids(part))
+
+    def _ids(self, part: str) -> bytes:
+        """Ids of a stretch. ASCII letters alone are one piece, a mark behind them another."""
+        letters = part[1:] if part[0] == " " else part
+        if letters.isascii() and letters.isalpha():
+            return self._piece(part)
+        if letters[:-1].isascii() and letters[:-1].isalpha() and letters[-1] in MARKS:
+            word = self.words.get(letters[:-1]) if part[0] == " " else None
+            return (word or self._piece(part[:-1])) + self._piece(part[-1])
+        return b"".join(map(self._piece, self.pieces.findall(part)))
 
     def _piece(self, piece: str) -> bytes:
-        tokens = self.model.tokenize(piece.encode().decode("latin-1").translate(self.shown))
-        ids = b"".join([token.id.to_bytes(4, "little") for token in tokens])
-        return self._remembered(self.known_pieces, piece, ids)
+        shown, as_bytes = charmap_decode(piece.encode(), "strict", self.shown)[0], self.as_bytes
+        return b"".join([as_bytes[token.id] for token in self.model.tokenize(shown)])
 
     @staticmethod
     def _remembered(known: dict[str, bytes], text: str, ids: bytes) -> bytes:
@@ -419,9 +469,9 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataF
         encoder = _encoder(tokenizer)
         end = np.array([] if end_id is None else [end_id], np.uint32)
         for batch in rows:
-            for row in range(0, batch.num_rows, 512):
-                part = batch.slice(row, 512)
-                ids = [encoder.encode(text or "") for text in part["text"].to_pylist()]
+            for row in range(0, batch.num_rows, 4096):
+                part = batch.slice(row, 4096)
+                ids = encoder.encode_all(pc.fill_null(part["text"], ""))
                 flat = np.concatenate([found for text in ids for found in (text, end)]).astype(np.int32)
                 ends = np.cumsum([0, *(len(text) + len(end) for text in ids)])
                 lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))

@@ -77,9 +77,13 @@ def test_encoder_like_the_library(library):
     assert encoder.by_pieces
     rng = random.Random(2)
     parts = [*"ab Zé\n\t\r  '’.,!?019½²中😀\x85\x1c\xa0　\0", "'s", "'LL", "<|endoftext|>", "<|", " the", "  ", "\n\n"]
-    for _ in range(4000):
-        text = "".join(rng.choices(parts, k=rng.randrange(30)))
-        assert encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    texts = ["".join(rng.choices(parts, k=rng.randrange(30))) for _ in range(4000)]
+    even = [*"aZé’.,!?019½中😀\x1c", "'s", "the", "<|endoftext|>", "the,", "<|", "\n\n"]
+    texts += [rng.choice([" ", "\n", " ", "\n\n"]).join(rng.choices(even, k=rng.randrange(12))) for _ in range(4000)]
+    found = encoder.encode_all(pa.array(texts))
+    for text, ids in zip(texts, found):
+        assert ids.tolist() == encoder.encode(text).tolist() == library.encode(text, add_special_tokens=False).ids
+    assert [ids.tolist() for ids in encoder.encode_all(pa.array(["", "a"]))] == [[], [64]]
     long = "abcdefghij" * 5000
     assert encoder.encode(long).tolist() == library.encode(long, add_special_tokens=False).ids
 
