@@ -53,7 +53,8 @@ HEAD, FOOT, ENTRY = 12, 12, 16  #: bytes before and after a payload and its own
 CHUNK = 64  #: bytes whose checksum is taken in one step, for all chunks at once
 READ = 4 << 20  #: bytes that a reader asks for at a time, unless one record is larger
 BLOCK = 50_000  #: records of a reading task
-REMEMBERED = 700_000  #: words whose ids a worker remembers
+REMEMBERED = 300_000  #: words whose ids a worker remembers, and as many older ones
+ROWS_TOGETHER = 2048  #: rows that a task encodes and frames together
 MARKS = frozenset(",.;:!?)\"")  #: single marks behind a word: a piece each
 _MASK = np.uint32(0xA282EAD8)  #: fixed value of the format
 
@@ -92,20 +93,17 @@ def crc32c(data: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndar
     chunks meet after as many zero bytes as follow them."""
     out = _followed(np.full(len(lengths), 0xFFFFFFFF, np.uint32), lengths)
     chunks = -(-lengths // CHUNK)
-    total = int(chunks.sum())
+    total, ends = int(chunks.sum()), np.cumsum(chunks)
     if total:
-        first = np.cumsum(chunks) - chunks
-        owner = np.repeat(np.arange(len(lengths)), chunks)
-        after = (chunks[owner] - 1) - (np.arange(total) - first[owner])
-        ends = (starts + lengths)[owner] - after * CHUNK
+        padded = np.zeros(total * CHUNK, np.uint8)
+        for start, length, end in zip(starts.tolist(), lengths.tolist(), (ends * CHUNK).tolist()):
+            padded[end - length : end] = data[start : start + length]
         crc = np.zeros(total, np.uint32)
-        for at in range(-CHUNK, 0):
-            place = ends + at
-            byte = np.where(place >= starts[owner], data[np.maximum(place, 0)], 0)
-            crc = _TABLE[(crc ^ byte) & 255] ^ (crc >> 8)
-        crc = _followed(crc, after * CHUNK)
+        for column in np.ascontiguousarray(padded.reshape(total, CHUNK).T):
+            crc = _TABLE[(crc ^ column) & 255] ^ (crc >> 8)
+        crc = _followed(crc, (np.repeat(ends, chunks) - np.arange(total) - 1) * CHUNK)
         full = np.flatnonzero(chunks)
-        out[full] ^= np.bitwise_xor.reduceat(crc, first[full])
+        out[full] ^= np.bitwise_xor.reduceat(crc, (ends - chunks)[full])
     return ~out
 
 
@@ -179,10 +177,19 @@ class Written(WriterCommitMessage):
 
 
 class RecordWriter(DataSourceArrowWriter):
-    """One data file and one index per task, the manifest at the end."""
+    """One data file and one index per task, the manifest at the end. Rows bring ids, or
+    texts that the task encodes."""
 
-    def __init__(self, path: str):
-        self.path = path
+    def __init__(self, options: dict[str, str]):
+        self.path, self.tokenizer = options["path"], options.get("tokenizer")
+        self.end = np.array([int(options["end_id"])] if "end_id" in options else [], np.uint32)
+
+    def _ids(self, rows: pa.RecordBatch) -> list[np.ndarray]:
+        if self.tokenizer:
+            found = _encoder(self.tokenizer).encode_all(pc.fill_null(rows["text"], ""))
+        else:
+            found = [rows["ids"][row].values.to_numpy(zero_copy_only=False) for row in range(rows.num_rows)]
+        return [np.concatenate([ids, self.end]) for ids in found] if len(self.end) else found
 
     def write(self, iterator: Iterator[pa.RecordBatch]) -> Written:
         files, folder = _place(self.path)
@@ -191,10 +198,9 @@ class RecordWriter(DataSourceArrowWriter):
         name, at, tokens, records = f"part-{partition:06d}-{uuid4().hex}", 0, 0, 0
         with files.open_output_stream(f"{folder}/{name}.records") as data, files.open_output_stream(f"{folder}/{name}.index") as index:
             for batch in iterator:
-                for row in range(0, batch.num_rows, 1024):
-                    part = batch.slice(row, 1024)
-                    lists = part["ids"]
-                    ids = [lists[i].values.to_numpy(zero_copy_only=False) for i in range(part.num_rows)]
+                for row in range(0, batch.num_rows, ROWS_TOGETHER):
+                    part = batch.slice(row, ROWS_TOGETHER)
+                    ids = self._ids(part)
                     frames, lengths = framed(part["doc_id"], ids)
                     sizes = np.array([len(found) for found in ids], np.int64)
                     entries = np.stack([at + np.cumsum(lengths) - lengths, tokens + np.cumsum(sizes) - sizes], 1)
@@ -324,8 +330,10 @@ class RecordReader(DataSourceReader):
 
 
 class TokenRecords(DataSource):
-    """``spark.read`` and ``write.format("token_records")``; options: ``path``, ``seed``
-    for a shuffled read, ``block`` for the records of a reading task."""
+    """``spark.read`` and ``write.format("token_records")``. Options: ``path``; for reads
+    ``seed`` for a shuffled one and ``block`` for the records of a task; for writes
+    ``tokenizer``, the content of a tokenizers file, if rows are (doc_id, text) instead of
+    (doc_id, ids), and ``end_id``, an id to write after each sequence."""
 
     @classmethod
     def name(cls) -> str:
@@ -340,7 +348,7 @@ class TokenRecords(DataSource):
     def writer(self, schema, overwrite: bool) -> RecordWriter:
         if overwrite:
             raise ValueError("token_records are written once; name a new folder")
-        return RecordWriter(self.options["path"])
+        return RecordWriter(dict(self.options))
 
 
 class Encoder:
@@ -376,6 +384,7 @@ class Encoder:
         self.shown = "".join(character for _, character in sorted(byte_characters().items()))
         self.as_bytes = [number.to_bytes(4, "little") for number in range(self.library.get_vocab_size())]
         self.words: dict[str, bytes] = {}
+        self.older: dict[str, bytes] = {}
         self.known: dict[str, bytes] = {}
 
     def encode(self, text: str) -> np.ndarray:
@@ -410,18 +419,32 @@ class Encoder:
         words = coded.indices.to_numpy()
         lengths = sizes[words]
         ends = np.concatenate([[0], np.cumsum(lengths)])
-        places = np.repeat((np.cumsum(sizes) - sizes)[words] - ends[:-1], lengths) + np.arange(ends[-1])
+        # Shifts may wrap round; the places that they give do not.
+        shifts = ((np.cumsum(sizes) - sizes)[words] - ends[:-1]).astype(np.int32)
+        places = np.repeat(shifts, lengths) + np.arange(ends[-1], dtype=np.int32)
         return np.split(flat[places], ends[split.offsets.to_numpy()[1:-1]])
 
     def _word(self, word: str) -> bytes:
-        if word[0] == "\0" or word[0] == "\n":
-            ids = b"".join(map(self._ids, self.stretches.findall(word.lstrip("\0"))))
-        else:
-            ids = self._ids(" " + word)
-        return self._remembered(self.words, word, ids)
+        """Ids of a word that is new, or was last met before the memory was full."""
+        ids = self.older.get(word)
+        if ids is None:
+            if word[0] == "\0" or word[0] == "\n":
+                ids = b"".join(map(self._ids, self.stretches.findall(word.lstrip("\0"))))
+            else:
+                ids = self._ids(" " + word)
+        if len(word) <= 64:
+            if len(self.words) >= REMEMBERED:
+                self.older, self.words = self.words, {}
+            self.words[word] = ids
+        return ids
 
     def _stretch(self, part: str) -> bytes:
-        return self._remembered(self.known, part, self._ids(part))
+        ids = self._ids(part)
+        if len(part) <= 64:
+            if len(self.known) >= REMEMBERED:
+                self.known.clear()
+            self.known[part] = ids
+        return ids
 
     def _ids(self, part: str) -> bytes:
         """Ids of a stretch. ASCII letters alone are one piece, a mark behind them another."""
@@ -437,14 +460,6 @@ class Encoder:
         shown, as_bytes = charmap_decode(piece.encode(), "strict", self.shown)[0], self.as_bytes
         return b"".join([as_bytes[token.id] for token in self.model.tokenize(shown)])
 
-    @staticmethod
-    def _remembered(known: dict[str, bytes], text: str, ids: bytes) -> bytes:
-        if len(text) <= 64:
-            if len(known) >= REMEMBERED:
-                known.clear()
-            known[text] = ids
-        return ids
-
 
 @lru_cache(maxsize=1)
 def _encoder(tokenizer: str) -> Encoder:
@@ -460,28 +475,6 @@ def library_file(spark: SparkSession, path: str) -> str:
         return file.read()
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int | None = None) -> DataFrame:
-    """(doc_id, ids) of ``docs`` (doc_id, text) in their order, each whole text encoded by
-    the tokenizers library from the content of its file, ``end_id`` after each. Null
-    texts count as empty; other columns are not read."""
-
-    def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(tokenizer)
-        end = np.array([] if end_id is None else [end_id], np.uint32)
-        for batch in rows:
-            for row in range(0, batch.num_rows, 4096):
-                part = batch.slice(row, 4096)
-                ids = encoder.encode_all(pc.fill_null(part["text"], ""))
-                flat = np.concatenate([found for text in ids for found in (text, end)]).astype(np.int32)
-                ends = np.cumsum([0, *(len(text) + len(end) for text in ids)])
-                lists = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(flat))
-                yield pa.RecordBatch.from_arrays([part["doc_id"], lists], ["doc_id", "ids"])
-
-    return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
-        batches, "doc_id long, ids array<int>"
-    )
-
-
 def in_id_order(docs: DataFrame) -> DataFrame:
     """(doc_id, text) dealt by ranges of doc_id and sorted, null ids first. Rows of one
     doc_id are in the order of a hash of their text and may fill several ranges."""
@@ -490,16 +483,20 @@ def in_id_order(docs: DataFrame) -> DataFrame:
     return rows.repartitionByRange("doc_id", "_order").sortWithinPartitions("doc_id", "_order", "text")
 
 
-def write_records(ids: DataFrame, path: str) -> None:
+def write_records(rows: DataFrame, path: str, tokenizer: str | None = None, end_id: int | None = None) -> None:
     """Write (doc_id, ids) rows into a new folder, partition after partition, each in its
-    order. The folder must be shared by all executors. An empty table gives a manifest
-    without files. The shuffle files of the write go with it."""
-    spark = ids.sparkSession
+    order; with the content of a tokenizers file (doc_id, text) rows, whose whole texts the
+    writing tasks encode. ``end_id`` follows each sequence. The folder must be shared by
+    all executors. An empty table gives a manifest without files. The shuffle files of the
+    write go with it."""
+    spark = rows.sparkSession
     spark.dataSource.register(TokenRecords)
+    writer = rows.select("doc_id", "text" if tokenizer else "ids").write.format("token_records").mode("append")
+    options = {"tokenizer": tokenizer, "end_id": end_id}
     before = spark.conf.get(CLEANUP, "false")
     spark.conf.set(CLEANUP, "true")
     try:
-        ids.select("doc_id", "ids").write.format("token_records").mode("append").save(path)
+        writer.options(**{name: str(value) for name, value in options.items() if value is not None}).save(path)
     finally:
         spark.conf.set(CLEANUP, before)
 
@@ -525,7 +522,7 @@ def token_records(docs: DataFrame, path: str, tokenizer: str | None = None, end_
     than doc_id and text are not read."""
     spark = docs.sparkSession
     content = library_file(spark, tokenizer or public_tokenizers.path("byte_bpe_50k.json"))
-    write_records(encoded(in_id_order(docs), content, end_id), path)
+    write_records(in_id_order(docs), path, content, end_id)
     return read_records(spark, path)
 
 

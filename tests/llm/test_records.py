@@ -105,6 +105,14 @@ def test_records_of_odd_rows(spark, library, tmp_path):
     assert empty.count() == 0 and records.read_records(spark, str(tmp_path / "b"), seed=1).count() == 0
 
 
+def test_ids_without_a_tokenizer(spark, tmp_path):
+    with_library(spark)
+    rows = [(1, [5, 70_000]), (2, []), (None, [0])]
+    path = str(tmp_path / "ids")
+    records.write_records(spark.createDataFrame(rows, "doc_id long, ids array<int>").coalesce(1), path)
+    assert [tuple(r) for r in records.read_records(spark, path).collect()] == [(1, 0, [5, 70_000]), (2, 2, []), (None, 2, [0])]
+
+
 def test_files_not_in_the_manifest_do_not_count(spark, tmp_path):
     with_library(spark)
     docs = spark.createDataFrame([(i, f"text {i}") for i in range(50)], "doc_id long, text string")
