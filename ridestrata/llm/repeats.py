@@ -137,6 +137,8 @@ def _settled(bucket, context, doc_id, at, size, within: bool, hot: float):
     they get a bucket of their own. A passage that very many texts share thus sends
     one row per task to its bucket. The open rows of a hot bucket get buckets of their
     own too, and the context ``MARK``; a row of size zero marks the bucket."""
+    if not len(bucket):
+        return bucket, context, doc_id, at, size
     key = name(bucket, context)
     order = np.argsort(key, kind="stable")
     same = key[order][1:] == key[order][:-1]

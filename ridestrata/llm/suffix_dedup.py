@@ -52,6 +52,8 @@ def _over(values: np.ndarray, size: int, best, shift) -> np.ndarray:
 def _least_buckets(array: np.ndarray, inside: np.ndarray, width: int):
     grams, _ = _eight_grams(array)
     buckets = name(grams, later(grams, QGRAM - 8))
+    # The name of NULs is zero, which stands for no bucket below.
+    buckets[buckets == 0] = 1
     places = width - QGRAM + 1
     least = np.where(inside, _over(buckets, places, np.minimum, later), np.uint64(0))
     at = np.flatnonzero((_over(least, places, np.maximum, _earlier) == buckets) & (buckets != 0))

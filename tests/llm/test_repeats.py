@@ -52,6 +52,23 @@ def test_substrings(spark, seed, width, limits):
     assert digests(found.collect()) == substring_rows(docs, width)
 
 
+@pytest.mark.parametrize("parts", [1, 200])
+def test_runs_of_nul_bytes(spark, parts):
+    """NULs at the start, inside and at the end, alone and with tails; also with one text
+    per task, where a task has no anchor."""
+    nul, docs = "\0", []
+    for number, run in enumerate((15, 16, 17, 40, 49, 50, 51, 60, 80)):
+        tail = f" shared tail {run} of some more letters"
+        body = nul * run
+        for text in (body + tail, f"alpha {body} beta {number}", f"gamma {body} delta {number}", tail + body, body, "x" * 60 + body):
+            docs.append((len(docs), text))
+    found = suffix_dedup(spark.createDataFrame(docs, SCHEMA).repartition(parts), 50)
+    assert digests(found.collect()) == substring_rows(docs, 50)
+    few = [(1, nul * 60), (2, nul * 70), (3, "short"), (4, f"a{nul * 60}")]
+    found = suffix_dedup(spark.createDataFrame(few, SCHEMA).repartition(parts), 50)
+    assert digests(found.collect()) == substring_rows(few, 50)
+
+
 @pytest.mark.parametrize("seed,width,limits", [*zip((5, 6, 7, 8), (20, 8, 20, 5), LIMITS)])
 def test_windows(spark, seed, width, limits):
     docs = corpus(seed)
