@@ -8,6 +8,7 @@ without overlap, found by a running Karp-Rabin hash whose length falls step by s
 ``match``. An item of which the tiles cover enough words leaks, wherever the parts of it
 stand in the text."""
 
+import heapq
 import re
 from collections.abc import Iterator
 
@@ -133,44 +134,81 @@ def _rolling(values: list[int], size: int, free: list[bool]) -> Iterator[tuple[i
             yield place - size + 1, rolled
 
 
+def _common(item: np.ndarray, p: int, text: np.ndarray, t: int) -> int:
+    """How many values from these places on are equal."""
+    done, step = 0, 16
+    while True:
+        a, b = item[p + done : p + done + step], text[t + done : t + done + step]
+        size = min(len(a), len(b))
+        differ = np.flatnonzero(a[:size] != b[:size])
+        if len(differ):
+            return done + int(differ[0])
+        done += size
+        if size < step:
+            return done
+        step *= 2
+
+
+def _matches(item: list[int], text: list[int], free_item: list[bool], free_text: list[bool], size: int):
+    """(-length, place in item, place in text) of the free stretches of at least ``size``
+    values that both have and no value before extends. Places of the item are kept by
+    their hash and by the value before them, so a text that repeats itself meets only
+    those at which a match begins."""
+    begins: dict[int, dict[int, list[int]]] = {}
+    for p, rolled in _rolling(item, size, free_item):
+        before = item[p - 1] if p and free_item[p - 1] else 0
+        begins.setdefault(rolled, {}).setdefault(before, []).append(p)
+    a = np.where(free_item, item, -1)
+    b = np.where(free_text, text, -2)
+    found = []
+    for t, rolled in _rolling(text, size, free_text):
+        groups = begins.get(rolled)
+        if groups:
+            before = text[t - 1] if t and free_text[t - 1] else -1
+            for value, places in groups.items():
+                if value != before:
+                    for p in places:
+                        k = _common(a, p, b, t)
+                        if k >= size:
+                            found.append((-k, p, t))
+    return found
+
+
 def tiles(item: list[int], text: list[int], match: int) -> list[tuple[int, int, int]]:
     """Greedy string tiling of two sequences of positive numbers: (place in item,
-    place in text, length), longest first, each place in one tile at most."""
+    place in text, length), longest first, each place in one tile at most. Of equally long
+    matches the first by place in the item, then in the text, is marked."""
     free_item, free_text = [True] * len(item), [value > 0 for value in text]
     found: list[tuple[int, int, int]] = []
     size = max(match, min(len(item), 20))
-    while True:
-        table: dict[int, list[int]] = {}
-        for place, rolled in _rolling(item, size, free_item):
-            table.setdefault(rolled, []).append(place)
-        matches, longest = [], 0
-        for t, rolled in _rolling(text, size, free_text):
-            for p in table.get(rolled, ()):
-                k = 0
-                while (
-                    p + k < len(item) and t + k < len(text)
-                    and free_item[p + k] and free_text[t + k] and item[p + k] == text[t + k]
-                ):
-                    k += 1
-                if k >= size:
-                    matches.append((k, p, t))
-                    longest = max(longest, k)
+    while any(free_item):
+        queue = _matches(item, text, free_item, free_text, size)
+        longest = -min((k for k, _, _ in queue), default=0)
         if longest > 2 * size:
             size = longest
             continue
+        heapq.heapify(queue)
         marked = False
-        for k, p, t in sorted(matches, key=lambda m: (-m[0], m[1], m[2])):
-            # What longer tiles have left of a match is found again at this length.
-            if all(free_item[p : p + k]) and all(free_text[t : t + k]):
-                free_item[p : p + k] = [False] * k
-                free_text[t : t + k] = [False] * k
-                found.append((p, t, k))
-                marked = True
+        while queue:
+            k, p, t = heapq.heappop(queue)
+            k = -k
+            # What a tile has taken of a match parts it; what is left behind the last such
+            # place waits for its turn, shorter pieces before it are found in the next round.
+            taken = max((i for i in range(k) if not (free_item[p + i] and free_text[t + i])), default=-1) + 1
+            if taken:
+                if k - taken >= size:
+                    heapq.heappush(queue, (taken - k, p + taken, t + taken))
+                continue
+            free_item[p : p + k] = [False] * k
+            free_text[t : t + k] = [False] * k
+            found.append((p, t, k))
+            marked = True
         if marked:
             continue
         if size == match:
             return found
         size = max(match, size // 2)
+    return found
 
 
 def covered(item: list[str], text: list[str], match: int) -> tuple[int, int]:
