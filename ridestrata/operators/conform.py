@@ -51,19 +51,25 @@ def to_silver(
     return conform(without_quarantined(flagged, key, strict), silver_mapping(tz))
 
 
+def kept_to_silver(kept: DataFrame, tz: str = LOCAL_TZ, also: tuple[str, ...] = ()) -> DataFrame:
+    """Silver of rows that are known to be clean, with the columns ``also`` as they are."""
+    return conform(kept, {**silver_mapping(tz), **{name: F.col(name) for name in also}})
+
+
 def fact(df: DataFrame, columns: tuple[str, ...] = FACT_COLUMNS) -> DataFrame:
     return df.select(*columns)
 
 
 def in_roles(
-    df: DataFrame, roles: tuple[tuple[str, ...], ...], names: tuple[str, ...]
+    df: DataFrame, roles: tuple[tuple[str, ...], ...], names: tuple[str, ...], also: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Each row once per role under common column names, in a single scan."""
+    """Each row once per role under common column names, in a single scan; the columns
+    ``also`` come along."""
     per_role = [
         F.struct(*[F.col(source).alias(name) for source, name in zip(role, names)])
         for role in roles
     ]
-    return df.select(F.inline(F.array(*per_role)))
+    return df.select(*also, F.inline(F.array(*per_role)))
 
 
 def role_union_dim(

@@ -20,11 +20,13 @@ def flag(
     rules: list[Rule] | None = None,
     drift: list[Drift] = TRIP_DRIFT,
     across_roles: bool = False,
+    drifting: DataFrame | None = None,
 ) -> DataFrame:
-    """All rows with ``is_bad`` and ``failed_rules`` added."""
+    """All rows with ``is_bad`` and ``failed_rules`` added. ``drifting`` holds the ids
+    (role, id) that drift, if they are known from more rows than these."""
     columns = df.columns
     rules = trip_rules() if rules is None else rules
-    marked, drift_rules = with_drift(df, list(drift), across_roles)
+    marked, drift_rules = with_drift(df, list(drift), across_roles, drifting)
     every = [*rules, *drift_rules]
     return marked.select(
         *columns,
@@ -82,6 +84,19 @@ def without_quarantined(flagged: DataFrame, key: str, strict: bool = True) -> Da
     return lookup_join(kept, store(mixed, "mixed-keys"), [key], "left_anti")
 
 
+def without_bad_keys(flagged: DataFrame, bad_keys: DataFrame, key: str, strict: bool = True) -> DataFrame:
+    """``without_quarantined`` where rows outside ``flagged`` may be quarantined too:
+    ``bad_keys`` has the keys of all of them, in a column of the same name. Only the keys
+    that the kept rows share with them meet the wide rows."""
+    keep: Column = ~F.col("is_bad")
+    if not strict:
+        keep = keep | F.col(key).isNull()
+    kept = flagged.where(keep).drop("is_bad", "failed_rules")
+    good = kept.select(key).where(F.col(key).isNotNull()).distinct()
+    mixed = store(good.join(bad_keys.select(key), key, "left_semi"), "mixed-keys")
+    return lookup_join(kept, mixed, [key], "left_anti")
+
+
 def failures_by_rule(bad: DataFrame, names: list[str]) -> dict[str, DataFrame]:
     """One table of failing rows per rule."""
     return {

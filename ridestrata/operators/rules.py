@@ -93,13 +93,12 @@ def trip_rules(longest: timedelta = LONGEST_RIDE, basis: str = "wall") -> list[R
     ]
 
 
-def drifting_ids(df: DataFrame, drift: list[Drift], across_roles: bool = False) -> DataFrame:
-    """(role, id) of every identifier that carries several names.
-
-    All roles are read in one scan. Equal (role, id, name) triples collapse
-    before the shuffle, so a hot station costs one row per task. With
-    ``across_roles`` the names of all roles are compared with each other.
-    """
+def names_by_role(
+    df: DataFrame, drift: list[Drift], across_roles: bool = False, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Distinct (role, id, name) of all identifiers, and the columns ``by``. All roles are
+    read in one scan. Equal rows collapse before the shuffle, so a hot station costs one
+    row per task. With ``across_roles`` all roles are one."""
     roles = F.array(
         *[
             F.struct(
@@ -110,24 +109,29 @@ def drifting_ids(df: DataFrame, drift: list[Drift], across_roles: bool = False)
             for d in drift
         ]
     )
-    return (
-        df.select(F.inline(roles))
-        .where("id is not null and name is not null")
-        .distinct()
-        .groupBy("role", "id")
-        .count()
-        .where("count > 1")
-        .select("role", "id")
-    )
+    return df.select(*by, F.inline(roles)).where("id is not null and name is not null").distinct()
+
+
+def of_several_names(names: DataFrame) -> DataFrame:
+    """(role, id) of the identifiers that have several names, from distinct names."""
+    return names.groupBy("role", "id").count().where("count > 1").select("role", "id")
+
+
+def drifting_ids(df: DataFrame, drift: list[Drift], across_roles: bool = False) -> DataFrame:
+    """(role, id) of every identifier that carries several names; with ``across_roles``
+    the names of all roles are compared with each other."""
+    return of_several_names(names_by_role(df, drift, across_roles))
 
 
 def with_drift(
-    df: DataFrame, drift: list[Drift], across_roles: bool = False
+    df: DataFrame, drift: list[Drift], across_roles: bool = False, found: DataFrame | None = None
 ) -> tuple[DataFrame, list[Rule]]:
-    """Add one marker column per drift check; returns the rules that read them."""
+    """Add one marker column per drift check; returns the rules that read them.
+    ``found`` holds the drifting ids (role, id) if they are known and stored."""
     if not drift:
         return df, []
-    found = store(drifting_ids(df, drift, across_roles), "drift")
+    if found is None:
+        found = store(drifting_ids(df, drift, across_roles), "drift")
     size = measured_bytes(found)
     if size == 0:
         return df, [Rule(d.name, F.lit(False)) for d in drift]

@@ -2,26 +2,44 @@
 
 from collections.abc import Iterable
 from dataclasses import dataclass
+from functools import reduce
+from operator import or_
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ridestrata.functions.timezones import LOCAL_TZ
 from ridestrata.operators.calendar import date_dim, trip_dates
-from ridestrata.operators.conform import FACT_COLUMNS, fact, role_union_dim, to_silver
+from ridestrata.operators.conform import (
+    FACT_COLUMNS,
+    STATION_COLUMNS,
+    STATION_ROLES,
+    fact,
+    in_roles,
+    kept_to_silver,
+    role_union_dim,
+)
 from ridestrata.operators.datatests import DataTest, gate, not_empty, silver_tests
-from ridestrata.operators.quarantine import bad_rows, failures_long, flag
+from ridestrata.operators.quarantine import bad_rows, failures_long, flag, without_bad_keys
 from ridestrata.operators.repair import SIDES, merge_repaired, repair_candidates
+from ridestrata.operators.rules import TRIP_DRIFT, names_by_role, of_several_names
+from ridestrata.operators.stored import lookup_join, store
 from ridestrata.plans.ridership import MONTH_COLUMN, with_month_column
 from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months, require_files
+from ridestrata.sources.versions import publish, stage
 from ridestrata.sources.warehouse import (
     create_layers,
+    of_months,
     read_model,
     replace_months,
     replace_table,
 )
 
 
+Month = tuple[int, int]
+MONTH = ("year", "month")
+
+
 @dataclass(frozen=True)
 class Warehouse:
     bronze: DataFrame
@@ -31,6 +49,7 @@ class Warehouse:
     fact: DataFrame
     candidates: DataFrame
     tests: list[DataTest]
+    touched: set[Month]  #: feed months whose silver was written
 
 
 def ingest(
@@ -43,42 +62,124 @@ def ingest(
     """Load months into ``bronze.trips``. The table is replaced as a whole, or,
     with ``keep_other_months``, only in the months that are read. A month without
     files is an error, raised before anything is replaced."""
+    months = [(int(year), int(month)) for year, month in months]
     folders = [month_folder(root, year, month) for year, month in months]
     require_files(spark, folders, "*.zip" if zipped else "*.csv")
     read = read_trip_archives if zipped else read_trip_csv_months
     trips = read(spark, folders)
     if keep_other_months:
-        return replace_months(trips, "bronze", "trips")
+        return replace_months(trips, "bronze", "trips", MONTH, months)
     return replace_table(trips, "bronze", "trips", ("year", "month"))
 
 
+def in_months(months: Iterable[tuple[int, int]]) -> Column:
+    """Rows of these feed months; a filter on partitions."""
+    wanted = sorted(months)
+    if not wanted:
+        return F.lit(False)
+    by_year: dict[int, list[int]] = {}
+    for year, month in wanted:
+        by_year.setdefault(year, []).append(month)
+    return reduce(or_, ((F.col("year") == y) & F.col("month").isin(found) for y, found in by_year.items()))
+
+
+def _months_of(df: DataFrame) -> set[Month]:
+    return {(row["year"], row["month"]) for row in df.select(*MONTH).distinct().collect()}
+
+
+def _stored(spark: SparkSession, layer: str, model: str) -> DataFrame | None:
+    return read_model(spark, layer, model) if spark.catalog.tableExists(f"{layer}.{model}") else None
+
+
+def _differing(before: DataFrame, after: DataFrame, label: str) -> DataFrame:
+    """Rows that only one of two sets of distinct rows has."""
+    both = before.withColumn("_n", F.lit(-1)).union(after.withColumn("_n", F.lit(1)))
+    return store(both.groupBy(*before.columns).agg(F.sum("_n").alias("_n")).where("_n <> 0").drop("_n"), label)
+
+
 def build_models(
-    spark: SparkSession, strict: bool = True, tz: str = LOCAL_TZ
+    spark: SparkSession,
+    strict: bool = True,
+    tz: str = LOCAL_TZ,
+    loaded: Iterable[Month] | None = None,
 ) -> Warehouse:
-    """Rebuild everything below ``bronze.trips``, each model from stored ones. The
-    fact is partitioned by local month for queries with bounds."""
+    """Rebuild what lies below ``bronze.trips``, all of it or, with ``loaded``, what the
+    newly loaded months change; either way the result is that of a full build.
+
+    Quarantine, failures, silver, fact and the stations seen are stored by feed month. A
+    loaded month touches another one in two ways: a station id starts or stops to carry
+    several names, which changes the flags of all its trips; or a ride id is quarantined,
+    or no longer, of which the other month has a copy, which changes its silver. Names of
+    stations by month are kept for the first, and for the second the ride ids of other
+    months are read, and nothing else of them. Only touched months are written; the files
+    of the others stay.
+
+    The new versions of all tables are published together at the end, the station names
+    that the next run compares with as the last. A run that dies before leaves every table
+    as it was, and one that is run again comes to the same result. The fact is partitioned
+    by local month, for queries with bounds, and by feed month."""
     bronze = read_model(spark, "bronze", "trips")
-    flagged = flag(bronze)
-    quarantined = replace_table(bad_rows(flagged), "bronze", "quarantine")
-    failures = failures_long(quarantined).hint("rebalance", "failed_rule")
-    replace_table(failures, "audit", "failures", ("failed_rule",))
-    silver = replace_table(to_silver(flagged, tz, strict), "silver", "trips")
-    trips = with_month_column(fact(silver), tz)
-    trips = replace_table(trips, "gold", "fct_trips", (MONTH_COLUMN,))
-    stations = replace_table(role_union_dim(silver), "gold", "dim_stations")
-    candidates = replace_table(repair_candidates(quarantined, stations), "silver", "temp")
+    full = loaded is None or not spark.catalog.tableExists("audit.station_names")
+    first = _months_of(bronze) | set(loaded or ()) if full else set(loaded)
+
+    # Drift, from the names by month: of the loaded months anew, of the others as stored.
+    known = names_by_role(bronze.where(in_months(first)), list(TRIP_DRIFT), by=MONTH)
+    names = stage(known, "audit", "station_names", MONTH, None if full else of_months(first))
+    drifting = store(of_several_names(names.rows().select("role", "id", "name").distinct()), "drift")
+    if not full:
+        before = of_several_names(read_model(spark, "audit", "station_names").select("role", "id", "name").distinct())
+        changed = _differing(before, drifting, "drift-changes")
+        first |= _months_of(lookup_join(names.rows().select("role", "id", *MONTH), changed, ["role", "id"], "left_semi"))
+
+    def replaced(df: DataFrame, layer: str, model: str, months: set[Month], by: tuple[str, ...] = MONTH):
+        return stage(df, layer, model, by, None if full else of_months(months))
+
+    flagged = flag(bronze.where(in_months(first)), drifting=drifting)
+    quarantine = replaced(bad_rows(flagged), "bronze", "quarantine", first)
+    quarantined = quarantine.rows()
+    newly_bad = quarantined.where(in_months(first))
+    failures = replaced(failures_long(newly_bad).hint("rebalance", "failed_rule"), "audit", "failures", first, ("failed_rule", *MONTH))
+
+    touched = set(first)
+    if not full:
+        keys = [rows.where(in_months(first) & F.col("ride_id").isNotNull()).select("ride_id").distinct() for rows in (read_model(spark, "bronze", "quarantine"), quarantined)]
+        changed = _differing(*keys, "key-changes")
+        others = bronze.where(~in_months(first)).select("ride_id", *MONTH)
+        touched |= _months_of(lookup_join(others, changed, ["ride_id"], "left_semi"))
+
+    if touched != first:
+        flagged = flag(bronze.where(in_months(touched)), drifting=drifting)
+    kept = without_bad_keys(flagged, quarantined, "ride_id", strict)
+    silver = replaced(kept_to_silver(kept, tz, MONTH), "silver", "trips", touched)
+    rows = silver.rows().where(in_months(touched))
+    trips = with_month_column(fact(rows, (*FACT_COLUMNS, *MONTH)), tz)
+    trips = replaced(trips, "gold", "fct_trips", touched, (MONTH_COLUMN, *MONTH))
+    seen = replaced(in_roles(rows, STATION_ROLES, STATION_COLUMNS, MONTH).distinct(), "silver", "stations_seen", touched)
+    stations = stage(role_union_dim(seen.rows(), (STATION_COLUMNS,)), "gold", "dim_stations")
+
+    # Candidates depend on their own quarantined rows and on all stations.
+    repaired, old = set(first), None if full else _stored(spark, "gold", "dim_stations")
+    if old is not None and not _differing(old, stations.rows(), "station-changes").isEmpty():
+        repaired = _months_of(quarantined) | first
+    candidates = repair_candidates(quarantined.where(in_months(repaired)), stations.rows())
+    candidates = replaced(candidates, "silver", "temp", repaired)
+
+    publish(silver, trips, seen, stations, candidates, failures, quarantine, names)
+    built = {new.model: read_model(spark, new.layer, new.model) for new in (silver, trips, stations, candidates, quarantine)}
+    plain = built["trips"].drop(*MONTH)
     return Warehouse(
         bronze,
-        quarantined,
-        silver,
-        stations,
-        trips,
-        candidates,
+        built["quarantine"],
+        plain,
+        built["dim_stations"],
+        built["fct_trips"],
+        built["temp"],
         [
-            *silver_tests(silver, stations, quarantined, bronze),
+            *silver_tests(plain, built["dim_stations"], built["quarantine"], bronze),
             DataTest("bronze_not_empty", not_empty(bronze)),
-            DataTest("silver_not_empty", not_empty(silver)),
+            DataTest("silver_not_empty", not_empty(plain)),
         ],
+        touched,
     )
 
 
@@ -92,7 +193,7 @@ def store_repaired(spark: SparkSession, tz: str = LOCAL_TZ) -> DataFrame:
     their star schema, ``gold.fct_trips_repaired`` with the flags of inferred
     stations and ``gold.dim_stations_repaired``."""
     merged = merge_repaired(
-        read_model(spark, "silver", "trips"),
+        read_model(spark, "silver", "trips").drop(*MONTH),
         read_model(spark, "silver", "temp"),
         read_model(spark, "gold", "dim_stations"),
         tz,
@@ -120,10 +221,12 @@ def run_months(
     tz: str = LOCAL_TZ,
 ) -> Warehouse:
     """Layers, ingest, models in the order of their dependencies, then the data
-    tests, which raise when one of them fails."""
+    tests, which raise when one of them fails. With ``keep_other_months`` only what the
+    months change is rebuilt."""
     create_layers(spark)
+    months = [(int(year), int(month)) for year, month in months]
     ingest(spark, root, months, zipped, keep_other_months)
-    built = build_models(spark, strict, tz)
+    built = build_models(spark, strict, tz, months if keep_other_months else None)
     if tested:
         gate(built.tests)
     return built

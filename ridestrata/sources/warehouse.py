@@ -1,10 +1,13 @@
 """Layered warehouse tables: names, sinks, scans and SQL."""
 
 import re
+from collections.abc import Callable, Iterable
 from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from ridestrata.sources.versions import Spec, publish, stage
+
 LAYERS = ("bronze", "silver", "gold", "audit")
 
 
@@ -31,27 +34,37 @@ def read_model(spark: SparkSession, layer: str, model: str) -> DataFrame:
 def replace_table(
     df: DataFrame, layer: str, model: str, partition_by: tuple[str, ...] = ()
 ) -> DataFrame:
-    """Rebuild a table from scratch and return its scan. A partitioned table
-    remembers that later inserts overwrite only the partitions they hold."""
+    """Rebuild a table from scratch and return its scan. Its rows change all at once when
+    the new ones are written; ``df`` may read the table itself."""
     name = table_name(layer, model)
-    writer = df.write.mode("overwrite").format("parquet")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by).option("partitionOverwriteMode", "dynamic")
-    writer.saveAsTable(name)
+    publish(stage(df, layer.strip(), model, partition_by))
     return df.sparkSession.table(name)
 
 
 def replace_months(
-    df: DataFrame, layer: str, model: str, partition_by: tuple[str, ...] = ("year", "month")
+    df: DataFrame,
+    layer: str,
+    model: str,
+    partition_by: tuple[str, ...] = ("year", "month"),
+    months: Iterable[tuple[int, int]] | None = None,
 ) -> DataFrame:
-    """Overwrite only the partitions the rows belong to, so a month can be loaded
-    again without touching the others."""
-    spark, name = df.sparkSession, table_name(layer, model)
-    if not spark.catalog.tableExists(name):
-        return replace_table(df, layer, model, partition_by)
-    columns = spark.table(name).columns
-    df.select(*columns).write.insertInto(name, overwrite=True)
-    return spark.table(name)
+    """Replace only the given months, or those that the rows belong to, so a month can be
+    loaded again without touching the others. Months that are given and have no rows any
+    more are gone afterwards."""
+    name = table_name(layer, model)
+    publish(stage(df, layer.strip(), model, partition_by, of_months(months)))
+    return df.sparkSession.table(name)
+
+
+def of_months(months: Iterable[tuple[int, int]] | None) -> Callable[[list[Spec]], Callable[[Spec], bool]]:
+    """Stored partitions of these months, or of the months that are written, are stale."""
+    named = None if months is None else {(str(year), str(month)) for year, month in months}
+
+    def stale(written: list[Spec]) -> Callable[[Spec], bool]:
+        wanted = {(spec["year"], spec["month"]) for spec in written} if named is None else named
+        return lambda spec: (spec["year"], spec["month"]) in wanted
+
+    return stale
 
 
 def replace_partitions(df: DataFrame, path: str, partition_by: tuple[str, ...]) -> None:
