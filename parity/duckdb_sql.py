@@ -346,10 +346,27 @@ DATA_TESTS = "\nUNION ALL\n".join(
 
 CODES = ", ".join(f"'{code}'" for code in COUNTRY_LABELS)
 WEATHER = ", ".join(
-    f'CAST(embedding[{1 + i * 10} + d] AS DOUBLE) AS "{name}"'
+    f'CAST(embedding[1 + ({i * 10} + d) % 64] AS DOUBLE) AS "{name}"'
     for i, name in enumerate(WEATHER_COLUMNS[1:])
 )
 ALL_TRIPS = sql("trips", "SELECT * FROM trips")
+
+# Records of landed files: each by the second of its start.
+part("landed", "", f"SELECT *, second(CAST(started_at AS TIMESTAMP)) AS second FROM ({DUCKDB_TRIPS})")
+CHANGED = {
+    "started_at": "CASE WHEN second IN (17, 19) THEN 'yesterday' ELSE started_at END",
+    "start_lat": "CASE WHEN second IN (13, 19) THEN 'north' ELSE CAST(start_lat AS VARCHAR) END",
+}
+FIELDS = [f"coalesce(CAST({CHANGED.get(name, name)} AS VARCHAR), '')" for name in TRIPS.names]
+MALFORMED = f"""
+    SELECT CASE WHEN second = 7 THEN {" || ',' || ".join(FIELDS[:-1])}
+                ELSE {" || ',' || ".join(FIELDS)} || CASE WHEN second = 11 THEN ',extra' ELSE '' END END AS record,
+           CASE WHEN second IN (7, 11) THEN 'fields' WHEN second = 13 THEN 'number_start_lat'
+                WHEN second = 17 THEN 'time_started_at' ELSE 'time_started_at,number_start_lat' END AS reasons
+    FROM landed WHERE second IN (7, 11, 13, 17, 19)
+"""
+ONCE = f"""SELECT * FROM ({PARTS["trips"][1]}) AS t WHERE ride_id IS NULL OR ride_id IN
+    (SELECT ride_id FROM ({PARTS["trips"][1]}) AS u GROUP BY 1 HAVING count(*) = 1)"""
 SHIFTED = """
     SELECT event_id, 'autumn' AS season, ts - INTERVAL 67 DAY AS wall FROM events
     UNION ALL
@@ -420,6 +437,12 @@ ORACLE = {
     "q_merge_repaired": sql("merged", "SELECT * FROM merged"),
     "q_kpis_repaired": sql("merged", kpi_row("merged", share=False)),
     "q_month_run": sql("silver", "SELECT * FROM silver"),
+    "q_months_one_by_one": sql("silver", "SELECT * FROM silver"),
+    "q_quarantine_by_month": sql("bad", "SELECT * FROM bad"),
+    "q_calendar_sink": sql("date_dim", "SELECT * FROM date_dim"),
+    "q_tested_run": sql("silver_strict", "SELECT * FROM silver_strict").replace(PARTS["trips"][1], ONCE, 1),
+    "q_failing_tests": sql("silver dim bad trips", f"SELECT test FROM ({DATA_TESTS}) WHERE failures > 0"),
+    "q_stored_cube": sql("bounded", kpi_row("bounded", share=False)),
     "q_gold_repaired": sql(
         "merged", f"SELECT {FACT}, start_stn_imputed, end_stn_imputed FROM merged"
     ),
@@ -470,6 +493,15 @@ ORACLE = {
         FROM ({daily('fct')}) GROUP BY 1
         """,
     ),
+    "q_cube_range": sql(
+        "fct",
+        "SELECT CAST(min(local_time) AS DATE) AS min_date, "
+        "CAST(max(local_time) AS DATE) AS max_date, count(*) AS trips FROM fct",
+    ),
+    "q_cube_kpis_bounded": sql("bounded", kpi_row("bounded", share=True)),
+    "q_cube_kpis_empty": sql("none", kpi_row("none", share=True)),
+    "q_cube_daily_bounded": sql("bounded date_dim", daily("bounded")),
+    "q_cube_bike_mix": sql("fct", "SELECT rideable_type, count(*) AS trips FROM fct GROUP BY 1"),
     "q_duration_profile": sql(
         "trips",
         f"""
@@ -495,7 +527,7 @@ ORACLE = {
     "q_weather_daily": f"""
         SELECT CAST(vec_id % 90 AS DOUBLE) AS latitude, CAST(vec_id AS DOUBLE) AS longitude,
                DATE '2024-01-01' + CAST(vec_id % 5 + d AS INTEGER) AS "Date", {WEATHER}
-        FROM embeddings, range(10) AS r(d)
+        FROM embeddings, range(64) AS r(d)
     """,
     "q_array_to_rows": """
         SELECT vec_id, label, CAST(i AS INTEGER) AS place, CAST(embedding[i] AS DOUBLE) AS embedding
@@ -553,6 +585,11 @@ ORACLE = {
     "q_zip_scan": ALL_TRIPS,
     "q_csv_scan": ALL_TRIPS,
     "q_create_only_sink": ALL_TRIPS,
+    "q_self_rebuild": ALL_TRIPS,
+    "q_malformed_rows": sql("landed", MALFORMED),
+    "q_readable_rows": sql(
+        "landed", f"SELECT {CLOCKS.strip()} FROM (SELECT * EXCLUDE (second) FROM landed WHERE second NOT IN (7, 11, 13, 17, 19))"
+    ),
     "q_overwrite_partition": ALL_TRIPS,
     "q_param_sql": f"""
         SELECT event_type, count(*) AS events, round(max(value), 2) AS largest
@@ -564,3 +601,7 @@ ORACLE = {
         GROUP BY event_type
     """,
 }
+
+#: Answers from the cube are those from the trips.
+ORACLE |= {f"q_cube_{name}": ORACLE[f"q_{name}"] for name in ("hourly_bounded", "top_stations_bounded", "holiday_effect")}
+ORACLE["q_weather_landed"] = ORACLE["q_weather_daily"]

@@ -50,3 +50,28 @@ def landed_months(trips: DataFrame, months: dict[tuple[int, int], str]) -> str:
     for (year, month), rows in months.items():
         _write_csv(trips.where(rows), month_folder(root, year, month))
     return root
+
+
+def landed_malformed(trips: DataFrame) -> str:
+    """CSV files with records that cannot be read, by the second of their start: a field
+    too few (7) or too many (11), a latitude that is no number (13 and 19), a start that is
+    no time (17 and 19)."""
+    second = F.second(F.col("started_at").cast("timestamp_ntz"))
+    texts = {name: F.coalesce(F.col(name).cast("string"), F.lit("")) for name in trips.columns}
+    texts["start_lat"] = F.when(second.isin(13, 19), "north").otherwise(texts["start_lat"])
+    texts["started_at"] = F.when(second.isin(17, 19), "yesterday").otherwise(texts["started_at"])
+    whole, short = F.concat_ws(",", *texts.values()), F.concat_ws(",", *list(texts.values())[:-1])
+    record = F.when(second == 7, short).when(second == 11, F.concat(whole, F.lit(",extra"))).otherwise(whole)
+    header = ",".join(trips.columns)
+
+    def headed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        yield pd.DataFrame({"value": [header]})
+        yield from batches
+
+    path = scratch_path(trips.sparkSession, "malformed")
+    lines = trips.select(record.alias("value")).mapInPandas(headed, "value string")
+    # Lines as they are: no character of theirs parts or quotes a field.
+    whole_lines = {"sep": "\x01", "quote": "\0", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+    lines.write.options(**whole_lines).csv(path)
+    return path
+

@@ -8,9 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parity.landing import landed_csv, landed_months, zipped
+from parity.landing import landed_csv, landed_malformed, landed_months, zipped
 from parity.trips_fx import holiday_seed, trips_fx
-from ridestrata.functions.scalars import COUNTRY_LABELS, labelled, two_digits
+from ridestrata.functions.scalars import COUNTRY_LABELS, labelled
 from ridestrata.functions.timezones import (
     instant_to_wall,
     local_date,
@@ -29,6 +29,7 @@ from ridestrata.operators.conform import (
 )
 from ridestrata.operators.datatests import (
     accepted_values,
+    failing,
     not_null,
     relationships,
     silver_tests,
@@ -50,6 +51,7 @@ from ridestrata.operators.repair import (
     recovery_summary,
     repair_candidates,
     snap_to_nearest,
+    snap_within,
 )
 from ridestrata.operators.rules import (
     TRIP_DRIFT,
@@ -63,20 +65,22 @@ from ridestrata.operators.rules import (
 )
 from ridestrata.operators.stored import scratch_path, store
 from ridestrata.operators.weather import arrays_to_rows, weather_daily
-from ridestrata.plans import ridership
-from ridestrata.plans.monthly import ingest, run_months, store_repaired
+from ridestrata.plans import cube, ridership
+from ridestrata.plans.monthly import MONTH, build_calendar, ingest, run_months, store_repaired
 from ridestrata.plans.star import counted, top_by_dimension, with_context
 from ridestrata.schemas import TRIPS, WEATHER_VARIABLES
-from ridestrata.sources.archive import read_trip_csv, unzip_trips
+from ridestrata.sources.archive import month_key, read_readable_csv, read_trip_csv, unzip_trips
 from ridestrata.sources.warehouse import (
     create_folder,
     create_layers,
     publish_view,
     read_model,
     replace_partitions,
+    replace_table,
     run_sql,
     run_sql_file,
 )
+from ridestrata.sources.weather_files import read_weather
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -239,12 +243,10 @@ def q_fact(spark, sf_dir):
 # Repair
 
 
-def _snapped(spark, sf_dir, side, within=None):
+def _snapped(spark, sf_dir, side):
     bad, stations = quarantined_and_stations(spark, sf_dir)
     near, metres = f"{side.name}_near_stn", side.metres
     rows = snap_to_nearest(bad, stations, side).where(F.col(metres).isNotNull())
-    if within is not None:
-        rows = rows.where(F.col(metres) <= within)
     return rows.select("ride_id", side.lat, side.lng, near, metres)
 
 
@@ -260,7 +262,11 @@ def q_snap_end(spark, sf_dir):
 
 @query
 def q_snap_within_radius(spark, sf_dir):
-    return _snapped(spark, sf_dir, SIDES[0], within=50)
+    bad, stations = quarantined_and_stations(spark, sf_dir)
+    side = SIDES[0]
+    near, metres = f"{side.name}_near_stn", side.metres
+    rows = snap_within(bad, stations, side, 50).where(F.col(metres).isNotNull())
+    return rows.select("ride_id", side.lat, side.lng, near, metres)
 
 
 @query
@@ -368,6 +374,58 @@ def q_duration_profile(spark, sf_dir):
     return duration_profile(trips_fx(spark, sf_dir), ride_micros())
 
 
+# The same from a cube that is merged month by month
+
+
+def merged_cube(spark, sf_dir):
+    """The cubes of the trips of every third day, merged."""
+    trips = gold_fact(spark, sf_dir)
+    third = F.pmod(F.dayofmonth(local_date(F.col("start_time"))), F.lit(3))
+    cubes = [cube.ridership_cube(trips.where(third == k)) for k in range(3)]
+    return store(cube.merged_cubes(*cubes), "cube")
+
+
+@query
+def q_cube_range(spark, sf_dir):
+    return cube.trip_range(merged_cube(spark, sf_dir))
+
+
+@query
+def q_cube_kpis_bounded(spark, sf_dir):
+    return ridership.with_member_share(cube.kpis(merged_cube(spark, sf_dir), FROM, TO))
+
+
+@query
+def q_cube_kpis_empty(spark, sf_dir):
+    return ridership.with_member_share(cube.kpis(merged_cube(spark, sf_dir), AFTER_ALL))
+
+
+@query
+def q_cube_hourly_bounded(spark, sf_dir):
+    return ridership.with_hour_label(cube.hourly(merged_cube(spark, sf_dir), FROM, TO))
+
+
+@query
+def q_cube_daily_bounded(spark, sf_dir):
+    return cube.daily(merged_cube(spark, sf_dir), calendar(spark, gold_fact(spark, sf_dir)), FROM, TO)
+
+
+@query
+def q_cube_top_stations_bounded(spark, sf_dir):
+    stations = role_union_dim(silver(spark, sf_dir))
+    return ridership.with_rank(cube.top_stations(merged_cube(spark, sf_dir), stations, 25, FROM, TO))
+
+
+@query
+def q_cube_bike_mix(spark, sf_dir):
+    return cube.bike_mix(merged_cube(spark, sf_dir))
+
+
+@query
+def q_cube_holiday_effect(spark, sf_dir):
+    return cube.holiday_effect(merged_cube(spark, sf_dir), calendar(spark, gold_fact(spark, sf_dir)))
+
+
 # Calendar and weather
 
 
@@ -403,20 +461,32 @@ def q_holiday_lists(spark, sf_dir):
 
 @query
 def q_weather_daily(spark, sf_dir):
-    days, day = 10, 86_400
+    return weather_daily(weather_responses(spark, sf_dir))
+
+
+@query
+def q_weather_landed(spark, sf_dir):
+    """Responses landed as JSON, read again and stored as a table that must be new."""
+    path = scratch_path(spark, "weather-json")
+    weather_responses(spark, sf_dir).write.json(path)
+    return create_folder(weather_daily(read_weather(spark, [path])), scratch_path(spark, "weather"))
+
+
+def weather_responses(spark, sf_dir):
+    """A response per vector: each variable has all its values, begun at another one."""
+    days, day = 64, 86_400
     start = F.lit(1_704_067_200).cast("bigint") + F.col("vec_id") % 5 * day
-    responses = table(spark, sf_dir, "embeddings").select(
+    return table(spark, sf_dir, "embeddings").select(
         (F.col("vec_id") % 90).cast("double").alias("latitude"),
         F.col("vec_id").cast("double").alias("longitude"),
         start.alias("time"),
         (start + days * day).alias("time_end"),
         F.lit(day).alias("interval_s"),
         *[
-            F.slice("embedding", 1 + i * days, days).alias(name)
+            F.concat(F.slice("embedding", 1 + i * 10, days - i * 10), F.slice("embedding", 1, i * 10)).alias(name)
             for i, name in enumerate(WEATHER_VARIABLES)
         ],
     )
-    return weather_daily(responses)
 
 
 @query
@@ -531,7 +601,7 @@ def q_label_map(spark, sf_dir):
 
 @query
 def q_month_keys(spark, sf_dir):
-    key = F.concat(F.year("o_orderdate"), two_digits(F.month("o_orderdate")))
+    key = month_key(F.year("o_orderdate"), F.month("o_orderdate"))
     return counted(table(spark, sf_dir, "orders"), key, "month_key", "orders")
 
 
@@ -548,6 +618,20 @@ def q_csv_scan(spark, sf_dir):
     return read_trip_csv(spark, [landed_csv(trips_fx(spark, sf_dir))])
 
 
+@query
+def q_malformed_rows(spark, sf_dir):
+    """The records that cannot be read, with their reasons."""
+    _, unreadable = read_readable_csv(spark, [landed_malformed(trips_fx(spark, sf_dir))])
+    return unreadable
+
+
+@query
+def q_readable_rows(spark, sf_dir):
+    """The trips of the same files that can be read."""
+    rows, _ = read_readable_csv(spark, [landed_malformed(trips_fx(spark, sf_dir))])
+    return rows
+
+
 @query
 def q_create_only_sink(spark, sf_dir):
     path = scratch_path(spark, "created")
@@ -621,3 +705,70 @@ def q_backfill(spark, sf_dir):
     ingest(spark, layers_and_files(spark, trips.withColumn("ride_id", wrong)), FEEDS, zipped=False)
     root = landed_months(trips, {second: FEEDS[second]})
     return store(ingest(spark, root, [second], zipped=False, keep_other_months=True), "bronze")
+
+
+@query
+def q_self_rebuild(spark, sf_dir):
+    """A table loaded with rows too many, then rebuilt from itself without them."""
+    create_layers(spark, location=scratch_path(spark, "layers"))
+    trips = trips_fx(spark, sf_dir)
+    wrong = trips.withColumn("ride_id", F.lit("wrong"))
+    loaded = replace_table(trips.withColumn("extra", F.lit(0)).union(wrong.withColumn("extra", F.lit(1))), "silver", "rebuilt")
+    return store(replace_table(loaded.where("extra = 0").drop("extra"), "silver", "rebuilt"), "rebuilt")
+
+
+def built_by_month(spark, sf_dir):
+    """Every month run by itself. The second one is first loaded with other station names
+    and without its bad rows, and then again as it is."""
+    trips = trips_fx(spark, sf_dir)
+    first, second, third = FEEDS
+    options = {"zipped": False, "strict": False, "tested": False}
+    root = layers_and_files(spark, trips)
+    wrong = trips.where("member_casual = 'member'").withColumns(
+        {"start_station_name": F.lit("unnamed"), "ride_id": F.coalesce("ride_id", F.lit("none"))}
+    )
+    run_months(spark, root, [first], **options)
+    run_months(spark, landed_months(wrong, {second: FEEDS[second]}), [second], keep_other_months=True, **options)
+    run_months(spark, root, [third], keep_other_months=True, **options)
+    return run_months(spark, root, [second], keep_other_months=True, **options)
+
+
+@query
+def q_months_one_by_one(spark, sf_dir):
+    return store(built_by_month(spark, sf_dir).silver, "silver")
+
+
+@query
+def q_quarantine_by_month(spark, sf_dir):
+    return store(built_by_month(spark, sf_dir).quarantine.drop(*MONTH), "quarantine")
+
+
+@query
+def q_stored_cube(spark, sf_dir):
+    """KPIs from the stored cube of the month run."""
+    run_months(spark, layers_and_files(spark, trips_fx(spark, sf_dir)), FEEDS, zipped=False, strict=False, tested=False)
+    return store(cube.kpis(read_model(spark, "gold", "ridership_cube"), FROM, TO), "kpis")
+
+
+@query
+def q_calendar_sink(spark, sf_dir):
+    """The calendar as the month run's plan stores it."""
+    run_months(spark, layers_and_files(spark, trips_fx(spark, sf_dir)), FEEDS, zipped=False, strict=False, tested=False)
+    return store(build_calendar(spark, holiday_seed(spark)), "calendar")
+
+
+@query
+def q_tested_run(spark, sf_dir):
+    """A month run that its data tests let pass: every ride id stands for one trip."""
+    trips = trips_fx(spark, sf_dir)
+    again = store(trips.groupBy("ride_id").count().where("count > 1").select("ride_id"), "again")
+    single = excluding_keys(trips, again, "ride_id")
+    return store(run_months(spark, layers_and_files(spark, single), FEEDS, zipped=False, strict=True).silver, "silver")
+
+
+@query
+def q_failing_tests(spark, sf_dir):
+    """The data tests that stop a month run over all trips."""
+    root = layers_and_files(spark, trips_fx(spark, sf_dir))
+    built = run_months(spark, root, FEEDS, zipped=False, strict=False, tested=False)
+    return spark.createDataFrame([(name,) for name in failing(built.tests)], "test string")

@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from ridestrata.functions.scalars import share_percent
 from ridestrata.functions.timezones import LOCAL_TZ
 from ridestrata.operators.conform import conform, silver_mapping
+from ridestrata.operators.radius import RadiusIndex
 from ridestrata.operators.snap import StationIndex
 from ridestrata.operators.stored import lookup_join, store
 
@@ -95,6 +96,17 @@ def snap_to_nearest(
     )
 
 
+def snap_within(
+    bad: DataFrame, dim: DataFrame, side: Side, max_m: float = SNAP_METRES, key: str = "ride_id"
+) -> DataFrame:
+    """``snap_to_nearest`` for stations at most ``max_m`` whole metres away, by a radius
+    join alone; rows without such a station get NULL."""
+    index = RadiusIndex(lacking_points(bad, key, (side,)), dim, max_m)
+    return index.with_nearest(
+        bad, side.lat, side.lng, side.lacks_station(key), f"{side.name}_near_stn", side.metres
+    )
+
+
 def repair_candidates(
     bad: DataFrame,
     dim: DataFrame,

@@ -24,14 +24,20 @@ from ridestrata.operators.quarantine import bad_rows, failures_long, flag, witho
 from ridestrata.operators.repair import SIDES, merge_repaired, repair_candidates
 from ridestrata.operators.rules import TRIP_DRIFT, names_by_role, of_several_names
 from ridestrata.operators.stored import lookup_join, store
+from ridestrata.plans.cube import ridership_cube
 from ridestrata.plans.ridership import MONTH_COLUMN, with_month_column
-from ridestrata.sources.archive import month_folder, read_trip_archives, read_trip_csv_months, require_files
+from ridestrata.sources.archive import (
+    month_folder,
+    read_readable_months,
+    read_trip_archives,
+    read_trip_csv_months,
+    require_files,
+)
 from ridestrata.sources.versions import publish, stage
 from ridestrata.sources.warehouse import (
     create_layers,
     of_months,
     read_model,
-    replace_months,
     replace_table,
 )
 
@@ -58,18 +64,24 @@ def ingest(
     months: Iterable[tuple[int, int]],
     zipped: bool = True,
     keep_other_months: bool = False,
+    keep_unreadable: bool = False,
 ) -> DataFrame:
     """Load months into ``bronze.trips``. The table is replaced as a whole, or,
     with ``keep_other_months``, only in the months that are read. A month without
-    files is an error, raised before anything is replaced."""
+    files is an error, raised before anything is replaced. So is a malformed record,
+    unless ``keep_unreadable``: then it goes to ``bronze.unreadable`` with its reasons,
+    and both tables change together."""
     months = [(int(year), int(month)) for year, month in months]
     folders = [month_folder(root, year, month) for year, month in months]
     require_files(spark, folders, "*.zip" if zipped else "*.csv")
-    read = read_trip_archives if zipped else read_trip_csv_months
-    trips = read(spark, folders)
-    if keep_other_months:
-        return replace_months(trips, "bronze", "trips", MONTH, months)
-    return replace_table(trips, "bronze", "trips", ("year", "month"))
+    stale = of_months(months) if keep_other_months else None
+    if keep_unreadable:
+        trips, unreadable = read_readable_months(spark, folders, zipped)
+        rest = [stage(unreadable, "bronze", "unreadable", MONTH, stale)]
+    else:
+        trips, rest = (read_trip_archives if zipped else read_trip_csv_months)(spark, folders), []
+    publish(stage(trips, "bronze", "trips", MONTH, stale), *rest)
+    return read_model(spark, "bronze", "trips")
 
 
 def in_months(months: Iterable[tuple[int, int]]) -> Column:
@@ -106,7 +118,7 @@ def build_models(
     """Rebuild what lies below ``bronze.trips``, all of it or, with ``loaded``, what the
     newly loaded months change; either way the result is that of a full build.
 
-    Quarantine, failures, silver, fact and the stations seen are stored by feed month. A
+    Quarantine, failures, silver, fact, cube and the stations seen are stored by feed month. A
     loaded month touches another one in two ways: a station id starts or stops to carry
     several names, which changes the flags of all its trips; or a ride id is quarantined,
     or no longer, of which the other month has a copy, which changes its silver. Names of
@@ -154,6 +166,8 @@ def build_models(
     rows = silver.rows().where(in_months(touched))
     trips = with_month_column(fact(rows, (*FACT_COLUMNS, *MONTH)), tz)
     trips = replaced(trips, "gold", "fct_trips", touched, (MONTH_COLUMN, *MONTH))
+    cube = ridership_cube(trips.rows().where(in_months(touched)), (MONTH_COLUMN, *MONTH), tz)
+    cube = replaced(cube, "gold", "ridership_cube", touched, (MONTH_COLUMN, *MONTH))
     seen = replaced(in_roles(rows, STATION_ROLES, STATION_COLUMNS, MONTH).distinct(), "silver", "stations_seen", touched)
     stations = stage(role_union_dim(seen.rows(), (STATION_COLUMNS,)), "gold", "dim_stations")
 
@@ -164,7 +178,7 @@ def build_models(
     candidates = repair_candidates(quarantined.where(in_months(repaired)), stations.rows())
     candidates = replaced(candidates, "silver", "temp", repaired)
 
-    publish(silver, trips, seen, stations, candidates, failures, quarantine, names)
+    publish(silver, trips, cube, seen, stations, candidates, failures, quarantine, names)
     built = {new.model: read_model(spark, new.layer, new.model) for new in (silver, trips, stations, candidates, quarantine)}
     plain = built["trips"].drop(*MONTH)
     return Warehouse(
@@ -219,13 +233,14 @@ def run_months(
     strict: bool = True,
     tested: bool = True,
     tz: str = LOCAL_TZ,
+    keep_unreadable: bool = False,
 ) -> Warehouse:
     """Layers, ingest, models in the order of their dependencies, then the data
     tests, which raise when one of them fails. With ``keep_other_months`` only what the
     months change is rebuilt."""
     create_layers(spark)
     months = [(int(year), int(month)) for year, month in months]
-    ingest(spark, root, months, zipped, keep_other_months)
+    ingest(spark, root, months, zipped, keep_other_months, keep_unreadable)
     built = build_models(spark, strict, tz, months if keep_other_months else None)
     if tested:
         gate(built.tests)

@@ -37,7 +37,7 @@ def scoped(
     return trips.where(in_local_dates(F.col("start_time"), start, end, tz))
 
 
-def _minutes(micros: Column, rides: Column) -> Column:
+def mean_minutes(micros: Column, rides: Column) -> Column:
     """Mean minutes to one decimal, from decimals: sums of microseconds can pass
     the range of BIGINT."""
     return F.round(micros / (rides.cast("decimal(20,0)") * 60_000_000), 1).cast("double")
@@ -74,7 +74,7 @@ def kpis(
         .select(
             "trips",
             "member_trips",
-            F.when(F.col("timed") > 0, _minutes(F.col("micros"), F.col("timed"))).alias(
+            F.when(F.col("timed") > 0, mean_minutes(F.col("micros"), F.col("timed"))).alias(
                 "avg_minutes"
             ),
             "stations_used",
@@ -111,7 +111,8 @@ def trips_per_day(trips: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     return counted(trips, local_date(F.col("start_time"), tz), "day", "trips")
 
 
-def _with_calendar(days: DataFrame, dates: DataFrame) -> DataFrame:
+def with_calendar(days: DataFrame, dates: DataFrame) -> DataFrame:
+    """Days with their holidays, NULL on ordinary ones."""
     calendar = dates.select(
         F.to_date("Date").alias("day"),
         F.col("Is_holiday").alias("is_holiday"),
@@ -132,7 +133,7 @@ def daily(
     """Trips per local day with its holidays."""
     days = trips_per_day(scoped(trips, start, end, tz), tz)
     return (
-        _with_calendar(days, dates)
+        with_calendar(days, dates)
         .select(
             "day",
             "trips",
@@ -187,7 +188,7 @@ def bike_mix(
 
 def holiday_effect(trips: DataFrame, dates: DataFrame, tz: str = LOCAL_TZ) -> DataFrame:
     """Mean trips per day on holidays and ordinary days, over days with trips."""
-    days = _with_calendar(trips_per_day(trips, tz), dates)
+    days = with_calendar(trips_per_day(trips, tz), dates)
     kind = F.when(F.coalesce("is_holiday", F.lit(0)) == 1, "Holiday").otherwise("Ordinary")
     return days.groupBy(kind.alias("day_kind")).agg(
         F.round(F.avg("trips"), 0).alias("avg_trips"), F.count("*").alias("days")

@@ -21,7 +21,13 @@ def top_by_dimension(
     """The ``limit`` dimension rows with the most fact rows; fact rows whose key
     the dimension lacks are not counted, ties go to the smaller key."""
     known = fact.where(F.col(key).isNotNull())
-    totals = counted(known, F.col(key), dim_key, count)
+    return top_totals(counted(known, F.col(key), dim_key, count), dim, dim_key, labels, limit, count)
+
+
+def top_totals(
+    totals: DataFrame, dim: DataFrame, dim_key: str, labels: list[str], limit: int, count: str
+) -> DataFrame:
+    """The ``limit`` dimension rows with the greatest totals, one row per key."""
     return (
         totals.join(dim, dim_key)
         .select(dim_key, *labels, count)

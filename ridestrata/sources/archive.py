@@ -11,10 +11,11 @@ from io import BytesIO
 
 import pyarrow as pa
 from pyarrow import csv
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridestrata.functions.scalars import two_digits
 from ridestrata.schemas import TRIPS, TRIPS_RAW
 
 # Texts that a CSV reader of the data-science world takes as missing.
@@ -43,11 +44,17 @@ MISSING_TEXTS = (
 _BLOCK_BYTES = 4 * 1024 * 1024
 _MONTH_FOLDER = r"/(\d{4})/(\d{2})/[^/]*$"
 
-UNZIPPED = T.StructType([T.StructField("path", T.StringType()), *TRIPS_RAW.fields])
+RECORD = "_record"
+_AS_WRITTEN = {"escape": '"', "nullValue": "", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
+TIMES = ("started_at", "ended_at")
+WITH_RECORD = T.StructType([*TRIPS_RAW.fields, T.StructField(RECORD, T.StringType())])
+UNZIPPED = T.StructType([T.StructField("path", T.StringType()), *WITH_RECORD.fields])
 
 
-def month_key(year: int | str, month: int | str) -> str:
-    """(2024, 3) and ("2024", "3") to "202403"."""
+def month_key(year, month):
+    """(2024, 3) and ("2024", "3") to "202403"; of columns the same as a column."""
+    if isinstance(year, Column):
+        return F.concat(year.cast("int").cast("string"), two_digits(month.cast("int")))
     return f"{int(year)}{int(month):02d}"
 
 
@@ -83,8 +90,41 @@ def typed_trips(raw: DataFrame) -> DataFrame:
     return raw.select(*[typed(field) for field in TRIPS], *extra)
 
 
+def readable_trips(raw: DataFrame, times: tuple[str, ...] = TIMES) -> tuple[DataFrame, DataFrame]:
+    """(rows, unreadable) of raw text rows with ``_record``, the text of a record that has
+    not as many fields as the schema, else NULL.
+
+    ``rows`` are typed trips. ``unreadable`` has (record, reasons) and the other columns of
+    ``raw``: the record as text, rebuilt as CSV if its fields could be told apart, and why
+    it is kept out: ``fields``, or ``number_<column>`` and ``time_<column>`` for text that
+    is neither missing nor a number or a time."""
+    extra = [name for name in raw.columns if name not in (*TRIPS.names, RECORD)]
+    wrong = []
+    for field in TRIPS:
+        text = F.col(field.name)
+        if field.dataType == T.DoubleType():
+            given = F.when(~text.isin(*MISSING_TEXTS), text)
+            wrong.append(F.when(given.isNotNull() & given.try_cast("double").isNull(), F.lit(f"number_{field.name}")))
+        elif field.name in times:
+            given = F.when(~text.isin(*MISSING_TEXTS), text)
+            wrong.append(F.when(given.isNotNull() & given.try_cast("timestamp_ntz").isNull(), F.lit(f"time_{field.name}")))
+    reasons = F.when(F.col(RECORD).isNotNull(), F.array(F.lit("fields"))).otherwise(F.array_compact(F.array(*wrong)))
+    judged = raw.withColumn("_reasons", reasons)
+    record = F.coalesce(F.col(RECORD), F.to_csv(F.struct(*TRIPS.names), _AS_WRITTEN))
+    rows = typed_trips(judged.where(F.size("_reasons") == 0).drop("_reasons", RECORD))
+    unreadable = judged.where(F.size("_reasons") > 0)
+    return rows, unreadable.select(record.alias("record"), F.col("_reasons").alias("reasons"), *extra)
+
+
 def unzip_trips(archives: DataFrame) -> DataFrame:
-    """Rows of all CSV members of zip files given as (path, content).
+    """Typed rows of all CSV members of zip files given as (path, content). A record with
+    another number of fields is an error."""
+    return typed_trips(unzip_text(archives).drop(RECORD))
+
+
+def unzip_text(archives: DataFrame, keep_unreadable: bool = False) -> DataFrame:
+    """Text rows of all CSV members of zip files given as (path, content), with the text
+    of unreadable records in ``_record`` if they are kept.
 
     One zip is opened by one task, since a zip cannot be split; its rows leave
     the task block by block, as text columns found by their names. A zip without a
@@ -99,6 +139,18 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
             column_types={name: pa.string() for name in names},
             strings_can_be_null=False,
         )
+        unreadable: list[str] = []
+
+        def skip(row: csv.InvalidRow) -> str:
+            unreadable.append(row.text)
+            return "skip" if keep_unreadable else "error"
+
+        def kept(path: str) -> pa.RecordBatch:
+            texts = [unreadable.pop() for _ in range(len(unreadable))]
+            empty = [pa.nulls(len(texts), pa.string()) for _ in names]
+            columns = [pa.array([path] * len(texts), pa.string()), *empty, pa.array(texts, pa.string())]
+            return pa.RecordBatch.from_arrays(columns, names=["path", *names, RECORD])
+
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 archive = zipfile.ZipFile(BytesIO(content.as_py()))
@@ -113,7 +165,7 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
                     blocks = csv.open_csv(
                         pa.PythonFile(archive.open(member), mode="r"),
                         read_options=csv.ReadOptions(block_size=block_bytes),
-                        parse_options=csv.ParseOptions(newlines_in_values=True),
+                        parse_options=csv.ParseOptions(newlines_in_values=True, invalid_row_handler=skip),
                         convert_options=as_text,
                     )
                     if sorted(blocks.schema.names) != sorted(names):
@@ -121,12 +173,16 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
                     for block in blocks:
                         block = block.select(names)
                         paths = pa.array([path.as_py()] * block.num_rows, pa.string())
+                        records = pa.nulls(block.num_rows, pa.string())
                         yield pa.RecordBatch.from_arrays(
-                            [paths, *block.columns], names=["path", *names]
+                            [paths, *block.columns, records], names=["path", *names, RECORD]
                         )
+                        if unreadable:
+                            yield kept(path.as_py())
+                    if unreadable:
+                        yield kept(path.as_py())
 
-    raw = archives.select("path", "content").mapInArrow(unzip, UNZIPPED)
-    return typed_trips(raw)
+    return archives.select("path", "content").mapInArrow(unzip, UNZIPPED)
 
 
 def require_files(spark: SparkSession, folders: Iterable[str], pattern: str) -> None:
@@ -147,13 +203,16 @@ def read_trip_archives(spark: SparkSession, folders: Iterable[str]) -> DataFrame
     return with_month(unzip_trips(archives)).drop("path")
 
 
-def _scan_csv(spark: SparkSession, paths: Iterable[str], newlines_in_values: bool) -> DataFrame:
+def _scan_csv(
+    spark: SparkSession, paths: Iterable[str], newlines_in_values: bool, keep_unreadable: bool = False
+) -> DataFrame:
     return (
-        spark.read.schema(TRIPS_RAW)
+        spark.read.schema(WITH_RECORD if keep_unreadable else TRIPS_RAW)
         .option("header", True)
         .option("enforceSchema", False)
         .option("escape", '"')
-        .option("mode", "FAILFAST")
+        .option("mode", "PERMISSIVE" if keep_unreadable else "FAILFAST")
+        .option("columnNameOfCorruptRecord", RECORD)
         .option("multiLine", newlines_in_values)
         .option("pathGlobFilter", "*.csv")
         .csv(list(paths))
@@ -176,3 +235,25 @@ def read_trip_csv_months(
     raw = _scan_csv(spark, folders, newlines_in_values)
     located = typed_trips(raw.select("*", F.col("_metadata.file_path").alias("path")))
     return with_month(located).drop("path")
+
+
+def read_readable_csv(
+    spark: SparkSession, paths: Iterable[str], newlines_in_values: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """``read_trip_csv`` that survives malformed records: (rows, unreadable)."""
+    return readable_trips(_scan_csv(spark, paths, newlines_in_values, keep_unreadable=True))
+
+
+def read_readable_months(
+    spark: SparkSession, folders: Iterable[str], zipped: bool = True, newlines_in_values: bool = False
+) -> tuple[DataFrame, DataFrame]:
+    """(rows, unreadable) of month folders, both with ``year`` and ``month``, the latter
+    with the ``path`` of its file."""
+    if zipped:
+        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(folders))
+        raw = unzip_text(files, keep_unreadable=True)
+    else:
+        raw = _scan_csv(spark, folders, newlines_in_values, keep_unreadable=True)
+        raw = raw.select("*", F.col("_metadata.file_path").alias("path"))
+    rows, unreadable = readable_trips(raw)
+    return with_month(rows).drop("path"), with_month(unreadable)
