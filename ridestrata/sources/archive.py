@@ -213,6 +213,8 @@ def _scan_csv(
         .option("escape", '"')
         .option("mode", "PERMISSIVE" if keep_unreadable else "FAILFAST")
         .option("columnNameOfCorruptRecord", RECORD)
+        # A scan of some columns alone would not count the fields of a record.
+        .option("columnPruning", not keep_unreadable)
         .option("multiLine", newlines_in_values)
         .option("pathGlobFilter", "*.csv")
         .csv(list(paths))
