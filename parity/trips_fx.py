@@ -37,7 +37,8 @@ SELECT
        WHEN eid = 31017 AND e % 2 = 0 THEN 'Station 31017 (old)'
        ELSE 'Station ' || CAST(eid AS {text}) END AS end_station_name,
   CASE WHEN e % 8 <> 0 THEN CAST(eid AS DOUBLE) END AS end_station_id,
-  CASE WHEN e % 305 = 0 THEN 389.0
+  CASE WHEN e % 915 = 0 THEN 38900000.0
+       WHEN e % 305 = 0 THEN 389.0
        WHEN e % 211 <> 0 THEN CAST(388000 + (sid % 10) * 200 + joff AS DOUBLE) / 10000 END AS start_lat,
   CASE WHEN e % 211 <> 0
        THEN CAST(((sid - 31000) {div} 10) * 200 + joff - 771000 AS DOUBLE) / 10000 END AS start_lng,

@@ -1,9 +1,8 @@
 """Planar distance and the nested square grids used to find nearest points.
 
 Coordinates are flattened to x = latitude, y = longitude * lng_scale, so the
-planar distance is Euclidean in (x, y). A grid has one cell around the origin at
-the top; a cell of level k has an edge of 2**k degrees, and the cell of a point
-at a coarser level is its index shifted to the right.
+planar distance is Euclidean in (x, y). A cell of level k has an edge of 2**k
+degrees, and the cell of a point at a coarser level is its index shifted to the right.
 """
 
 from dataclasses import dataclass
@@ -31,8 +30,8 @@ def planar_distance_m(
 
 @dataclass(frozen=True)
 class Grid:
-    """Levels ``root`` (one cell) to ``finest``. At most 30 levels apart, so that
-    squared distances in finest cells fit a BIGINT."""
+    """Levels ``root`` to ``finest``, at most 52 levels apart, so that cell indices and
+    their scaled coordinates are exact in a DOUBLE."""
 
     root: int
     finest: int
@@ -47,16 +46,15 @@ class Grid:
         self, lat: Column, lng: Column, level: int, lng_scale: float = LNG_SCALE
     ) -> tuple[Column, Column]:
         """Cell indices of a point at a level, nested exactly across levels."""
-        offset, fine = 2.0 ** (self.root - 1), 2.0**-self.finest
-        ix = F.floor((lat + F.lit(offset)) * F.lit(fine))
-        iy = F.floor((lng * F.lit(lng_scale) + F.lit(offset)) * F.lit(fine))
+        fine, half = 2.0**-self.finest, 1 << (self.root - 1 - self.finest)
+        ix = F.floor(lat * F.lit(fine)) + F.lit(half)
+        iy = F.floor(lng * F.lit(lng_scale) * F.lit(fine)) + F.lit(half)
         step = level - self.finest
         return coarser(ix, step), coarser(iy, step)
 
 
-# EARTH holds every place there is; WIDE also mistyped ones, up to a million degrees.
-EARTH = Grid(root=9, finest=-18)
-WIDE = Grid(root=21, finest=-9)
+# Holds every place on earth, and mistyped ones up to eight thousand million degrees.
+PLACES = Grid(root=34, finest=-18)
 
 
 def coarser(index: Column, steps: int) -> Column:

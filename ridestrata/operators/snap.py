@@ -6,7 +6,8 @@ stations; at every level a station cell is dropped when even its nearest corner
 is farther from the row cell than the farthest corner of another station cell.
 What is left per row cell is the short list of stations that can be nearest to
 some point of that cell, and each row takes the minimum over its cell's list.
-Cell distances are whole numbers, so no rounding can drop the right station.
+Cells are numbered by whole numbers and their distances are rounded to the safe side,
+so no rounding can drop the right station.
 """
 
 from pyspark.sql import Column, DataFrame
@@ -14,10 +15,9 @@ from pyspark.sql import functions as F
 
 from ridestrata.functions.scalars import rounded
 from ridestrata.functions.spatial import (
-    EARTH,
     LNG_SCALE,
     METRES_PER_DEGREE,
-    WIDE,
+    PLACES,
     Grid,
     planar_distance_m,
 )
@@ -28,6 +28,8 @@ from ridestrata.operators.stored import lookup_join, measured_bytes, store
 # the few cells that are near its parent.
 LEAF_LEVEL = -9
 STEP = 3
+STARTS = (10, 19, 28)  #: levels at which the descent may begin
+START_PAIRS = 4096
 # A row cell with more stations than LONG_LIST is cut into cells of the next
 # level; the last has edges of 0.8 m.
 FINER_LEVELS = (-13, -17)
@@ -41,20 +43,21 @@ def _cell_of(df: DataFrame, grid: Grid, level: int, lat: str, lng: str) -> DataF
 
 def _spanned(pairs: DataFrame, row_edge: int, station_edge: int) -> DataFrame:
     """Add ``near`` and ``far``: squared distances of the nearest and farthest
-    points of a row cell (cx, cy) and a station cell (sx, sy), given their edges."""
+    points of a row cell (cx, cy) and a station cell (sx, sy), given their edges. Gaps
+    are whole; their squares may be rounded, so ``far`` is a little too large."""
     gaps = []
     for axis in ("x", "y"):
         row, station = f"c{axis} * {row_edge}L", f"s{axis} * {station_edge}L"
         gaps += [
-            f"greatest(0L, {row} - {station} - {station_edge}L, {station} - {row} - {row_edge}L)"
+            f"double(greatest(0L, {row} - {station} - {station_edge}L, {station} - {row} - {row_edge}L))"
             f" AS near_{axis}",
-            f"greatest({row} + {row_edge}L - {station}, {station} + {station_edge}L - {row})"
+            f"double(greatest({row} + {row_edge}L - {station}, {station} + {station_edge}L - {row}))"
             f" AS far_{axis}",
         ]
     return pairs.selectExpr("*", *gaps).selectExpr(
         *pairs.columns,
         "near_x * near_x + near_y * near_y AS near",
-        "far_x * far_x + far_y * far_y AS far",
+        "(far_x * far_x + far_y * far_y) * 1.000000000001D AS far",
     )
 
 
@@ -63,23 +66,41 @@ def _up(x: str, y: str, steps: int, x_name: str, y_name: str) -> list[str]:
     return [f"shiftright({x}, {steps}) AS {x_name}", f"shiftright({y}, {steps}) AS {y_name}"]
 
 
+def _start(row_cells: DataFrame, stations: DataFrame, grid: Grid, leaf: int) -> int:
+    """The level to begin at: low enough to save steps, with few cells on both sides."""
+
+    def cells(level: int):
+        rows = F.struct(F.shiftright("cx", level - leaf), F.shiftright("cy", level - leaf))
+        return F.count_distinct(rows).alias(f"n{level}")
+
+    def station_cells(level: int):
+        found = F.struct(F.shiftright("sx", level - grid.finest), F.shiftright("sy", level - grid.finest))
+        return F.count_distinct(found).alias(f"n{level}")
+
+    rows = row_cells.agg(*map(cells, STARTS)).first()
+    placed = stations.agg(*map(station_cells, STARTS)).first()
+    small = [level for level in STARTS if rows[f"n{level}"] * placed[f"n{level}"] <= START_PAIRS]
+    return small[0] if small else grid.root
+
+
 def _descend(row_cells: DataFrame, stations: DataFrame, grid: Grid, leaf: int) -> DataFrame:
     """(cx, cy, stn_id, lat, lng): for every row cell of level ``leaf`` the
     stations that may be nearest to a point in it."""
-    levels = [*range(grid.root, leaf, -STEP), leaf]
+    levels = [*range(_start(row_cells, stations, grid, leaf), leaf, -STEP), leaf]
     frontier = None
     for above, level in zip([None, *levels], levels):
         rows = row_cells.selectExpr(*_up("cx", "cy", level - leaf, "cx", "cy")).distinct()
         cells = stations.selectExpr(*_up("sx", "sy", level - grid.finest, "sx", "sy")).distinct()
         if frontier is None:
-            frontier = rows.join(cells, (rows.cx == cells.sx) & (rows.cy == cells.sy))
-            continue
-        step = above - level
-        pairs = (
-            frontier.toDF("px", "py", "qx", "qy")
-            .join(rows.selectExpr("*", *_up("cx", "cy", step, "px", "py")), ["px", "py"])
-            .join(cells.selectExpr("*", *_up("sx", "sy", step, "qx", "qy")), ["qx", "qy"])
-        )
+            # At most START_PAIRS pairs, or the four cells around the origin on each side.
+            pairs = rows.withColumn("_all", F.lit(0)).join(cells.withColumn("_all", F.lit(0)), "_all")
+        else:
+            step = above - level
+            pairs = (
+                frontier.toDF("px", "py", "qx", "qy")
+                .join(rows.selectExpr("*", *_up("cx", "cy", step, "px", "py")), ["px", "py"])
+                .join(cells.selectExpr("*", *_up("sx", "sy", step, "qx", "qy")), ["qx", "qy"])
+            )
         # A row cell meets a bounded number of station cells at each level.
         frontier = (
             _spanned(pairs.select("cx", "cy", "sx", "sy"), 1, 1)
@@ -101,33 +122,22 @@ def _lists(found: DataFrame) -> DataFrame:
     return found.groupBy("cx", "cy").agg(F.collect_list(station).alias("stations"))
 
 
-def _nowhere(lat: Column, lng: Column) -> Column:
-    return F.lit(False)
-
-
 class StationIndex:
     """Short lists of possibly nearest stations, per occupied cell of ``points``.
 
     ``points`` has the columns lat and lng (DOUBLE) of all rows to be snapped;
-    ``dim`` is a station table (stn_id, lat, lng). Of stations at one and the
-    same place the smallest id stands for all. Places beyond every map are as good
-    as others up to a million degrees; above, a place counts as unknown. Points off
-    the earth's grid look at all stations in the wide one, which has no finer cells;
-    with a station off the earth's grid all points do.
+    ``dim`` is a station table (stn_id, lat, lng). Of stations at one and the same
+    place the smallest id stands for all. Places beyond every map are as good as others
+    up to eight thousand million degrees; above, a place counts as unknown.
     """
 
     def __init__(self, points: DataFrame, dim: DataFrame, long_list: int = LONG_LIST):
         lat, lng = F.col("lat"), F.col("lng")
         placed = dim.select("stn_id", lat.cast("double").alias("lat"), lng.cast("double").alias("lng"))
-        placed = placed.where(WIDE.holds(lat, lng)).groupBy("lat", "lng").agg(F.min("stn_id").alias("stn_id"))
-        stations = store(placed, "stations")
-        self.parts: list[tuple[Grid, int, DataFrame, int]] = []
-        self.earth = EARTH.holds if stations.where(~EARTH.holds(lat, lng)).isEmpty() else _nowhere
-        points = store(points.where(WIDE.holds(lat, lng)).distinct(), "points")
-        self._add(EARTH, points.where(self.earth(lat, lng)), stations, (LEAF_LEVEL, *FINER_LEVELS), long_list)
-        off = points.where(~self.earth(lat, lng))
-        if not off.isEmpty():
-            self._add(WIDE, off, stations, (LEAF_LEVEL,), long_list)
+        placed = placed.where(PLACES.holds(lat, lng)).groupBy("lat", "lng").agg(F.min("stn_id").alias("stn_id"))
+        self.parts: list[tuple[int, DataFrame, int]] = []
+        points = store(points.where(PLACES.holds(lat, lng)).distinct(), "points")
+        self._add(PLACES, points, store(placed, "stations"), (LEAF_LEVEL, *FINER_LEVELS), long_list)
 
     def _add(
         self, grid: Grid, points: DataFrame, stations: DataFrame, levels: tuple[int, ...], long_list: int
@@ -144,7 +154,7 @@ class StationIndex:
                     crowded = store(longer.select("cx", "cy"), "crowded-cells")
             short = found if crowded is None else found.join(crowded, ["cx", "cy"], "left_anti")
             lists = store(_lists(short), "station-lists")
-            self.parts.append((grid, level, lists, measured_bytes(lists)))
+            self.parts.append((level, lists, measured_bytes(lists)))
             if crowded is None:
                 break
             cx, cy = grid.index(F.col("lat"), F.col("lng"), level)
@@ -160,15 +170,11 @@ class StationIndex:
         stations the smallest id is taken."""
         columns = df.columns
         place = F.col(lat), F.col(lng)
-        asked = {
-            EARTH: wanted & self.earth(*place),
-            WIDE: wanted & WIDE.holds(*place) & ~self.earth(*place),
-        }
-        lists = []
-        for number, (grid, level, table, size) in enumerate(self.parts):
+        asked, lists = wanted & PLACES.holds(*place), []
+        for number, (level, table, size) in enumerate(self.parts):
             keys = [f"_cx{number}", f"_cy{number}"]
-            for key, index in zip(keys, grid.index(*place, level)):
-                df = df.withColumn(key, F.when(asked[grid], index))
+            for key, index in zip(keys, PLACES.index(*place, level)):
+                df = df.withColumn(key, F.when(asked, index))
             lists.append(f"_stations{number}")
             df = lookup_join(df, table.toDF(*keys, lists[-1]), keys, size=size)
         degrees = lambda s: planar_distance_m(

@@ -41,7 +41,7 @@ def check(spark, points, stations, long_list=64):
     assert len(found) == len(points)
     for row in found:
         dist, stn = brute_force(points[row.i], stations)
-        assert (row.stn, row.metres) == (stn, round(dist * 111_000 + 1e-9)), points[row.i]
+        assert (row.stn, row.metres) == (stn, math.floor(dist * 111_000 + 0.5 + 1e-9)), points[row.i]
     return index
 
 
@@ -80,19 +80,20 @@ def test_no_station_and_off_the_map(spark):
     found = StationIndex(rows, none).with_nearest(rows, "lat", "lng", F.lit(True), "stn", "m").first()
     assert found.stn is None and found.m is None
     dim = spark.createDataFrame([(1, 1.0, 1.0)], "stn_id int, lat double, lng double")
-    off = spark.createDataFrame([(float("nan"), 0.0), (None, 0.0), (1e9, 0.0), (1.0, 1.0)], "lat double, lng double")
+    off = spark.createDataFrame([(float("nan"), 0.0), (None, 0.0), (1e11, 0.0), (1.0, 1.0), (1e9, 1.0)], "lat double, lng double")
     found = StationIndex(off, dim).with_nearest(off, "lat", "lng", F.lit(True), "stn", "m").collect()
-    assert [(r.stn, r.m) for r in found] == [(None, None)] * 3 + [(1, 0)]
+    assert [(r.stn, r.m) for r in found] == [(None, None)] * 3 + [(1, 0), (1, (10**9 - 1) * 111_000)]
 
 
 def test_mistyped_places(spark):
     """Points and stations off the map, some by a lost decimal point."""
     rng = random.Random(3)
     stations = [(i, round(rng.uniform(38.8, 39.0), 5), round(rng.uniform(-77.2, -76.9), 5)) for i in range(60)]
-    points = [(rng.uniform(38.8, 39.0) * scale, rng.uniform(-77.2, -76.9)) for scale in (1, 10, 100, 10_000) for _ in range(50)]
+    points = [(rng.uniform(38.8, 39.0) * scale, rng.uniform(-77.2, -76.9)) for scale in (1, 10, 100, 10_000, 10**6, 10**8) for _ in range(50)]
     points += [(38.9, -180.5), (389.0, -771.0), (-389.0, 771.0)]
-    assert len(check(spark, points, stations).parts) == 2
-    check(spark, points, [*stations, (70, 389.0, -77.0), (71, 38.9, 77000.0)])
+    assert len(check(spark, points, stations).parts) == 1
+    # Stations off the map leave the lists of the others as they are.
+    check(spark, points, [*stations, (70, 389.0, -77.0), (71, 38.9, 77000.0), (72, 3.89e7, -7.7e9)])
 
 
 @pytest.fixture()
