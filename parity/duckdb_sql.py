@@ -344,11 +344,59 @@ DATA_TESTS = "\nUNION ALL\n".join(
     ]
 )
 
+# Failing values as text, with their rows.
+TEST_FAILURES = "\nUNION ALL\n".join(
+    [
+        "SELECT 'unique_ride_id' AS test, ride_id AS failing, count(*) AS n_rows FROM silver "
+        "WHERE ride_id IS NOT NULL GROUP BY ride_id HAVING count(*) > 1",
+        *[
+            f"SELECT 'not_null_{c}', NULL, count(*) FROM silver WHERE {c} IS NULL HAVING count(*) > 0"
+            for c in REQUIRED
+        ],
+        *[
+            f"SELECT 'known_{c}', CAST({c} AS VARCHAR), count(*) FROM silver AS s WHERE {c} IS NOT NULL "
+            f"AND NOT EXISTS (SELECT 1 FROM dim AS d WHERE d.{field} = s.{c}) GROUP BY {c}"
+            for c, field in REFERENCES
+        ],
+    ]
+)
+
 CODES = ", ".join(f"'{code}'" for code in COUNTRY_LABELS)
 WEATHER = ", ".join(
     f'CAST(embedding[1 + ({i * 10} + d) % 64] AS DOUBLE) AS "{name}"'
     for i, name in enumerate(WEATHER_COLUMNS[1:])
 )
+part(
+    "local_weather",
+    "",
+    f"""
+    SELECT cell_lat, cell_lng, {", ".join(f'"{name}"' for name in WEATHER_COLUMNS)}
+    FROM (SELECT *, row_number() OVER (
+              PARTITION BY cell_lat, cell_lng, "Date"
+              ORDER BY a * a + b * b, latitude, longitude, {", ".join(f'"{name}"' for name in WEATHER_COLUMNS[1:])}) AS place
+          FROM (SELECT *, latitude / 0.02 - cell_lat AS a, longitude / 0.02 - cell_lng AS b
+                FROM (SELECT *, CAST(floor(latitude / 0.02 + 0.5) AS BIGINT) AS cell_lat,
+                             CAST(floor(longitude / 0.02 + 0.5) AS BIGINT) AS cell_lng
+                      FROM (SELECT CAST(3880 + vec_id % 7 * 2 AS DOUBLE) / 100 AS latitude,
+                                   CAST(vec_id // 7 % 5 * 3 - 7710 AS DOUBLE) / 100 AS longitude,
+                                   DATE '2024-01-01' + CAST(vec_id % 5 + d AS INTEGER) AS "Date", {WEATHER}
+                            FROM embeddings, range(64) AS r(d)))))
+    WHERE place = 1
+    """,
+)
+part(
+    "met",
+    "silver local_weather",
+    f"""
+    SELECT t.*, w.* EXCLUDE (cell_lat, cell_lng, "Date")
+    FROM (SELECT CAST({wall_of_utc('start_time')} AS DATE) AS "Date",
+                 CAST(floor(CAST(start_lat AS DOUBLE) / 0.02 + 0.5) AS BIGINT) AS cell_lat,
+                 CAST(floor(CAST(start_lng AS DOUBLE) / 0.02 + 0.5) AS BIGINT) AS cell_lng,
+                 count(*) AS trips
+          FROM silver GROUP BY ALL) AS t
+    LEFT JOIN local_weather AS w USING (cell_lat, cell_lng, "Date")
+    """,
+)
 ALL_TRIPS = sql("trips", "SELECT * FROM trips")
 
 # Records of landed files: each by the second of its start.
@@ -442,6 +490,7 @@ ORACLE = {
     "q_calendar_sink": sql("date_dim", "SELECT * FROM date_dim"),
     "q_tested_run": sql("silver_strict", "SELECT * FROM silver_strict").replace(PARTS["trips"][1], ONCE, 1),
     "q_failing_tests": sql("silver dim bad trips", f"SELECT test FROM ({DATA_TESTS}) WHERE failures > 0"),
+    "q_test_failures": sql("silver dim", TEST_FAILURES),
     "q_stored_cube": sql("bounded", kpi_row("bounded", share=False)),
     "q_gold_repaired": sql(
         "merged", f"SELECT {FACT}, start_stn_imputed, end_stn_imputed FROM merged"
@@ -512,6 +561,17 @@ ORACLE = {
         FROM (SELECT {SECONDS} AS us FROM trips)
         """,
     ),
+    "q_duration_by_bike_and_day": sql(
+        "trips",
+        f"""
+        SELECT rideable_type, CAST(started_at AS DATE) AS day, count(us) AS rides,
+               round(quantile_cont(us, 0.5) / 1000000, 3) AS p50_seconds,
+               round(quantile_cont(us, 0.9) / 1000000, 3) AS p90_seconds,
+               round(quantile_cont(us, 0.99) / 1000000, 3) AS p99_seconds,
+               round(max(us) / 1000000, 3) AS longest_seconds
+        FROM (SELECT *, {SECONDS} AS us FROM trips) WHERE us IS NOT NULL GROUP BY ALL
+        """,
+    ),
     "q_date_dim": sql("date_dim", "SELECT * FROM date_dim"),
     "q_date_dim_weekends": sql(
         "dates lists", date_table("holiday_count IS NOT NULL OR isodow(date) IN (6, 7)")
@@ -529,6 +589,17 @@ ORACLE = {
                DATE '2024-01-01' + CAST(vec_id % 5 + d AS INTEGER) AS "Date", {WEATHER}
         FROM embeddings, range(64) AS r(d)
     """,
+    "q_weather_cells": sql("local_weather", "SELECT * FROM local_weather"),
+    "q_trips_in_weather": sql("met", "SELECT * FROM met"),
+    "q_daily_weather": sql(
+        "fct date_dim met",
+        f"""
+        SELECT d.*, trips_with_weather, warmest, most_rain FROM ({daily('fct')}) AS d
+        LEFT JOIN (SELECT "Date" AS day,
+                          CAST(sum(CASE WHEN "Temp_max" IS NOT NULL THEN trips ELSE 0 END) AS BIGINT) AS trips_with_weather,
+                          max("Temp_max") AS warmest, max("Rain") AS most_rain FROM met GROUP BY 1) USING (day)
+        """,
+    ),
     "q_array_to_rows": """
         SELECT vec_id, label, CAST(i AS INTEGER) AS place, CAST(embedding[i] AS DOUBLE) AS embedding
         FROM embeddings, range(1, 65) AS r(i)
@@ -584,6 +655,11 @@ ORACLE = {
     """,
     "q_zip_scan": ALL_TRIPS,
     "q_csv_scan": ALL_TRIPS,
+    "q_readable_zips": sql(
+        "trips",
+        "SELECT 2024 AS year, CAST(1 + day(started_at) % 3 AS INTEGER) AS month, "
+        "rideable_type <> 'docked_bike' AS readable, count(*) AS trips FROM trips GROUP BY ALL",
+    ),
     "q_create_only_sink": ALL_TRIPS,
     "q_self_rebuild": ALL_TRIPS,
     "q_malformed_rows": sql("landed", MALFORMED),
@@ -605,3 +681,4 @@ ORACLE = {
 #: Answers from the cube are those from the trips.
 ORACLE |= {f"q_cube_{name}": ORACLE[f"q_{name}"] for name in ("hourly_bounded", "top_stations_bounded", "holiday_effect")}
 ORACLE["q_weather_landed"] = ORACLE["q_weather_daily"]
+ORACLE["q_zip_folders"] = ORACLE["q_backfill"]

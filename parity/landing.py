@@ -5,6 +5,8 @@ from io import BytesIO
 from zipfile import ZIP_DEFLATED, ZipFile
 
 import pandas as pd
+from pyarrow import fs
+from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -29,6 +31,32 @@ def zipped(trips: DataFrame) -> DataFrame:
     return as_text(trips).mapInPandas(pack, "path string, content binary")
 
 
+def landed_zips(trips: DataFrame, months: dict[tuple[int, int], str]) -> str:
+    """Write the trips of each condition into zips in the folder of its month, one per
+    task, with a CSV member per batch; returns the folder of all months."""
+    root = scratch_path(trips.sparkSession, "landed-zips")
+    for (year, month), rows in months.items():
+        folder = month_folder(root, year, month)
+
+        def pack(batches: Iterator[pd.DataFrame], folder: str = folder) -> Iterator[pd.DataFrame]:
+            named = "://" in folder or folder.startswith("file:")
+            system, place = fs.FileSystem.from_uri(folder) if named else (fs.LocalFileSystem(), folder)
+            archive = None
+            for number, batch in enumerate(batches):
+                if archive is None:
+                    system.create_dir(place, recursive=True)
+                    file = system.open_output_stream(f"{place}/part-{TaskContext.get().partitionId()}.zip")
+                    archive = ZipFile(file, "w", ZIP_DEFLATED)
+                archive.writestr(f"trips-{number}.csv", batch.to_csv(index=False))
+                yield pd.DataFrame({"n": [len(batch)]})
+            if archive is not None:
+                archive.close()
+                file.close()
+
+        as_text(trips.where(rows)).mapInPandas(pack, "n long").agg(F.sum("n")).collect()
+    return root
+
+
 def _write_csv(trips: DataFrame, path: str) -> None:
     writer = as_text(trips).write.option("header", True).option("escape", '"')
     writer.option("ignoreLeadingWhiteSpace", False).option(

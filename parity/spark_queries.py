@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parity.landing import landed_csv, landed_malformed, landed_months, zipped
+from parity.landing import landed_csv, landed_malformed, landed_months, landed_zips, zipped
 from parity.trips_fx import holiday_seed, trips_fx
 from ridestrata.functions.scalars import COUNTRY_LABELS, labelled
 from ridestrata.functions.timezones import (
@@ -30,12 +30,13 @@ from ridestrata.operators.conform import (
 from ridestrata.operators.datatests import (
     accepted_values,
     failing,
+    failures_by_test,
     not_null,
     relationships,
     silver_tests,
     unique,
 )
-from ridestrata.operators.profile import duration_profile
+from ridestrata.operators.profile import duration_profile, quantiles_by
 from ridestrata.operators.quarantine import (
     bad_rows,
     clean_rows,
@@ -43,6 +44,7 @@ from ridestrata.operators.quarantine import (
     failure_counts,
     failures_long,
     flag,
+    flagged_ratio_alarm,
     quarantine_ratio_alarm,
 )
 from ridestrata.operators.repair import (
@@ -64,12 +66,12 @@ from ridestrata.operators.rules import (
     ride_micros,
 )
 from ridestrata.operators.stored import scratch_path, store
-from ridestrata.operators.weather import arrays_to_rows, weather_daily
+from ridestrata.operators.weather import arrays_to_rows, daily_with_weather, trips_in_weather, weather_daily, weather_dim
 from ridestrata.plans import cube, ridership
-from ridestrata.plans.monthly import MONTH, build_calendar, ingest, run_months, store_repaired
+from ridestrata.plans.monthly import MONTH, build_calendar, ingest, run_months, store_repaired, store_test_failures
 from ridestrata.plans.star import counted, top_by_dimension, with_context
 from ridestrata.schemas import TRIPS, WEATHER_VARIABLES
-from ridestrata.sources.archive import month_key, read_readable_csv, read_trip_csv, unzip_trips
+from ridestrata.sources.archive import month_key, read_readable_csv, read_readable_months, read_trip_archives, read_trip_csv, month_folder, unzip_trips
 from ridestrata.sources.warehouse import (
     create_folder,
     create_layers,
@@ -374,6 +376,19 @@ def q_duration_profile(spark, sf_dir):
     return duration_profile(trips_fx(spark, sf_dir), ride_micros())
 
 
+@query
+def q_duration_by_bike_and_day(spark, sf_dir):
+    trips = trips_fx(spark, sf_dir).withColumn("day", F.to_date(naive(F.col("started_at"))))
+    found = quantiles_by(trips, ["rideable_type", "day"], ride_micros(), [0.5, 0.9, 0.99])
+    return found.select(
+        "rideable_type",
+        "day",
+        F.col("n").alias("rides"),
+        *[F.round(F.get("quantiles", F.lit(i)) / 1_000_000, 3).alias(f"{p}_seconds") for i, p in enumerate(("p50", "p90", "p99"))],
+        F.round(F.col("largest") / 1_000_000, 3).alias("longest_seconds"),
+    )
+
+
 # The same from a cube that is merged month by month
 
 
@@ -489,6 +504,38 @@ def weather_responses(spark, sf_dir):
     )
 
 
+def local_weather(spark, sf_dir):
+    """Responses of 35 locations among the stations, most of them with several, landed as
+    JSON, read again and stored as a table that must be new: the weather by cell and day."""
+    number = F.col("longitude").cast("bigint")
+    responses = weather_responses(spark, sf_dir).withColumns(
+        {
+            "latitude": (3880 + number % 7 * 2).cast("double") / 100,
+            "longitude": (F.floor(number / 7).cast("bigint") % 5 * 3 - 7710).cast("double") / 100,
+        }
+    )
+    path = scratch_path(spark, "weather-json")
+    responses.write.json(path)
+    return create_folder(weather_dim(weather_daily(read_weather(spark, [path])), 0.02), scratch_path(spark, "weather"))
+
+
+@query
+def q_weather_cells(spark, sf_dir):
+    return local_weather(spark, sf_dir)
+
+
+@query
+def q_trips_in_weather(spark, sf_dir):
+    return trips_in_weather(silver(spark, sf_dir), local_weather(spark, sf_dir), 0.02)
+
+
+@query
+def q_daily_weather(spark, sf_dir):
+    trips = silver(spark, sf_dir)
+    met = trips_in_weather(trips, local_weather(spark, sf_dir), 0.02)
+    return daily_with_weather(ridership.daily(trips, calendar(spark, trips)), met)
+
+
 @query
 def q_array_to_rows(spark, sf_dir):
     places = F.sequence(F.lit(1), F.size("embedding"))
@@ -549,18 +596,10 @@ def q_test_relationship(spark, sf_dir):
 @query
 def q_data_tests(spark, sf_dir):
     """The whole contract of silver: rows returned by each test."""
-    trips = trips_fx(spark, sf_dir)
-    flagged = flag(trips)
+    flagged = flag(trips_fx(spark, sf_dir))
     kept = store(to_silver(flagged, strict=False), "silver")
     stations = store(role_union_dim(kept), "stations")
-    tests = silver_tests(kept, stations, bad_rows(flagged), trips)
-    results = None
-    for test in tests:
-        row = test.failures.agg(F.count("*").alias("failures")).select(
-            F.lit(test.name).alias("test"), "failures"
-        )
-        results = row if results is None else results.union(row)
-    return results
+    return failures_by_test(silver_tests(kept, stations, flagged_ratio_alarm(flagged)))
 
 
 # Expressions
@@ -613,6 +652,27 @@ def q_zip_scan(spark, sf_dir):
     return unzip_trips(zipped(trips_fx(spark, sf_dir))).drop("path")
 
 
+@query
+def q_zip_folders(spark, sf_dir):
+    """Zips in month folders, streamed."""
+    root = landed_zips(trips_fx(spark, sf_dir), FEEDS)
+    return read_trip_archives(spark, [month_folder(root, *month) for month in FEEDS])
+
+
+@query
+def q_readable_zips(spark, sf_dir):
+    """The same with a number that is none in every trip of a type."""
+    trips = trips_fx(spark, sf_dir)
+    text = F.when(F.col("rideable_type") == "docked_bike", "north").otherwise(F.col("start_lat").cast("string"))
+    root = landed_zips(trips.withColumn("start_lat", text), FEEDS)
+    rows, unreadable = read_readable_months(spark, [month_folder(root, *month) for month in FEEDS])
+    counts = [
+        df.groupBy("year", "month").agg(F.count("*").alias("trips")).withColumn("readable", F.lit(flag))
+        for df, flag in ((rows, True), (unreadable, False))
+    ]
+    return counts[0].union(counts[1])
+
+
 @query
 def q_csv_scan(spark, sf_dir):
     return read_trip_csv(spark, [landed_csv(trips_fx(spark, sf_dir))])
@@ -772,3 +832,11 @@ def q_failing_tests(spark, sf_dir):
     root = layers_and_files(spark, trips_fx(spark, sf_dir))
     built = run_months(spark, root, FEEDS, zipped=False, strict=False, tested=False)
     return spark.createDataFrame([(name,) for name in failing(built.tests)], "test string")
+
+
+@query
+def q_test_failures(spark, sf_dir):
+    """The failing values that a month run over all trips stores."""
+    root = layers_and_files(spark, trips_fx(spark, sf_dir))
+    built = run_months(spark, root, FEEDS, zipped=False, strict=False, tested=False)
+    return store(store_test_failures(built), "test-failures")

@@ -128,3 +128,9 @@ def quarantine_ratio_alarm(
         "total", every.agg(F.count("*")).scalar()
     )
     return counts.where(F.col("quarantined") > F.lit(highest) * F.col("total"))
+
+
+def flagged_ratio_alarm(flagged: DataFrame, highest: float = 0.50) -> DataFrame:
+    """``quarantine_ratio_alarm`` from flagged rows, in one scan."""
+    counts = flagged.agg(F.count_if("is_bad").alias("quarantined"), F.count("*").alias("total"))
+    return counts.where(F.col("quarantined") > F.lit(highest) * F.col("total"))

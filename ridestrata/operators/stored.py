@@ -12,7 +12,7 @@ from functools import reduce
 from operator import add, and_, or_
 from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -59,15 +59,16 @@ def store(df: DataFrame, label: str) -> DataFrame:
 def measured_bytes(df: DataFrame) -> int:
     """Size of a stored table in memory, from its row count and its widths."""
 
-    def width(field: T.StructField):
-        column = F.col(field.name)
-        if isinstance(field.dataType, (T.StringType, T.BinaryType)):
+    def width(column: Column, kind: T.DataType):
+        if isinstance(kind, T.StructType):
+            return reduce(add, (width(column[field.name], field.dataType) for field in kind), F.lit(16))
+        if isinstance(kind, (T.StringType, T.BinaryType)):
             return F.coalesce(F.octet_length(column), F.lit(0)) + 16
-        if isinstance(field.dataType, T.ArrayType):
+        if isinstance(kind, T.ArrayType):
             return F.coalesce(F.size(column), F.lit(0)) * 48 + 24
         return F.lit(16)
 
-    row = reduce(add, (width(field) for field in df.schema))
+    row = reduce(add, (width(F.col(field.name), field.dataType) for field in df.schema))
     total = df.agg(F.sum(row.cast("bigint")).alias("bytes")).first()["bytes"]
     return total or 0
 

@@ -19,8 +19,8 @@ from ridestrata.operators.conform import (
     kept_to_silver,
     role_union_dim,
 )
-from ridestrata.operators.datatests import DataTest, gate, not_empty, silver_tests
-from ridestrata.operators.quarantine import bad_rows, failures_long, flag, without_bad_keys
+from ridestrata.operators.datatests import DataTest, failure_rows, gate, not_empty, silver_tests
+from ridestrata.operators.quarantine import bad_rows, failures_long, flag, quarantine_ratio_alarm, without_bad_keys
 from ridestrata.operators.repair import SIDES, merge_repaired, repair_candidates
 from ridestrata.operators.rules import TRIP_DRIFT, names_by_role, of_several_names
 from ridestrata.operators.stored import lookup_join, store
@@ -189,7 +189,7 @@ def build_models(
         built["fct_trips"],
         built["temp"],
         [
-            *silver_tests(plain, built["dim_stations"], built["quarantine"], bronze),
+            *silver_tests(plain, built["dim_stations"], quarantine_ratio_alarm(built["quarantine"], bronze)),
             DataTest("bronze_not_empty", not_empty(bronze)),
             DataTest("silver_not_empty", not_empty(plain)),
         ],
@@ -219,6 +219,11 @@ def store_repaired(spark: SparkSession, tz: str = LOCAL_TZ) -> DataFrame:
     return merged
 
 
+def store_test_failures(built: Warehouse) -> DataFrame:
+    """``audit.test_failures``: the failing values of the data tests and their rows."""
+    return replace_table(failure_rows(built.tests), "audit", "test_failures")
+
+
 def rule_failures(spark: SparkSession, rule: str) -> DataFrame:
     """Stored failing rows of one rule, read from its partition alone."""
     return read_model(spark, "audit", "failures").where(F.col("failed_rule") == rule)
@@ -236,14 +241,15 @@ def run_months(
     keep_unreadable: bool = False,
 ) -> Warehouse:
     """Layers, ingest, models in the order of their dependencies, then the data
-    tests, which raise when one of them fails. With ``keep_other_months`` only what the
+    tests, whose failures are stored in ``audit.test_failures`` and which raise when one
+    of them fails. With ``keep_other_months`` only what the
     months change is rebuilt."""
     create_layers(spark)
     months = [(int(year), int(month)) for year, month in months]
     ingest(spark, root, months, zipped, keep_other_months, keep_unreadable)
     built = build_models(spark, strict, tz, months if keep_other_months else None)
     if tested:
-        gate(built.tests)
+        gate(built.tests, store_test_failures(built))
     return built
 
 

@@ -5,15 +5,17 @@ zip or its extracted CSV files. Files are landed by other means; a rebuild or a
 backfill reads any number of months in one job.
 """
 
+import json
 import zipfile
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Iterable, Iterator
 from io import BytesIO
 
 import pyarrow as pa
-from pyarrow import csv
+from pyarrow import csv, fs
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ridestrata.functions.scalars import two_digits
 from ridestrata.schemas import TRIPS, TRIPS_RAW
@@ -122,69 +124,139 @@ def unzip_trips(archives: DataFrame) -> DataFrame:
     return typed_trips(unzip_text(archives).drop(RECORD))
 
 
-def unzip_text(archives: DataFrame, keep_unreadable: bool = False) -> DataFrame:
-    """Text rows of all CSV members of zip files given as (path, content), with the text
-    of unreadable records in ``_record`` if they are kept.
-
-    One zip is opened by one task, since a zip cannot be split; its rows leave
-    the task block by block, as text columns found by their names. A zip without a
-    CSV member, or a member with other columns than the schema's, is an error.
-    """
+def _member_blocks(keep_unreadable: bool) -> Callable[[zipfile.ZipFile, str, str], Iterator[pa.RecordBatch]]:
+    """A function that streams a CSV member of an open zip as text columns, found by their
+    names, block by block. Nested, so that workers get it by value and need no copy of
+    this package."""
     names = TRIPS_RAW.names
-    block_bytes = _BLOCK_BYTES
+    block_bytes, record_name = _BLOCK_BYTES, RECORD
 
-    # Nested, so that workers get it by value and need no copy of this package.
-    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        as_text = csv.ConvertOptions(
-            column_types={name: pa.string() for name in names},
-            strings_can_be_null=False,
-        )
+    def blocks(archive: zipfile.ZipFile, path: str, member: str) -> Iterator[pa.RecordBatch]:
         unreadable: list[str] = []
 
         def skip(row: csv.InvalidRow) -> str:
             unreadable.append(row.text)
             return "skip" if keep_unreadable else "error"
 
-        def kept(path: str) -> pa.RecordBatch:
+        def kept() -> pa.RecordBatch:
             texts = [unreadable.pop() for _ in range(len(unreadable))]
             empty = [pa.nulls(len(texts), pa.string()) for _ in names]
             columns = [pa.array([path] * len(texts), pa.string()), *empty, pa.array(texts, pa.string())]
-            return pa.RecordBatch.from_arrays(columns, names=["path", *names, RECORD])
+            return pa.RecordBatch.from_arrays(columns, names=["path", *names, record_name])
+
+        reader = csv.open_csv(
+            pa.PythonFile(archive.open(member), mode="r"),
+            read_options=csv.ReadOptions(block_size=block_bytes),
+            parse_options=csv.ParseOptions(newlines_in_values=True, invalid_row_handler=skip),
+            convert_options=csv.ConvertOptions(
+                column_types={name: pa.string() for name in names}, strings_can_be_null=False
+            ),
+        )
+        if sorted(reader.schema.names) != sorted(names):
+            raise ValueError(f"{member} in {path} has columns {reader.schema.names}")
+        for block in reader:
+            paths = pa.array([path] * block.num_rows, pa.string())
+            records = pa.nulls(block.num_rows, pa.string())
+            yield pa.RecordBatch.from_arrays(
+                [paths, *block.select(names).columns, records], names=["path", *names, record_name]
+            )
+            if unreadable:
+                yield kept()
+        if unreadable:
+            yield kept()
+
+    return blocks
+
+
+def _csv_members() -> Callable[[zipfile.ZipFile, str], list[str]]:
+    def members(archive: zipfile.ZipFile, path: str) -> list[str]:
+        found = [
+            member
+            for member in archive.namelist()
+            if member.lower().endswith(".csv") and not member.startswith("__MACOSX/")
+        ]
+        if not found:
+            raise ValueError(f"no CSV file in {path}")
+        return found
+
+    return members
 
+
+def unzip_text(archives: DataFrame, keep_unreadable: bool = False) -> DataFrame:
+    """Text rows of all CSV members of zip files given as (path, content), with the text
+    of unreadable records in ``_record`` if they are kept.
+
+    One zip is opened by one task; its rows leave the task block by block. A zip without a
+    CSV member, or a member with other columns than the schema's, is an error.
+    """
+    blocks, members = _member_blocks(keep_unreadable), _csv_members()
+
+    def unzip(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for path, content in zip(batch["path"], batch["content"]):
                 archive = zipfile.ZipFile(BytesIO(content.as_py()))
-                members = [
-                    member
-                    for member in archive.namelist()
-                    if member.lower().endswith(".csv") and not member.startswith("__MACOSX/")
-                ]
-                if not members:
-                    raise ValueError(f"no CSV file in {path.as_py()}")
-                for member in members:
-                    blocks = csv.open_csv(
-                        pa.PythonFile(archive.open(member), mode="r"),
-                        read_options=csv.ReadOptions(block_size=block_bytes),
-                        parse_options=csv.ParseOptions(newlines_in_values=True, invalid_row_handler=skip),
-                        convert_options=as_text,
-                    )
-                    if sorted(blocks.schema.names) != sorted(names):
-                        raise ValueError(f"{member} in {path.as_py()} has columns {blocks.schema.names}")
-                    for block in blocks:
-                        block = block.select(names)
-                        paths = pa.array([path.as_py()] * block.num_rows, pa.string())
-                        records = pa.nulls(block.num_rows, pa.string())
-                        yield pa.RecordBatch.from_arrays(
-                            [paths, *block.columns, records], names=["path", *names, RECORD]
-                        )
-                        if unreadable:
-                            yield kept(path.as_py())
-                    if unreadable:
-                        yield kept(path.as_py())
+                for member in members(archive, path.as_py()):
+                    yield from blocks(archive, path.as_py(), member)
 
     return archives.select("path", "content").mapInArrow(unzip, UNZIPPED)
 
 
+def _zip_source(keep_unreadable: bool) -> type[DataSource]:
+    """A data source of the CSV members of zip files, one partition for each."""
+    blocks, members = _member_blocks(keep_unreadable), _csv_members()
+
+    def opened(uri: str):
+        """The file system and the path in it."""
+        if "://" not in uri and not uri.startswith("file:"):
+            return fs.LocalFileSystem(), uri
+        return fs.FileSystem.from_uri(uri.replace("s3a://", "s3://", 1))
+
+    class Members(DataSourceReader):
+        def __init__(self, folders: list[str]):
+            self.folders = folders
+
+        def partitions(self) -> list[InputPartition]:
+            found = []
+            for folder in self.folders:
+                system, root = opened(folder)
+                for file in sorted(system.get_file_info(fs.FileSelector(root)), key=lambda info: info.path):
+                    if not file.is_file or not file.path.endswith(".zip"):
+                        continue
+                    with system.open_input_file(file.path) as source, zipfile.ZipFile(source) as archive:
+                        found += [InputPartition((folder, file.path, name)) for name in members(archive, file.path)]
+            return found
+
+        def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+            folder, path, member = partition.value
+            with opened(folder)[0].open_input_file(path) as source, zipfile.ZipFile(source) as archive:
+                yield from blocks(archive, path, member)
+
+    class ZipMembers(DataSource):
+        @classmethod
+        def name(cls) -> str:
+            return "trip_zips_readable" if keep_unreadable else "trip_zips"
+
+        def schema(self) -> T.StructType:
+            return unzipped
+
+        def reader(self, schema: T.StructType) -> DataSourceReader:
+            return Members(json.loads(self.options["folders"]))
+
+    unzipped = UNZIPPED
+    return ZipMembers
+
+
+def zip_text(spark: SparkSession, folders: Iterable[str], keep_unreadable: bool = False) -> DataFrame:
+    """``unzip_text`` of the zip files in folders, without holding a file: each CSV member
+    is one partition, whose task reads and unpacks it block by block, so a zip may have any
+    size. The driver reads the directories of the zips alone. A folder without zips gives
+    no rows."""
+    source = _zip_source(keep_unreadable)
+    spark.dataSource.register(source)
+    wanted = [folder.rstrip("/") for folder in folders]
+    return spark.read.format(source.name()).option("folders", json.dumps(wanted)).load()
+
+
 def require_files(spark: SparkSession, folders: Iterable[str], pattern: str) -> None:
     """Raise unless every month folder holds a file of this pattern."""
     wanted = list(folders)
@@ -195,12 +267,23 @@ def require_files(spark: SparkSession, folders: Iterable[str], pattern: str) ->
         raise FileNotFoundError(f"no {pattern} in {', '.join(empty)}")
 
 
-def read_trip_archives(spark: SparkSession, folders: Iterable[str]) -> DataFrame:
-    """Trips of the zip files in month folders, with ``year`` and ``month``."""
-    archives = (
-        spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(folders))
-    )
-    return with_month(unzip_trips(archives)).drop("path")
+def _zip_rows(
+    spark: SparkSession, folders: Iterable[str], keep_unreadable: bool, streamed: bool
+) -> DataFrame:
+    if streamed:
+        return zip_text(spark, folders, keep_unreadable)
+    files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(folders))
+    return unzip_text(files, keep_unreadable)
+
+
+def read_trip_archives(
+    spark: SparkSession, folders: Iterable[str], streamed: bool = True
+) -> DataFrame:
+    """Trips of the zip files in month folders, with ``year`` and ``month``. Zips are
+    streamed by Arrow's file systems; with ``streamed=False`` Spark reads each as one
+    value, on any file system that Spark knows, but of less than 2 GB."""
+    rows = typed_trips(_zip_rows(spark, folders, False, streamed).drop(RECORD))
+    return with_month(rows).drop("path")
 
 
 def _scan_csv(
@@ -247,13 +330,16 @@ def read_readable_csv(
 
 
 def read_readable_months(
-    spark: SparkSession, folders: Iterable[str], zipped: bool = True, newlines_in_values: bool = False
+    spark: SparkSession,
+    folders: Iterable[str],
+    zipped: bool = True,
+    newlines_in_values: bool = False,
+    streamed: bool = True,
 ) -> tuple[DataFrame, DataFrame]:
     """(rows, unreadable) of month folders, both with ``year`` and ``month``, the latter
     with the ``path`` of its file."""
     if zipped:
-        files = spark.read.format("binaryFile").option("pathGlobFilter", "*.zip").load(list(folders))
-        raw = unzip_text(files, keep_unreadable=True)
+        raw = _zip_rows(spark, folders, True, streamed)
     else:
         raw = _scan_csv(spark, folders, newlines_in_values, keep_unreadable=True)
         raw = raw.select("*", F.col("_metadata.file_path").alias("path"))
