@@ -226,7 +226,9 @@ def _zip_source(keep_unreadable: bool) -> type[DataSource]:
                         found += [InputPartition((folder, file.path, name)) for name in members(archive, file.path)]
             return found
 
-        def read(self, partition: InputPartition) -> Iterator[pa.RecordBatch]:
+        def read(self, partition: InputPartition | None) -> Iterator[pa.RecordBatch]:
+            if partition is None:  # Spark's only partition where none was found
+                return
             folder, path, member = partition.value
             with opened(folder)[0].open_input_file(path) as source, zipfile.ZipFile(source) as archive:
                 yield from blocks(archive, path, member)
