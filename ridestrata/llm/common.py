@@ -1,8 +1,9 @@
 """Helpers shared by the text operators."""
 
 import numpy as np
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 #: White space of the word rule: every byte or character outside it belongs to a word.
 SPACES = " \t\n\x0b\x0c\r"
@@ -19,29 +20,47 @@ def in_fold(doc_id: str, modulus: int, remainder: int) -> Column:
     return F.coalesce(digest % modulus == remainder, F.lit(True))
 
 
-def bounded_sample(rows: DataFrame, label: str, per_label: int, max_chars: int) -> list[dict]:
-    """At most ``per_label`` rows of each label, however many labels there are, texts of
-    up to ``max_chars`` characters, on the driver. Rows are picked by a hash of id and
-    text, so the same table always gives the same sample; the bounds are the caller's.
-    Labels with no more rows than that are read together, each other one by itself."""
+def bounded_sample(
+    rows: DataFrame,
+    label: str,
+    per_label: int,
+    max_chars: int,
+    most_labels: int = 100_000,
+    most_chars: int = 400_000_000,
+) -> list[dict]:
+    """At most ``per_label`` rows of each label, texts of up to ``max_chars`` characters,
+    on the driver, by label. Rows are picked by a hash of id and text, so the same table
+    always gives the same sample; the bounds are the caller's.
+
+    Two scans, however many labels there are: one counts, one takes the rows of all labels
+    below the hash that leaves a tenth and four deviations more of each than is wanted, of
+    which Spark keeps the first. More labels than ``most_labels``, or a sample of more characters than
+    ``most_chars``, is an error."""
     eligible = rows.where(F.col(label).isNotNull() & (F.length("text") <= max_chars))
-    order = F.xxhash64("doc_id", "text", F.lit(11))
-    counts = eligible.groupBy(label).count().orderBy(label).collect()
-    whole = {found[label]: [] for found in counts if found["count"] <= per_label}
-    if whole:
-        for row in eligible.where(F.col(label).isin(list(whole))).withColumn("_rs_order", order).collect():
-            whole[row[label]].append(row.asDict())
-    sample = []
+    sizes = eligible.groupBy(label).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    counts = sizes.limit(most_labels + 1).collect()
+    if len(counts) > most_labels:
+        raise ValueError(f"more than {most_labels} values of {label}; name a bound that the driver can hold")
+    chars = sum(found["chars"] * min(1.0, per_label / found["n"]) for found in counts)
+    if chars > most_chars:
+        raise ValueError(f"a sample of {chars:.0f} characters is larger than {most_chars}; take fewer rows of each {label}")
+    if not counts:
+        return []
+    bounds, wanted = [], per_label * 1.1 + 4 * per_label**0.5
     for found in counts:
-        if found[label] in whole:
-            taken = sorted(whole[found[label]], key=lambda row: row["_rs_order"])
-            sample += [{name: row[name] for name in rows.columns} for row in taken]
-            continue
-        share = min(1.0, per_label * 1.1 / found["count"])
+        share = min(1.0, wanted / found["n"])
         bound = min(int((share * 2 - 1) * 2.0**63), 2**63 - 1)
-        picked = eligible.where((F.col(label) == found[label]) & (order <= bound))
-        sample += [row.asDict() for row in picked.orderBy(order).limit(per_label).collect()]
-    return sample
+        bounds.append((found[label], 2**63 - 1 if found["n"] <= per_label else bound))
+    spark, kind = rows.sparkSession, rows.schema[label].dataType
+    schema = T.StructType([T.StructField(label, kind), T.StructField("_rs_bound", T.LongType())])
+    limits = F.broadcast(spark.createDataFrame(bounds, schema))
+    order = F.xxhash64("doc_id", "text", F.lit(11))
+    near = eligible.withColumn("_rs_order", order).where(F.col("_rs_order") <= max(bound for _, bound in bounds))
+    near = near.join(limits, label).where("_rs_order <= _rs_bound")
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_rs_order"))
+    first = near.withColumn("_rs_place", place).where(F.col("_rs_place") <= per_label)
+    taken = sorted(first.collect(), key=lambda row: (row[label], row["_rs_order"]))
+    return [{name: row[name] for name in rows.columns} for row in taken]
 
 
 def segment_sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:

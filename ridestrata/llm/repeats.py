@@ -87,8 +87,11 @@ class Units:
     first: Callable[[np.ndarray], tuple[np.ndarray, int]]
     anchors: Callable[[np.ndarray, np.ndarray, int], tuple[np.ndarray, np.ndarray, np.ndarray]]
 
-    def windows(self, array: np.ndarray) -> np.ndarray:
+    def windows(self, array: np.ndarray, other: bool = False) -> np.ndarray:
+        """The name of the window at each place, or another one that is independent of it."""
         names, depth = self.first(array)
+        if other:
+            names = name(names, np.ones(1, dtype=np.uint64))
         return deepen(names, depth, self.width)
 
     def inside(self, array: np.ndarray) -> np.ndarray:
@@ -320,8 +323,9 @@ def _contexts(docs: DataFrame, firsts: DataFrame, units: Units) -> DataFrame:
     return texts.mapInArrow(batches, "bucket long, doc_id long, start int, units binary, loose boolean")
 
 
-def _windows_of(bucket, doc_id, start, contexts, units: Units):
-    """Row number, window name and start of every window in these contexts."""
+def _windows_of(bucket, start, contexts, units: Units, named: bool):
+    """Row number, window name, start, and bucket of every window in these contexts; if
+    ``named`` a second name in place of the bucket."""
     lengths = np.array([len(c) for c in contexts], dtype=np.int64) // np.dtype(units.dtype).itemsize
     array = np.frombuffer(b"".join(contexts), dtype=units.dtype)
     begins = np.cumsum(lengths) - lengths
@@ -332,20 +336,22 @@ def _windows_of(bucket, doc_id, start, contexts, units: Units):
     names, ok = units.windows(array), units.inside(array)
     keep = ok[place]
     row, place, step = row[keep], place[keep], step[keep]
-    return row, names[place], start[row].astype(np.int64) + step
+    more = units.windows(array, other=True)[place] if named else bucket[row]
+    return row, names[place], more, start[row].astype(np.int64) + step
 
 
 def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> DataFrame:
-    """(doc_id, start, stop, name): runs of windows that occur earlier, without name;
-    of crowded and hot buckets the other windows, with their names."""
+    """(doc_id, start, stop, name, more): runs of windows that occur earlier, without
+    names; of crowded and hot buckets the other windows, with both their names. Windows
+    are equal if their names agree and their buckets, or their second names."""
 
     def found(bucket, doc_id, start, texts, named: bool = False) -> Iterator[pa.RecordBatch]:
-        row, names, place = _windows_of(bucket, doc_id, start, texts, units)
+        row, names, more, place = _windows_of(bucket, start, texts, units, named)
         if not len(row):
             return
-        order = np.lexsort((place, doc_id[row], names, bucket[row]))
-        row, names, place = row[order], names[order], place[order]
-        group = np.r_[True, (names[1:] != names[:-1]) | (bucket[row][1:] != bucket[row][:-1])]
+        order = np.lexsort((place, doc_id[row], names, more))
+        row, names, more, place = row[order], names[order], more[order], place[order]
+        group = np.r_[True, (names[1:] != names[:-1]) | (more[1:] != more[:-1])]
         lead = np.flatnonzero(group)[np.cumsum(group) - 1]
         docs = doc_id[row]
         again = docs != docs[lead]
@@ -355,7 +361,7 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
             # Windows around several anchors come several times.
             new = group | np.r_[True, (docs[1:] != docs[:-1]) | (place[1:] != place[:-1])]
             rest = ~again & new
-            yield spans(docs[rest], place[rest], place[rest] + units.width, names[rest])
+            yield spans(docs[rest], place[rest], place[rest] + units.width, names[rest], more[rest])
         row, place = row[again], place[again]
         if not len(row):
             return
@@ -364,15 +370,15 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
         begin = np.r_[True, (row[1:] != row[:-1]) | (place[1:] != place[:-1] + 1)]
         head = np.flatnonzero(begin)
         tail = np.r_[head[1:], len(row)] - 1
-        yield spans(doc_id[row[head]], place[head], place[tail] + units.width, None)
+        yield spans(doc_id[row[head]], place[head], place[tail] + units.width)
 
-    def spans(doc_id, start, stop, names) -> pa.RecordBatch:
-        named = pa.nulls(len(doc_id), pa.int64()) if names is None else pa.array(names.view(np.int64))
-        columns = [pa.array(doc_id), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), named]
-        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "stop", "name"])
+    def spans(doc_id, start, stop, *names) -> pa.RecordBatch:
+        named = [pa.array(x.view(np.int64)) for x in names] or [pa.nulls(len(doc_id), pa.int64())] * 2
+        columns = [pa.array(doc_id), pa.array(start.astype(np.int32)), pa.array(stop.astype(np.int32)), *named]
+        return pa.RecordBatch.from_arrays(columns, ["doc_id", "start", "stop", "name", "more"])
 
     def every_window(bucket, doc_id, start, texts) -> Iterator[pa.RecordBatch]:
-        yield from found(np.zeros_like(bucket), doc_id, start, texts, named=True)
+        yield from found(bucket, doc_id, start, texts, named=True)
 
     def batches(parts: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, flood = None, None
@@ -409,16 +415,16 @@ def _compare(contexts: DataFrame, units: Units, within: bool, crowd: int) -> Dat
     return (
         contexts.repartition("bucket")
         .sortWithinPartitions("bucket")
-        .mapInArrow(batches, "doc_id long, start int, stop int, name long")
+        .mapInArrow(batches, "doc_id long, start int, stop int, name long, more long")
     )
 
 
 def _again(windows: DataFrame, within: bool) -> DataFrame:
     """The windows of crowded and hot buckets that occur earlier."""
-    earliest = windows.groupBy("name").agg(F.min(F.struct("doc_id", "start")).alias("least"))
+    earliest = windows.groupBy("name", "more").agg(F.min(F.struct("doc_id", "start")).alias("least"))
     place = F.struct("doc_id", "start") if within else F.col("doc_id")
     lead = F.col("least") if within else F.col("least.doc_id")
-    return windows.join(earliest, "name").where(place > lead).select("doc_id", "start", "stop").distinct()
+    return windows.join(earliest, ["name", "more"]).where(place > lead).select("doc_id", "start", "stop").distinct()
 
 
 def _keyed(docs: DataFrame) -> DataFrame:

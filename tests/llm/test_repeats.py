@@ -3,10 +3,11 @@
 import random
 from hashlib import sha256
 
+import numpy as np
 import pytest
 
-from ridestrata.llm.recompression import recompression_dedup
-from ridestrata.llm.suffix_dedup import suffix_dedup, with_kept_text
+from ridestrata.llm.recompression import recompression_dedup, word_units
+from ridestrata.llm.suffix_dedup import byte_units, suffix_dedup, with_kept_text
 from tests.llm.brute import substring_rows, window_rows
 
 SCHEMA = "doc_id long, text string"
@@ -132,3 +133,15 @@ def test_buckets_over_many_batches(spark, hot):
         assert digests(recompression_dedup(frame, 8, 4, hot).collect()) == window_rows(docs, 8)
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+@pytest.mark.parametrize("units", [byte_units(30), word_units(8)])
+def test_second_names_tell_windows_apart(units):
+    """Equal windows have both names alike, and neither name is a function of the other's."""
+    rng = np.random.default_rng(3)
+    array = np.tile(rng.integers(1, 200, 400).astype(units.dtype), 2)
+    first, second = units.windows(array), units.windows(array, other=True)
+    inside = np.arange(400 - units.width)
+    assert (first[inside] == first[inside + 400]).all() and (second[inside] == second[inside + 400]).all()
+    assert len(np.unique(second[inside])) == len(inside)
+    assert not (first[inside] == second[inside]).any()

@@ -8,6 +8,7 @@ from hashlib import sha256
 import numpy as np
 import public_tokenizers
 import pytest
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from ridestrata.llm import language, quality, toxicity
@@ -239,6 +240,33 @@ def test_sample_takes_every_label(spark):
     assert [r["lang"] for r in bounded_sample(frame, "lang", 2, 100)] == [lang for *_, lang in rows]
 
 
+def test_sample_takes_the_first_by_hash(spark):
+    rows = [(i, f"text {i}", "often" if i % 50 else "seldom") for i in range(2000)]
+    rows += [(7, "text 7", "often")] * 30 + [(5000, "x" * 101, "seldom"), (5001, "none", None), (5002, None, "seldom")]
+    frame = spark.createDataFrame(rows, "doc_id long, text string, lang string").withColumn("also", F.lit(1))
+    hashed = frame.where("lang is not null and length(text) <= 100").withColumn("h", F.xxhash64("doc_id", "text", F.lit(11)))
+    for most in (10, 60, 5000):
+        found = bounded_sample(frame, "lang", most, 100)
+        for lang in ("often", "seldom"):
+            plain = sorted((r["h"], r["doc_id"]) for r in hashed.where(F.col("lang") == lang).collect())[:most]
+            assert [r["doc_id"] for r in found if r["lang"] == lang] == [doc_id for _, doc_id in plain]
+        assert set(found[0]) == set(frame.columns)
+    with pytest.raises(ValueError, match="values of lang"):
+        bounded_sample(frame, "lang", 10, 100, most_labels=1)
+    with pytest.raises(ValueError, match="characters"):
+        bounded_sample(frame, "lang", 10, 100, most_chars=50)
+
+
+def test_sample_scans_twice(spark, monkeypatch):
+    """However many labels have more rows than are wanted."""
+    frame = spark.createDataFrame([(i, f"text {i}", f"l{i % 9}") for i in range(900)], "doc_id long, text string, lang string")
+    calls = []
+    collect = type(frame).collect
+    monkeypatch.setattr(type(frame), "collect", lambda self: calls.append(1) or collect(self))
+    assert len(bounded_sample(frame, "lang", 20, 100)) == 180
+    assert len(calls) == 2
+
+
 def test_quality_and_toxicity_rows(spark):
     good, bad = "fine words here and there ", "you idiot you stupid MORON!! "
     labels = np.array([0.0, 1.0] * 40)
