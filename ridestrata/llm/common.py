@@ -5,6 +5,8 @@ from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from ridestrata.operators.stored import lookup_join, store
+
 #: White space of the word rule: every byte or character outside it belongs to a word.
 SPACES = " \t\n\x0b\x0c\r"
 
@@ -25,19 +27,27 @@ def bounded_sample(
     label: str,
     per_label: int,
     max_chars: int,
+    labels: DataFrame | None = None,
     most_labels: int = 100_000,
     most_chars: int = 400_000_000,
 ) -> list[dict]:
     """At most ``per_label`` rows of each label, texts of up to ``max_chars`` characters,
     on the driver, by label. Rows are picked by a hash of id and text, so the same table
-    always gives the same sample; the bounds are the caller's.
-
-    Two scans, however many labels there are: one counts, one takes the rows of all labels
-    below the hash that leaves a tenth and four deviations more of each than is wanted, of
-    which Spark keeps the first. More labels than ``most_labels``, or a sample of more characters than
-    ``most_chars``, is an error."""
-    eligible = rows.where(F.col(label).isNotNull() & (F.length("text") <= max_chars))
-    sizes = eligible.groupBy(label).agg(F.count("*").alias("n"), F.sum(F.length("text")).alias("chars"))
+    always gives the same sample; the bounds are the caller's. ``labels`` has (doc_id,
+    label) if ``rows`` have no label; a row with several is sampled for each.
+
+    Texts are read twice, however many labels there are, and do not move: once for their
+    hashes, which meet the labels and are stored, and once for those that are picked. Of
+    each label somewhat more hashes than are wanted lie below its bound, a tenth and four
+    deviations; Spark keeps the first. More labels than ``most_labels``, or a sample of more
+    characters than ``most_chars``, is an error."""
+    order = F.xxhash64("doc_id", "text", F.lit(11)).alias("_rs_order")
+    eligible = rows.where(F.length("text") <= max_chars).select("*", order)
+    hashes = eligible.select("doc_id", *([label] if labels is None else []), "_rs_order", F.length("text").alias("_rs_chars"))
+    if labels is not None:
+        hashes = hashes.join(labels.select("doc_id", label), "doc_id")
+    hashes = store(hashes.where(F.col(label).isNotNull()).select(label, "_rs_order", "_rs_chars"), "sample-hashes")
+    sizes = hashes.groupBy(label).agg(F.count("*").alias("n"), F.sum("_rs_chars").alias("chars"))
     counts = sizes.limit(most_labels + 1).collect()
     if len(counts) > most_labels:
         raise ValueError(f"more than {most_labels} values of {label}; name a bound that the driver can hold")
@@ -49,18 +59,20 @@ def bounded_sample(
     bounds, wanted = [], per_label * 1.1 + 4 * per_label**0.5
     for found in counts:
         share = min(1.0, wanted / found["n"])
-        bound = min(int((share * 2 - 1) * 2.0**63), 2**63 - 1)
-        bounds.append((found[label], 2**63 - 1 if found["n"] <= per_label else bound))
-    spark, kind = rows.sparkSession, rows.schema[label].dataType
-    schema = T.StructType([T.StructField(label, kind), T.StructField("_rs_bound", T.LongType())])
-    limits = F.broadcast(spark.createDataFrame(bounds, schema))
-    order = F.xxhash64("doc_id", "text", F.lit(11))
-    near = eligible.withColumn("_rs_order", order).where(F.col("_rs_order") <= max(bound for _, bound in bounds))
-    near = near.join(limits, label).where("_rs_order <= _rs_bound")
-    place = F.row_number().over(Window.partitionBy(label).orderBy("_rs_order"))
-    first = near.withColumn("_rs_place", place).where(F.col("_rs_place") <= per_label)
-    taken = sorted(first.collect(), key=lambda row: (row[label], row["_rs_order"]))
-    return [{name: row[name] for name in rows.columns} for row in taken]
+        bounds.append((found[label], min(int((share * 2 - 1) * 2.0**63), 2**63 - 1)))
+    schema = T.StructType([hashes.schema[label], T.StructField("_rs_bound", T.LongType())])
+    limits = F.broadcast(rows.sparkSession.createDataFrame(bounds, schema))
+    place = F.row_number().over(Window.partitionBy(label).orderBy("_rs_order")).alias("_rs_place")
+
+    def first(near: DataFrame) -> DataFrame:
+        return near.select("*", place).where(F.col("_rs_place") <= per_label).drop("_rs_place")
+
+    near = hashes.join(limits, label).where("_rs_order <= _rs_bound").select(label, "_rs_order")
+    picked = store(first(near).distinct(), "sampled")
+    key = ["_rs_order"] if labels is not None else ["_rs_order", label]
+    taken = first(lookup_join(eligible, picked, key, "inner")).collect()
+    taken.sort(key=lambda row: (row[label], row["_rs_order"]))
+    return [{name: row[name] for name in (*rows.columns, *([label] if labels is not None else []))} for row in taken]
 
 
 def segment_sums(values: np.ndarray, lengths: list[int]) -> np.ndarray:

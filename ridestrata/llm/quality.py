@@ -187,14 +187,20 @@ def train(rows: np.ndarray, labels: np.ndarray, settings: Settings = Settings())
     return AdditiveModel(edges, tables, pair_edges, pairs, pair_tables, start)
 
 
-def learn_quality(labelled: DataFrame, settings: Settings = Settings()) -> AdditiveModel:
-    """A model from (doc_id, text, quality) rows: at most ``per_label`` texts of up to
+def learn_quality(
+    docs: DataFrame, labels: DataFrame | None = None, settings: Settings = Settings()
+) -> AdditiveModel:
+    """A model from (doc_id, text, quality) rows, or from (doc_id, text) rows and
+    ``labels`` (doc_id, quality): at most ``per_label`` texts of up to
     ``max_chars`` characters for each label go to the driver. Rows without text or
     label teach nothing."""
-    rows = labelled.where("text IS NOT NULL AND quality IN (0, 1)").select("doc_id", "text", "quality")
-    sample = bounded_sample(rows, "quality", settings.per_label, settings.max_chars)
-    labels = np.array([row["quality"] for row in sample], dtype=float)
-    return train(features([row["text"] for row in sample]), labels, settings)
+    known = "quality IN (0, 1)"
+    rows = docs.where("text IS NOT NULL")
+    rows = rows.where(known).select("doc_id", "text", "quality") if labels is None else rows.select("doc_id", "text")
+    labels = None if labels is None else labels.where(known)
+    sample = bounded_sample(rows, "quality", settings.per_label, settings.max_chars, labels)
+    marks = np.array([row["quality"] for row in sample], dtype=float)
+    return train(features([row["text"] for row in sample]), marks, settings)
 
 
 def scored(docs: DataFrame, model: AdditiveModel) -> DataFrame:

@@ -125,10 +125,9 @@ def op1_language(spark, sf_dir):
 
 
 def labelled(spark, sf_dir, label):
-    """(doc_id, text, label) of the labelled rows outside the held-out fold."""
+    """(doc_id, text) and the labels (doc_id, label) outside the held-out fold."""
     labels = table(spark, sf_dir, "labels").select("doc_id", label).where(~in_fold("doc_id", 4, 2))
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return docs.join(labels, "doc_id")
+    return table(spark, sf_dir, "documents").select("doc_id", "text"), labels
 
 
 def _with_fold(scores, threshold):
@@ -138,13 +137,13 @@ def _with_fold(scores, threshold):
 
 @query
 def op2_quality(spark, sf_dir):
-    model = learn_quality(labelled(spark, sf_dir, "quality"))
+    model = learn_quality(*labelled(spark, sf_dir, "quality"))
     return _with_fold(scored(table(spark, sf_dir, "documents"), model), 0.7)
 
 
 @query
 def op6_toxicity(spark, sf_dir):
-    model = learn_toxicity(labelled(spark, sf_dir, "toxic"))
+    model = learn_toxicity(*labelled(spark, sf_dir, "toxic"))
     return _with_fold(toxicity(table(spark, sf_dir, "documents"), model), 0.3)
 
 

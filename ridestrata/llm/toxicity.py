@@ -305,12 +305,18 @@ def train(texts: list[str], labels: np.ndarray, settings: Settings = Settings())
     return ToxicityModel(finder, boost(features(texts, finder), labels, settings), starts, values)
 
 
-def learn_toxicity(labelled: DataFrame, settings: Settings = Settings()) -> ToxicityModel:
-    """A model from (doc_id, text, toxic) rows: at most ``per_label`` texts of up to
+def learn_toxicity(
+    docs: DataFrame, labels: DataFrame | None = None, settings: Settings = Settings()
+) -> ToxicityModel:
+    """A model from (doc_id, text, toxic) rows, or from (doc_id, text) rows and
+    ``labels`` (doc_id, toxic): at most ``per_label`` texts of up to
     ``max_chars`` characters for each label go to the driver. Rows without text or
     label teach nothing."""
-    rows = labelled.where("text IS NOT NULL AND toxic IN (0, 1)").select("doc_id", "text", "toxic")
-    sample = bounded_sample(rows, "toxic", settings.per_label, settings.max_chars)
+    known = "toxic IN (0, 1)"
+    rows = docs.where("text IS NOT NULL")
+    rows = rows.where(known).select("doc_id", "text", "toxic") if labels is None else rows.select("doc_id", "text")
+    labels = None if labels is None else labels.where(known)
+    sample = bounded_sample(rows, "toxic", settings.per_label, settings.max_chars, labels)
     return train([row["text"] for row in sample], np.array([float(row["toxic"]) for row in sample]), settings)
 
 

@@ -257,14 +257,24 @@ def test_sample_takes_the_first_by_hash(spark):
         bounded_sample(frame, "lang", 10, 100, most_chars=50)
 
 
-def test_sample_scans_twice(spark, monkeypatch):
-    """However many labels have more rows than are wanted."""
-    frame = spark.createDataFrame([(i, f"text {i}", f"l{i % 9}") for i in range(900)], "doc_id long, text string, lang string")
+def test_sample_with_labels_of_another_table(spark):
+    rows = [(i, f"text {i}") for i in range(900)] + [(None, "no id"), (3, None), (7, "text 7")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").withColumn("also", F.lit(1))
+    labels = spark.createDataFrame([(i, i % 3) for i in range(0, 900, 2)] + [(None, 1), (5000, 1), (4, None)], "doc_id long, toxic int")
+    for most in (10, 70, 500):
+        joined = bounded_sample(docs.join(labels, "doc_id"), "toxic", most, 100)
+        assert bounded_sample(docs, "toxic", most, 100, labels) == [{n: r[n] for n in ("doc_id", "text", "also", "toxic")} for r in joined]
+    assert bounded_sample(docs, "toxic", 10, 100, labels.where("false")) == []
+
+
+def test_sample_takes_no_more_jobs_for_more_labels(spark, monkeypatch):
     calls = []
-    collect = type(frame).collect
-    monkeypatch.setattr(type(frame), "collect", lambda self: calls.append(1) or collect(self))
-    assert len(bounded_sample(frame, "lang", 20, 100)) == 180
-    assert len(calls) == 2
+    collect = type(spark.range(1)).collect
+    monkeypatch.setattr(type(spark.range(1)), "collect", lambda self: calls.append(1) or collect(self))
+    for labels in (2, 9):
+        frame = spark.createDataFrame([(i, f"text {i}", f"l{i % labels}") for i in range(900)], "doc_id long, text string, lang string")
+        assert len(bounded_sample(frame, "lang", 20, 100)) == 20 * labels
+    assert calls[: len(calls) // 2] == calls[len(calls) // 2 :]
 
 
 def test_quality_and_toxicity_rows(spark):
