@@ -487,6 +487,7 @@ ORACLE = {
     "q_month_run": sql("silver", "SELECT * FROM silver"),
     "q_months_one_by_one": sql("silver", "SELECT * FROM silver"),
     "q_quarantine_by_month": sql("bad", "SELECT * FROM bad"),
+    "q_streamed_quarantine": sql("bad", "SELECT * FROM bad"),
     "q_calendar_sink": sql("date_dim", "SELECT * FROM date_dim"),
     "q_tested_run": sql("silver_strict", "SELECT * FROM silver_strict").replace(PARTS["trips"][1], ONCE, 1),
     "q_failing_tests": sql("silver dim bad trips", f"SELECT test FROM ({DATA_TESTS}) WHERE failures > 0"),

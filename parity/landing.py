@@ -71,12 +71,17 @@ def landed_csv(trips: DataFrame) -> str:
     return path
 
 
+def write_month(trips: DataFrame, root: str, month: tuple[int, int]) -> None:
+    """Write trips into the CSV folder of a month."""
+    _write_csv(trips, month_folder(root, *month))
+
+
 def landed_months(trips: DataFrame, months: dict[tuple[int, int], str]) -> str:
     """Write the trips of each condition into the CSV folder of its month; returns
     the folder of all months."""
     root = scratch_path(trips.sparkSession, "landed")
-    for (year, month), rows in months.items():
-        _write_csv(trips.where(rows), month_folder(root, year, month))
+    for month, rows in months.items():
+        write_month(trips.where(rows), root, month)
     return root
 
 

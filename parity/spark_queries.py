@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from parity.landing import landed_csv, landed_malformed, landed_months, landed_zips, zipped
+from parity.landing import landed_csv, landed_malformed, landed_months, landed_zips, write_month, zipped
 from parity.trips_fx import holiday_seed, trips_fx
 from ridestrata.functions.scalars import COUNTRY_LABELS, labelled
 from ridestrata.functions.timezones import (
@@ -83,6 +83,7 @@ from ridestrata.sources.warehouse import (
     run_sql_file,
 )
 from ridestrata.sources.weather_files import read_weather
+from ridestrata.streaming.quarantine import load_new_files
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -803,6 +804,18 @@ def q_quarantine_by_month(spark, sf_dir):
     return store(built_by_month(spark, sf_dir).quarantine.drop(*MONTH), "quarantine")
 
 
+@query
+def q_streamed_quarantine(spark, sf_dir):
+    """The months land one after the other, the last one first, and are streamed as they come."""
+    trips = trips_fx(spark, sf_dir)
+    folder = scratch_path(spark, "streamed")
+    root = scratch_path(spark, "landed")
+    for month in reversed(FEEDS):
+        write_month(trips.where(FEEDS[month]), root, month)
+        flagged = load_new_files(spark, root, folder)
+    return store(bad_rows(flagged).drop(*MONTH), "quarantine")
+
+
 @query
 def q_stored_cube(spark, sf_dir):
     """KPIs from the stored cube of the month run."""

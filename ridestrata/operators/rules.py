@@ -93,13 +93,9 @@ def trip_rules(longest: timedelta = LONGEST_RIDE, basis: str = "wall") -> list[R
     ]
 
 
-def names_by_role(
-    df: DataFrame, drift: list[Drift], across_roles: bool = False, by: tuple[str, ...] = ()
-) -> DataFrame:
-    """Distinct (role, id, name) of all identifiers, and the columns ``by``. All roles are
-    read in one scan. Equal rows collapse before the shuffle, so a hot station costs one
-    row per task. With ``across_roles`` all roles are one."""
-    roles = F.array(
+def roles_of(drift: list[Drift], across_roles: bool = False) -> Column:
+    """(role, id, name) of a row's identifiers, as an array."""
+    return F.array(
         *[
             F.struct(
                 F.lit("any" if across_roles else d.name).alias("role"),
@@ -109,6 +105,15 @@ def names_by_role(
             for d in drift
         ]
     )
+
+
+def names_by_role(
+    df: DataFrame, drift: list[Drift], across_roles: bool = False, by: tuple[str, ...] = ()
+) -> DataFrame:
+    """Distinct (role, id, name) of all identifiers, and the columns ``by``. All roles are
+    read in one scan. Equal rows collapse before the shuffle, so a hot station costs one
+    row per task. With ``across_roles`` all roles are one."""
+    roles = roles_of(drift, across_roles)
     return df.select(*by, F.inline(roles)).where("id is not null and name is not null").distinct()
 
 
