@@ -1,17 +1,17 @@
 """Quality rules and a log-likelihood ratio of hashed n-grams, in DataFrame operations.
 
-The n-grams of a text are its words and the last three characters of each, hashed into
-``buckets`` places. Two multinomials over the places, one of trusted texts and one of the
-whole corpus, give each place the logarithm of its ratio; a text's score is the mean over
-its n-grams, so length does not count. Texts that break no base rule are kept if the
-score reaches the threshold."""
+The n-grams of a text are its words and its pairs of neighbouring words, the last word with
+the end of the text, hashed into ``buckets`` places. Two multinomials over the places, one
+of trusted texts and one of the whole corpus, give each place the logarithm of its ratio; a
+text's score is the mean over its n-grams, so length does not count. Texts that break no
+base rule are kept if the score reaches the threshold."""
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ridestrata.operators.stored import store
 
-BUCKETS = 1 << 14
+BUCKETS = 1 << 18
 THRESHOLD = -0.25
 _SPACE = r"[\x20\x09-\x0D]+"
 _EDGES = " \t\n\x0b\x0c\r"
@@ -28,8 +28,9 @@ def _let(value: Column, body) -> Column:
     return F.transform(F.array(value), body)[0]
 
 
-def _repeat_words(words: Column, width: int) -> Column:
-    """Words in windows of ``width`` words that the text holds twice or more."""
+def _repeat_words(words: Column, hashes: Column, width: int) -> Column:
+    """Words in windows of ``width`` words that the text holds twice or more; ``hashes`` has
+    one number per word."""
     places = F.sequence(F.lit(1), F.size(words) - (width - 1))
 
     def covered(starts: Column) -> Column:
@@ -47,37 +48,40 @@ def _repeat_words(words: Column, width: int) -> Column:
     starts = F.array_sort(F.transform(_let(F.array_sort(windows), doubled), lambda w: w["at"]))
     exact = _let(starts, covered)
     # Equal windows have equal hashes, so only texts with an equal pair are looked at closely.
-    hashed = lambda h: F.transform(places, lambda i: F.xxhash64(*[F.get(h, i + k - 1) for k in range(width)]))
-    named = _let(F.transform(words, lambda word: F.xxhash64(word)), hashed)
+    named = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k - 1) for k in range(width)]))
     suspect = _let(named, lambda found: F.size(F.array_distinct(found)) < F.size(found))
     return F.when(F.size(words) <= width, F.lit(0).cast("long")).when(suspect, exact).otherwise(F.lit(0).cast("long"))
 
 
-def with_base_rules(docs: DataFrame, words: str = "_rs_words") -> DataFrame:
-    """``docs`` (doc_id, text) with the counts of the base rules and the words."""
+def _hashes(words: Column) -> Column:
+    return F.transform(words, lambda word: F.xxhash64(word))
+
+
+def with_base_rules(docs: DataFrame, hashes: str = "_rs_hashes") -> DataFrame:
+    """``docs`` (doc_id, text) with the counts of the base rules and a hash of each word."""
     text = F.coalesce(F.col("text"), F.lit(""))
-    split = docs.select("doc_id", text.alias("_rs_text"), words_of(F.col("text")).alias(words))
+    words = F.col("_rs_words")
+    split = docs.select("doc_id", text.alias("_rs_text"), words_of(F.col("text")).alias("_rs_words"))
+    split = split.withColumn(hashes, _hashes(words))
     lines = F.filter(F.split("_rs_text", "\n"), lambda line: line.rlike(r"[^\x20\x09-\x0D]"))
     counted = split.select(
         "doc_id",
-        words,
+        hashes,
         F.size(words).cast("long").alias("n_words"),
         F.length(F.array_join(words, "")).cast("long").alias("word_chars"),
         F.regexp_count("_rs_text", F.lit("[#*$%&|<>]")).cast("long").alias("n_symbols"),
         _let(lines, lambda found: F.size(found) - F.size(F.array_distinct(found))).cast("long").alias("n_dup_lines"),
-        _repeat_words(F.col(words), 5).alias("n_repeat_words"),
+        _repeat_words(words, F.col(hashes), 5).alias("n_repeat_words"),
     )
     failed = (F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))
     return counted.withColumn("base_failed", failed)
 
 
-def _places(words: Column, buckets: int) -> Column:
-    """The places of a text's n-grams: its words, then their endings."""
-    whole = F.transform(words, lambda word: F.pmod(F.xxhash64(word), F.lit(buckets)).cast("int"))
-    ends = F.transform(
-        words, lambda word: F.pmod(F.xxhash64(F.substring(word, -3, 3), F.lit(3)), F.lit(buckets)).cast("int")
-    )
-    return F.concat(whole, ends)
+def _places(hashes: Column, buckets: int) -> Column:
+    """The places of a text's n-grams, from the hashes of its words: the words, then the pairs."""
+    place = lambda *parts: F.pmod(F.xxhash64(*parts), F.lit(buckets)).cast("int")
+    pairs = F.transform(hashes, lambda word, i: place(word, F.get(hashes, i + 1)))
+    return F.concat(F.transform(hashes, lambda word: place(word)), pairs)
 
 
 def ratios(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
@@ -85,7 +89,8 @@ def ratios(docs: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     the ``trusted`` texts of ``docs`` (text, trusted) and all of them, from all n-grams,
     each count raised by one half. Both are counted in one pass and summed before the
     shuffle; the table has one row per place whatever the data."""
-    places = docs.select("trusted", F.explode(_places(words_of(F.col("text")), buckets)).alias("place"))
+    hashed = docs.select("trusted", _hashes(words_of(F.col("text"))).alias("_rs_hashes"))
+    places = hashed.select("trusted", F.explode(_places(F.col("_rs_hashes"), buckets)).alias("place"))
     counts = places.groupBy("place").agg(F.count_if("trusted").alias("t"), F.count("*").alias("c"))
     every = docs.sparkSession.range(buckets).select(F.col("id").cast("int").alias("place"))
     both = store(every.join(counts, "place", "left").na.fill(0), "places")
@@ -101,9 +106,9 @@ def ruled(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS)
     trusted).
 
     ``trusted`` marks the target texts; null is false. A null text has no words and fails the base
-    rules, with score 0. Repeated rows come back repeated, an empty table gives no rows;
-    without trusted texts every ratio is that of an even multinomial. Other columns are not
-    read."""
+    rules, with score 0. A score equal to the threshold is kept. Repeated rows come back
+    repeated, an empty table gives no rows; without trusted texts every ratio is that of an
+    even multinomial. Other columns are not read."""
     table = store(ratios(docs, buckets), "ratios")
     # The table has ``buckets`` rows, so as one array it has a bound of its own.
     listed = table.agg(F.sort_array(F.collect_list(F.struct("place", "ratio"))).alias("rows"))
@@ -111,11 +116,11 @@ def ruled(docs: DataFrame, threshold: float = THRESHOLD, buckets: int = BUCKETS)
     marked = with_base_rules(docs.select("doc_id", F.col("text").cast("string").alias("text")))
     weighted = marked.withColumn("_rs_weights", weights)
     total = F.aggregate(
-        _places(F.col("_rs_words"), buckets),
+        _places(F.col("_rs_hashes"), buckets),
         F.lit(0.0),
         lambda acc, place: acc + F.get(F.col("_rs_weights"), place),
     )
     score = F.when(F.col("n_words") > 0, total / (2 * F.col("n_words"))).otherwise(F.lit(0.0))
     scored = weighted.withColumn("score", score)
     kept = ~F.col("base_failed") & (F.col("score") >= threshold)
-    return scored.withColumn("kept", kept).drop("_rs_words", "_rs_weights")
+    return scored.withColumn("kept", kept).drop("_rs_hashes", "_rs_weights")

@@ -1,13 +1,16 @@
 """BPE, URL rules, quality rules, decontamination and the models."""
 
+import math
 import random
 import re
 import time
+from collections import Counter
 from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
 import pytest
+import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
@@ -128,6 +131,56 @@ def test_score_is_the_mean_ratio(spark):
     assert found[99] < -0.25 < min(score for i, score in found.items() if i != 99)
 
 
+def plain_scores(rows, buckets):
+    """Scores by plain counting: XXH64 of words and, chained, of pairs and the text's end."""
+
+    def chained(*numbers):
+        seed = 42
+        for number in numbers:
+            seed = xxhash.xxh64_intdigest(number.to_bytes(8, "little"), seed)
+        return (seed - (seed >> 63 << 64)) % buckets
+
+    def places(text):
+        named = [xxhash.xxh64_intdigest(word.encode(), 42) for word in re.findall(r"[^\x20\x09-\x0D]+", text or "")]
+        return [chained(h) for h in named] + [chained(*named[i : i + 2]) for i in range(len(named))]
+
+    trusted, every = Counter(), Counter()
+    for _, text, good in rows:
+        every.update(places(text))
+        trusted.update(places(text) if good else [])
+    share = lambda counts, place: (counts[place] + 0.5) / (counts.total() + 0.5 * buckets)
+    ratio = lambda place: math.log(share(trusted, place) / share(every, place))
+    return [(i, sum(map(ratio, places(text))) / max(len(places(text)), 1)) for i, text, _ in rows]
+
+
+@pytest.mark.parametrize("buckets", [64, 1 << 18])
+def test_scores_equal_a_plain_count(spark, buckets):
+    rng = random.Random(9)
+    texts = [" ".join(rng.choices(["a", "bé", "#c", "d|", "\n", "e\te", "fine", "words"], k=rng.randrange(40))) for _ in range(50)]
+    texts += [None, "", "one", "tie tie", "tie tie", "very long " * 5000]
+    rows = [(i, text, [True, False, None][i % 3]) for i, text in enumerate(texts)]
+    found = ruled(spark.createDataFrame(rows, f"{DOCS}, trusted boolean"), buckets=buckets).collect()
+    assert sorted((r["doc_id"], r["score"]) for r in found) == [(i, pytest.approx(s, abs=1e-9)) for i, s in plain_scores(rows, buckets)]
+
+
+def test_order_of_words_counts(spark):
+    """Shuffled words of a trusted text score below it, and a score at the threshold is kept."""
+    rng = random.Random(2)
+    good = [f"the {a} of {b} is {c} for {a}" for a in "xyz" for b in "uvw" for c in "rst"]
+    shuffled = [" ".join(rng.sample(text.split() * 2, 16)) for text in good]
+    rows = [(i, text + " " + text, True) for i, text in enumerate(good)]
+    rows += [(100 + i, text, False) for i, text in enumerate(shuffled)]
+    frame = spark.createDataFrame(rows, f"{DOCS}, trusted boolean")
+    rows = ruled(frame).collect()
+    found = {r["doc_id"]: r["score"] for r in rows}
+    assert max(found[i] for i in found if i >= 100) < min(found[i] for i in found if i < 100)
+    scores = sorted(r["score"] for r in rows if not r["base_failed"])
+    tie = scores[len(scores) // 2]
+    at = {r["doc_id"]: r for r in ruled(frame, threshold=tie).collect()}
+    assert all(r["kept"] == (not r["base_failed"] and r["score"] >= tie) for r in at.values())
+    assert any(r["score"] == tie and r["kept"] for r in at.values() if not r["base_failed"])
+
+
 def test_tiles_do_not_overlap_and_find_reordered_parts():
     rng = random.Random(5)
     for _ in range(200):
