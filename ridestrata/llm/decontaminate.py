@@ -23,7 +23,8 @@ from ridestrata.operators.stored import lookup_join, store
 
 MATCH = 5
 COVERAGE = 0.6
-FILTER_BITS = 25  #: the bitmap of seeds has two to this many bits, whatever the data
+BITS_PER_SEED = 32
+MOST_BITS = 28  #: the bitmap of seeds has two to this many bits at most, 32 MB
 WORDS = re.compile(r"\w+")
 _MODULUS, _BASE = (1 << 61) - 1, 1_000_003
 
@@ -76,27 +77,31 @@ def _seeds(items: DataFrame, match: int) -> DataFrame:
     return items.mapInArrow(batches, "seed long, item_id long, n int, places int")
 
 
-def _bitmap(seeds: DataFrame) -> np.ndarray:
-    """Bits of the seeds: at most 2**(FILTER_BITS - 6) words reach the driver."""
-    bit = F.shiftrightunsigned("seed", 64 - FILTER_BITS)
-    one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - FILTER_BITS}) & 63 as int))")
-    rows = seeds.groupBy(F.shiftrightunsigned(bit, 6).alias("place")).agg(F.bit_or(one).alias("bits"))
-    bits = np.zeros(1 << (FILTER_BITS - 6), dtype=np.uint64)
-    for row in rows.collect():
-        bits[row["place"]] = np.uint64(row["bits"] & 0xFFFFFFFFFFFFFFFF)
-    return bits
+def _bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
+    """Bits of the seeds, and how many leading bits of a name say which. There are
+    ``BITS_PER_SEED`` places or more for each seed, so one run in 32 or fewer is known by
+    chance, until there are 2**MOST_BITS: beyond eight million seeds more runs are, which
+    the join of seeds drops. 2**(MOST_BITS - 6) rows at most reach the driver, as Arrow."""
+    wanted = max(seeds.select("seed").distinct().count(), 1) * BITS_PER_SEED
+    width = min(max((wanted - 1).bit_length(), 6), MOST_BITS)
+    bit = F.shiftrightunsigned("seed", 64 - width)
+    one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - width}) & 63 as int))")
+    rows = seeds.groupBy(F.shiftrightunsigned(bit, 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
+    bits = np.zeros(1 << (width - 6), dtype=np.uint64)
+    bits[rows["place"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
+    return bits, width
 
 
 def _suspects(docs: DataFrame, seeds: DataFrame, match: int) -> DataFrame:
     """(doc_id, text, seeds) of the texts with a run that the bitmap knows."""
-    bits = _bitmap(seeds)
+    bits, width = _bitmap(seeds)
     lengths = sorted({match} | {row["n"] for row in seeds.where(F.col("n") < match).select("n").distinct().collect()})
 
     def hits(texts: list[list[str]]) -> Iterator[tuple[int, np.ndarray]]:
         found, owner = [], []
         for size in lengths:
             names, text = _runs(texts, size)
-            bit = names >> np.uint64(64 - FILTER_BITS)
+            bit = names >> np.uint64(64 - width)
             known = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
             found.append(names[known])
             owner.append(text[known])
@@ -234,9 +239,11 @@ def leaks(docs: DataFrame, items: DataFrame, match: int = MATCH, coverage: float
     seeds = store(_seeds(known, match), "seeds")
     texts = docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string").alias("text"))
     suspects = store(_suspects(texts, seeds, match).withColumn("key", F.xxhash64("text")), "suspects")
-    met = suspects.select("doc_id", "key", F.explode("seeds").alias("seed")).join(seeds, "seed")
+    once = suspects.select("doc_id", "key", "seeds").dropDuplicates(["doc_id", "key"])
+    # A few seeds, as a common prompt, may stand in most texts: no seed is gathered in one task.
+    met = lookup_join(once.select("doc_id", "key", F.explode("seeds").alias("seed")), seeds, ["seed"], "inner")
     # Each place of a shared seed covers ``match`` words at most, so fewer cannot be enough.
-    pairs = met.distinct().groupBy("doc_id", "key", "item_id", "n").agg(F.sum("places").alias("shared"))
+    pairs = met.groupBy("doc_id", "key", "item_id", "n").agg(F.sum("places").alias("shared"))
     pairs = store(pairs.where(F.col("shared") * match >= F.col("n") * coverage), "pairs")
     bodies = suspects.select(F.col("doc_id").alias("d"), F.col("key").alias("k"), "text").dropDuplicates(["d", "k"])
     same = F.col("doc_id").eqNullSafe(F.col("d")) & (F.col("key") == F.col("k"))

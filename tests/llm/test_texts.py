@@ -5,16 +5,18 @@ import random
 import re
 import time
 from collections import Counter
+from functools import partial
 from hashlib import sha256
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ridestrata.llm import language, quality, toxicity
+from ridestrata.llm import decontaminate, language, quality, toxicity
 from ridestrata.llm.bpe import coded, load_bpe, token_ids
 from ridestrata.llm.common import bounded_sample
 from ridestrata.llm.decontaminate import covered, leaks, tiles, tokens, without_leaks
@@ -214,7 +216,11 @@ def test_repetitive_texts_are_tiled_in_bounded_time():
     assert time.process_time() - began < 3
 
 
-def test_leaks_like_the_plain_search(spark):
+@pytest.mark.parametrize("most_bits, limit", [(28, 1 << 26), (6, 0)])
+def test_leaks_like_the_plain_search(spark, monkeypatch, most_bits, limit):
+    """Also with seeds too many for a broadcast, which are spread, and for the bitmap."""
+    monkeypatch.setattr(decontaminate, "MOST_BITS", most_bits)
+    monkeypatch.setattr(decontaminate, "lookup_join", partial(decontaminate.lookup_join, limit_bytes=limit))
     rng = random.Random(12)
     items = [(i, " ".join(rng.choices("abcdef", k=rng.randrange(1, 30)))) for i in range(25)]
     items += [(100, "la " * 12), (101, "One two three four five six"), (102, "one two")]
@@ -228,6 +234,18 @@ def test_leaks_like_the_plain_search(spark):
     assert rows == plain_leaks(docs, items, 5, 0.6, tokens) and len(found) == len(rows)
 
 
+def test_bitmap_grows_with_the_seeds_and_knows_all(spark):
+    rng = np.random.default_rng(3)
+    for n in (0, 1, 700, 40_000):
+        names = rng.integers(0, 1 << 64, n, dtype=np.uint64)
+        seeds = spark.createDataFrame(pa.table({"seed": pa.array(names.view(np.int64))}))
+        bits, width = decontaminate._bitmap(seeds)
+        bit = names >> np.uint64(64 - width)
+        assert len(bits) == 1 << (width - 6) and 32 * n <= 1 << width <= max(64, 64 * n)
+        assert np.all(bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) == 1)
+        assert sum(int(word).bit_count() for word in bits) == len(set(bit.tolist()))
+
+
 def test_leaks(spark):
     item = " ".join(f"Word{i}" for i in range(24))
     half, other = item.split()[:12], [f"z{i}" for i in range(50)]
