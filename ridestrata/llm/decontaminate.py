@@ -23,8 +23,8 @@ from ridestrata.operators.stored import lookup_join, store
 
 MATCH = 5
 COVERAGE = 0.6
-BITS_PER_SEED = 32
-MOST_BITS = 28  #: the bitmap of seeds has two to this many bits at most, 32 MB
+BITS_PER_SEED = 256
+LEAST_BITS, MOST_BITS = 25, 28  #: the bitmap of seeds has two to these many bits, 4 to 32 MB
 WORDS = re.compile(r"\w+")
 _MODULUS, _BASE = (1 << 61) - 1, 1_000_003
 
@@ -77,16 +77,30 @@ def _seeds(items: DataFrame, match: int) -> DataFrame:
     return items.mapInArrow(batches, "seed long, item_id long, n int, places int")
 
 
+def _probes(names: np.ndarray, width: int) -> list[np.ndarray]:
+    """The places of names in a bitmap of 2**width bits: their first and their last bits."""
+    return [names >> np.uint64(64 - width), names & np.uint64((1 << width) - 1)]
+
+
+def _known(names: np.ndarray, bits: np.ndarray, width: int) -> np.ndarray:
+    """Which names have all their bits in the bitmap."""
+    known = np.ones(len(names), dtype=bool)
+    for place in _probes(names, width):
+        known &= (bits[(place >> np.uint64(6)).astype(np.int64)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+    return known
+
+
 def _bitmap(seeds: DataFrame) -> tuple[np.ndarray, int]:
-    """Bits of the seeds, and how many leading bits of a name say which. There are
-    ``BITS_PER_SEED`` places or more for each seed, so one run in 32 or fewer is known by
-    chance, until there are 2**MOST_BITS: beyond eight million seeds more runs are, which
-    the join of seeds drops. 2**(MOST_BITS - 6) rows at most reach the driver, as Arrow."""
+    """A bitmap with two bits for each seed, and its width. With ``BITS_PER_SEED`` places or
+    more for a seed, at most one run in 16,000 is known by chance; beyond a million seeds
+    the bitmap grows no more and more runs are, which the join of seeds drops.
+    2**(MOST_BITS - 6) rows at most reach the driver, as Arrow."""
     wanted = max(seeds.select("seed").distinct().count(), 1) * BITS_PER_SEED
-    width = min(max((wanted - 1).bit_length(), 6), MOST_BITS)
-    bit = F.shiftrightunsigned("seed", 64 - width)
-    one = F.expr(f"shiftleft(1L, cast(shiftrightunsigned(seed, {64 - width}) & 63 as int))")
-    rows = seeds.groupBy(F.shiftrightunsigned(bit, 6).alias("place")).agg(F.bit_or(one).alias("bits")).toArrow()
+    width = min(max((wanted - 1).bit_length(), LEAST_BITS), MOST_BITS)
+    both = F.array(F.shiftrightunsigned("seed", 64 - width), F.col("seed").bitwiseAND(F.lit((1 << width) - 1)))
+    one = F.expr("shiftleft(1L, cast(bit & 63 as int))")
+    words = seeds.select(F.explode(both).alias("bit")).groupBy(F.shiftrightunsigned("bit", 6).alias("place"))
+    rows = words.agg(F.bit_or(one).alias("bits")).toArrow()
     bits = np.zeros(1 << (width - 6), dtype=np.uint64)
     bits[rows["place"].to_numpy()] = rows["bits"].to_numpy().view(np.uint64)
     return bits, width
@@ -101,8 +115,7 @@ def _suspects(docs: DataFrame, seeds: DataFrame, match: int) -> DataFrame:
         found, owner = [], []
         for size in lengths:
             names, text = _runs(texts, size)
-            bit = names >> np.uint64(64 - width)
-            known = (bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63))) & np.uint64(1) == 1
+            known = _known(names, bits, width)
             found.append(names[known])
             owner.append(text[known])
         names, text = np.concatenate(found), np.concatenate(owner)

@@ -216,7 +216,7 @@ def test_repetitive_texts_are_tiled_in_bounded_time():
     assert time.process_time() - began < 3
 
 
-@pytest.mark.parametrize("most_bits, limit", [(28, 1 << 26), (6, 0)])
+@pytest.mark.parametrize("most_bits, limit", [(28, 1 << 26), (8, 0)])
 def test_leaks_like_the_plain_search(spark, monkeypatch, most_bits, limit):
     """Also with seeds too many for a broadcast, which are spread, and for the bitmap."""
     monkeypatch.setattr(decontaminate, "MOST_BITS", most_bits)
@@ -236,14 +236,15 @@ def test_leaks_like_the_plain_search(spark, monkeypatch, most_bits, limit):
 
 def test_bitmap_grows_with_the_seeds_and_knows_all(spark):
     rng = np.random.default_rng(3)
-    for n in (0, 1, 700, 40_000):
+    others = rng.integers(0, 1 << 64, 1_000_000, dtype=np.uint64)
+    for n, expected in ((0, 25), (1, 25), (700, 25), (150_000, 26)):
         names = rng.integers(0, 1 << 64, n, dtype=np.uint64)
         seeds = spark.createDataFrame(pa.table({"seed": pa.array(names.view(np.int64))}))
         bits, width = decontaminate._bitmap(seeds)
-        bit = names >> np.uint64(64 - width)
-        assert len(bits) == 1 << (width - 6) and 32 * n <= 1 << width <= max(64, 64 * n)
-        assert np.all(bits[(bit >> np.uint64(6)).astype(np.int64)] >> (bit & np.uint64(63)) & np.uint64(1) == 1)
-        assert sum(int(word).bit_count() for word in bits) == len(set(bit.tolist()))
+        assert width == expected and len(bits) == 1 << (width - 6)
+        assert decontaminate._known(names, bits, width).all()
+        assert decontaminate._known(others, bits, width).mean() < 1 / 16_000
+        assert sum(int(word).bit_count() for word in bits[bits > 0]) == len(set(np.concatenate(decontaminate._probes(names, width)).tolist()))
 
 
 def test_leaks(spark):
