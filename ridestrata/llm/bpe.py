@@ -10,21 +10,18 @@ size is that of one tokenizer file, whatever the data."""
 
 import heapq
 import json
-import re
+from array import array
 from collections.abc import Iterator
 from hashlib import sha256
 
+import numpy as np
 import pyarrow as pa
-import regex
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-CACHE = 500_000  #: stretches and pieces that a worker remembers
-
-#: The white space of Unicode, and the pieces of byte-level BPE.
-WHITE = "\t-\r \x85\xa0  -     　"
-PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
+from ridestrata.llm.stretches import Stretches, portions
 
 
 def byte_characters() -> dict[int, str]:
@@ -35,7 +32,7 @@ def byte_characters() -> dict[int, str]:
     return {b: chr(b) for b in shown} | {b: chr(256 + i) for i, b in enumerate(hidden)}
 
 
-class ByteBpe:
+class ByteBpe(Stretches):
     """A tokenizer from the parts of its file: vocabulary, merges, added tokens."""
 
     def __init__(self, vocabulary: dict[str, int], merges: list[tuple[str, str]], added: dict[str, int]):
@@ -43,19 +40,23 @@ class ByteBpe:
         self.strings = {str(number): bytes(as_byte[c] for c in token) for token, number in vocabulary.items()}
         self.strings |= {str(number): token.encode() for token, number in added.items()}
         self.byte_ids = [vocabulary.get(c, -1) for _, c in sorted(byte_characters().items())]
-        # Merges by rank: the pair of ids as one number, and the id that they make.
-        self.ranks = {vocabulary[a] << 32 | vocabulary[b]: rank for rank, (a, b) in enumerate(merges)}
+        # Merges: by the left id, the rank of each right id; by rank, the id that they make.
+        self.ranks: dict[int, dict[int, int]] = {}
+        for rank, (a, b) in enumerate(merges):
+            self.ranks.setdefault(vocabulary[a], {})[vocabulary[b]] = rank
         self.made = [vocabulary[a + b] for a, b in merges]
         self.added = added
         self._compile()
 
+    pieces_kept = 300_000  #: a piece takes longer to merge than to find
+
     def _compile(self) -> None:
-        self._known_chunks: dict[str, str] = {}
-        self._known_pieces: dict[str, str] = {}
-        longest_first = sorted(self.added, key=len, reverse=True)
-        self._added = re.compile("(" + "|".join(map(re.escape, longest_first)) + ")") if self.added else None
-        self._chunks = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-        self._pieces = regex.compile(PIECES)
+        last, none = max(map(int, self.strings), default=-1), {}
+        self._rights = [self.ranks.get(number, none).get for number in range(last + 1)] + [none.get]
+        self.begin(self.added)
+        numbers = [str(number) for number in range(last + 1)]
+        self._decimals = pa.array(numbers, pa.large_string())
+        self._bytes = pa.array([self.strings.get(number) for number in numbers], pa.large_binary())
 
     def __getstate__(self):
         return {name: self.__dict__[name] for name in ("strings", "byte_ids", "ranks", "made", "added")}
@@ -68,67 +69,69 @@ class ByteBpe:
         """Ids of one piece. A queue entry is a rank and a place in one number; it is
         stale if the symbols there no longer make a pair of that rank."""
         ids = [self.byte_ids[byte] for byte in piece]
-        n, rank_of, made = len(ids), self.ranks.get, self.made
-        queue = []
-        for i in range(n - 1):
-            rank = rank_of(ids[i] << 32 | ids[i + 1])
-            if rank is not None:
-                queue.append(rank << 32 | i)
+        n, rights, made = len(ids), self._rights, self.made
+        shift = max(13, n.bit_length())
+        place = (1 << shift) - 1
+        # The rank of each symbol with the one after it, -1 if they do not merge.
+        ranks = [rights[a](b, -1) for a, b in zip(ids, ids[1:])]
+        ranks.append(-1)
+        queue = [rank << shift | i for i, rank in enumerate(ranks) if rank >= 0]
         if not queue:
             return ids
         heapq.heapify(queue)
+        pop, push = heapq.heappop, heapq.heappush
         before, after = list(range(-1, n - 1)), list(range(1, n + 1))
         while queue:
-            entry = heapq.heappop(queue)
-            rank, i = entry >> 32, entry & 0xFFFFFFFF
-            j = after[i]
-            if ids[i] < 0 or j >= n or rank_of(ids[i] << 32 | ids[j]) != rank:
+            entry = pop(queue)
+            rank, i = entry >> shift, entry & place
+            if ranks[i] != rank:
                 continue
-            ids[i], ids[j] = made[rank], -1
+            j, ids[i] = after[i], made[rank]
+            ids[j] = ranks[j] = -1
             after[i] = j = after[j]
             if j < n:
                 before[j] = i
-                rank = rank_of(ids[i] << 32 | ids[j])
-                if rank is not None:
-                    heapq.heappush(queue, rank << 32 | i)
+                ranks[i] = rank = rights[ids[i]](ids[j], -1)
+                if rank >= 0:
+                    push(queue, rank << shift | i)
+            else:
+                ranks[i] = -1
             h = before[i]
             if h >= 0:
-                rank = rank_of(ids[h] << 32 | ids[i])
-                if rank is not None:
-                    heapq.heappush(queue, rank << 32 | h)
+                ranks[h] = rank = rights[ids[h]](ids[i], -1)
+                if rank >= 0:
+                    push(queue, rank << shift | h)
         return [number for number in ids if number >= 0]
 
-    def _piece(self, piece: str) -> str:
-        return self._remembered(self._known_pieces, piece, ",".join(map(str, self.merge(piece.encode()))))
+    def piece_ids(self, piece: str) -> bytes:
+        return array("I", self.merge(piece.encode())).tobytes()
 
-    def _chunk(self, chunk: str) -> str:
-        """Ids of a stretch without inner white space, or of white space alone, joined
-        by commas. Pieces do not reach over the ends of such a stretch."""
-        known = self._known_pieces.get
-        ids = ",".join([known(piece) or self._piece(piece) for piece in self._pieces.findall(chunk)])
-        return self._remembered(self._known_chunks, chunk, ids)
-
-    def _remembered(self, known: dict[str, str], text: str, ids: str) -> str:
-        if len(text) <= 64:
-            if len(known) >= (CACHE if known is self._known_chunks else CACHE // 2):
-                known.clear()
-            known[text] = ids
-        return ids
+    def special(self, text: str) -> np.ndarray:
+        parts, at = [], 0
+        for token in self.added_tokens.finditer(text) if self.added else ():
+            parts += [self.of_stretches(text[at : token.start()]), [self.added[token[0]]]]
+            at = token.end()
+        return np.concatenate([*parts, self.of_stretches(text[at:])]).astype(np.uint32)
 
     def encode_joined(self, text: str) -> str:
         """The ids of a text in decimal, joined by commas."""
-        parts = self._added.split(text) if self._added else [text]
-        known, out = self._known_chunks.get, []
-        for number, part in enumerate(parts):
-            if number % 2:
-                out.append(str(self.added[part]))
-            else:
-                out.extend([known(c) or self._chunk(c) for c in self._chunks.findall(part)])
-        return ",".join(out)
+        return ",".join(map(str, self.encode(text)))
 
     def encode(self, text: str) -> list[int]:
-        joined = self.encode_joined(text)
-        return [int(number) for number in joined.split(",")] if joined else []
+        return self.encode_array(text).tolist()
+
+    def coded(self, texts: pa.StringArray) -> tuple[np.ndarray, pa.Array, pa.Array]:
+        """Of each text, none of which is null: the number of its ids, these in decimal
+        joined by commas, and the bytes of their strings, one after another."""
+        ids = self.encode_all(texts)
+        sizes = np.array([len(found) for found in ids], np.int64)
+        ends = pa.array(np.concatenate([[0], np.cumsum(sizes)]), pa.int32())
+        flat = pa.array(np.concatenate(ids))
+        joined = [
+            pc.binary_join(pa.ListArray.from_arrays(ends, of_id.take(flat)), pa.scalar(between, of_id.type))
+            for of_id, between in ((self._decimals, ","), (self._bytes, b""))
+        ]
+        return sizes, *joined
 
     def decode_joined(self, joined: str) -> str:
         """Text of ids in decimal; bytes that are no UTF-8 become U+FFFD."""
@@ -169,10 +172,10 @@ def token_ids(docs: DataFrame, bpe: ByteBpe) -> DataFrame:
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            for row in range(0, batch.num_rows, 256):
-                part = batch.slice(row, 256)
-                ids = [bpe.encode(text or "") for text in part["text"].to_pylist()]
-                yield pa.RecordBatch.from_arrays([part["doc_id"], pa.array(ids, pa.list_(pa.int32()))], ["doc_id", "ids"])
+            for part in portions(batch, "text"):
+                ids = bpe.encode_all(pc.fill_null(part["text"], ""))
+                lists = pa.array([found.astype(np.int32) for found in ids], pa.list_(pa.int32()))
+                yield pa.RecordBatch.from_arrays([part["doc_id"], lists], ["doc_id", "ids"])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         batches, "doc_id long, ids array<int>"
@@ -188,18 +191,18 @@ def coded(docs: DataFrame, bpe: ByteBpe) -> DataFrame:
     columns than doc_id and text are not read. The string of an added token in a text
     is that token."""
 
-    def digests(text: str) -> tuple[int, str, str]:
-        ids = bpe.encode_joined(text)
-        decoded = bpe.decode_joined(ids).encode()
-        n = ids.count(",") + 1 if ids else 0
-        return n, sha256(ids.encode()).hexdigest(), sha256(decoded).hexdigest()
+    def digest(text: bytes) -> str:
+        return sha256(text).hexdigest()
 
     def batches(rows: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in rows:
-            found = [digests(text.as_py() or "") for text in batch["text"]]
-            if found:
-                columns = [pa.array(column) for column in zip(*found)]
-                yield pa.RecordBatch.from_arrays([batch["doc_id"], *columns], ["doc_id", *CODED.names])
+            for part in portions(batch, "text"):
+                sizes, joined, decoded = bpe.coded(pc.fill_null(part["text"], ""))
+                ids_sha256 = [digest(ids.encode()) for ids in joined.to_pylist()]
+                # Bytes that are no UTF-8 become U+FFFD.
+                texts = [digest(found.decode("utf-8", "replace").encode()) for found in decoded.to_pylist()]
+                columns = [pa.array(sizes), pa.array(ids_sha256), pa.array(texts)]
+                yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], ["doc_id", *CODED.names])
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         batches, T.StructType([T.StructField("doc_id", T.LongType()), *CODED])

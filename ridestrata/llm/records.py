@@ -18,7 +18,6 @@ holds one line of the manifest per file.
 """
 
 import json
-import re
 from codecs import charmap_decode
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -31,7 +30,6 @@ import public_tokenizers
 import pyarrow as pa
 import pyarrow.compute as pc
 import pyarrow.fs
-import regex
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -44,7 +42,8 @@ from pyspark.sql.datasource import (
 )
 from tokenizers import Tokenizer
 
-from ridestrata.llm.bpe import PIECES, WHITE, byte_characters
+from ridestrata.llm.bpe import byte_characters
+from ridestrata.llm.stretches import ROWS_TOGETHER, Stretches, portions
 from ridestrata.operators.stored import CLEANUP
 
 ROWS = "doc_id long, start long, ids array<int>"
@@ -53,9 +52,6 @@ HEAD, FOOT, ENTRY = 12, 12, 16  #: bytes before and after a payload and its own
 CHUNK = 64  #: bytes whose checksum is taken in one step, for all chunks at once
 READ = 4 << 20  #: bytes that a reader asks for at a time, unless one record is larger
 BLOCK = 50_000  #: records of a reading task
-REMEMBERED = 300_000  #: words whose ids a worker remembers, and as many older ones
-ROWS_TOGETHER = 2048  #: rows that a task encodes and frames together
-MARKS = frozenset(",.;:!?)\"")  #: single marks behind a word: a piece each
 _MASK = np.uint32(0xA282EAD8)  #: fixed value of the format
 
 
@@ -184,6 +180,11 @@ class RecordWriter(DataSourceArrowWriter):
         self.path, self.tokenizer = options["path"], options.get("tokenizer")
         self.end = np.array([int(options["end_id"])] if "end_id" in options else [], np.uint32)
 
+    def _portions(self, rows: pa.RecordBatch) -> Iterator[pa.RecordBatch]:
+        if self.tokenizer:
+            return portions(rows, "text")
+        return (rows.slice(row, ROWS_TOGETHER) for row in range(0, rows.num_rows, ROWS_TOGETHER))
+
     def _ids(self, rows: pa.RecordBatch) -> list[np.ndarray]:
         if self.tokenizer:
             found = _encoder(self.tokenizer).encode_all(pc.fill_null(rows["text"], ""))
@@ -198,8 +199,7 @@ class RecordWriter(DataSourceArrowWriter):
         name, at, tokens, records = f"part-{partition:06d}-{uuid4().hex}", 0, 0, 0
         with files.open_output_stream(f"{folder}/{name}.records") as data, files.open_output_stream(f"{folder}/{name}.index") as index:
             for batch in iterator:
-                for row in range(0, batch.num_rows, ROWS_TOGETHER):
-                    part = batch.slice(row, ROWS_TOGETHER)
+                for part in self._portions(batch):
                     ids = self._ids(part)
                     frames, lengths = framed(part["doc_id"], ids)
                     sizes = np.array([len(found) for found in ids], np.int64)
@@ -351,16 +351,10 @@ class TokenRecords(DataSource):
         return RecordWriter(dict(self.options))
 
 
-class Encoder:
-    """The tokenizers library, with a memory for words.
-
-    Pieces of byte-level BPE do not reach over the ends of a stretch: white space ends
-    one, and its last blank goes with the word after it. So the ids of a text are those
-    of its stretches, one after another, and those of a stretch are those of its pieces,
-    which the library's model encodes. In texts whose words stand one blank or one or two
-    line feeds apart, stretches are the parts between blanks; Arrow finds the different
-    ones of many texts, and each is looked up once. A text that may hold an added token
-    goes to the library as it is, and so does every text of a tokenizer of another kind."""
+class Encoder(Stretches):
+    """The tokenizers library, with a memory for stretches and pieces, which the library's
+    model encodes. A text that may hold an added token goes to the library as it is, and so
+    does every text of a tokenizer of another kind."""
 
     def __init__(self, tokenizer: str):
         self.library = Tokenizer.from_str(tokenizer)
@@ -376,87 +370,17 @@ class Encoder:
             and not split.get("add_prefix_space")
             and split.get("use_regex", True)
         )
-        added = "|".join(re.escape(token["content"]) for token in parts["added_tokens"]) or "\0"
-        self.added = re.compile(added)
-        self.uneven = rf"[\x00{WHITE.replace(' ', '').replace(chr(9) + '-', chr(9) + chr(11) + '-')}]|  | \n|\n |\n\n\n|^[ \n]|[ \n]$|{added}"
-        self.stretches = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
-        self.pieces = regex.compile(PIECES)
         self.shown = "".join(character for _, character in sorted(byte_characters().items()))
         self.as_bytes = [number.to_bytes(4, "little") for number in range(self.library.get_vocab_size())]
-        self.words: dict[str, bytes] = {}
-        self.older: dict[str, bytes] = {}
-        self.known: dict[str, bytes] = {}
+        self.begin(token["content"] for token in parts["added_tokens"])
 
     def encode(self, text: str) -> np.ndarray:
-        if not self.by_pieces or self.added.search(text):
-            return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
-        known = self.known.get
-        return np.frombuffer(b"".join([known(p) or self._stretch(p) for p in self.stretches.findall(text)]), np.uint32)
-
-    def encode_all(self, texts: pa.StringArray) -> list[np.ndarray]:
-        """Ids of each text; there is no null."""
-        uneven = np.ones(len(texts), bool)
-        if self.by_pieces:
-            uneven = pc.match_substring_regex(texts, self.uneven).to_numpy(zero_copy_only=False)
-        found: list[np.ndarray] = [None] * len(texts)  # type: ignore[list-item]
-        for row in np.flatnonzero(uneven).tolist():
-            found[row] = self.encode(texts[row].as_py())
-        even = np.flatnonzero(~uneven)
-        if len(even):
-            for row, ids in zip(even.tolist(), self._even(texts.take(pa.array(even)))):
-                found[row] = ids
-        return found
-
-    def _even(self, texts: pa.StringArray) -> list[np.ndarray]:
-        """Texts as the words between blanks: one that begins a text is marked by a NUL, one
-        behind a line feed holds it."""
-        marked = pc.binary_join_element_wise("\0", pc.replace_substring(texts, "\n", " \n"), "")
-        split = pc.split_pattern(marked, " ")
-        coded = split.flatten().dictionary_encode()
-        known = self.words.get
-        parts = [known(word) or self._word(word) for word in coded.dictionary.to_numpy(zero_copy_only=False)]
-        flat, sizes = np.frombuffer(b"".join(parts), np.uint32), np.array(list(map(len, parts)), np.int64) // 4
-        words = coded.indices.to_numpy()
-        lengths = sizes[words]
-        ends = np.concatenate([[0], np.cumsum(lengths)])
-        # Shifts may wrap round; the places that they give do not.
-        shifts = ((np.cumsum(sizes) - sizes)[words] - ends[:-1]).astype(np.int32)
-        places = np.repeat(shifts, lengths) + np.arange(ends[-1], dtype=np.int32)
-        return np.split(flat[places], ends[split.offsets.to_numpy()[1:-1]])
-
-    def _word(self, word: str) -> bytes:
-        """Ids of a word that is new, or was last met before the memory was full."""
-        ids = self.older.get(word)
-        if ids is None:
-            if word[0] == "\0" or word[0] == "\n":
-                ids = b"".join(map(self._ids, self.stretches.findall(word.lstrip("\0"))))
-            else:
-                ids = self._ids(" " + word)
-        if len(word) <= 64:
-            if len(self.words) >= REMEMBERED:
-                self.older, self.words = self.words, {}
-            self.words[word] = ids
-        return ids
-
-    def _stretch(self, part: str) -> bytes:
-        ids = self._ids(part)
-        if len(part) <= 64:
-            if len(self.known) >= REMEMBERED:
-                self.known.clear()
-            self.known[part] = ids
-        return ids
-
-    def _ids(self, part: str) -> bytes:
-        """Ids of a stretch. ASCII letters alone are one piece, a mark behind them another."""
-        letters = part[1:] if part[0] == " " else part
-        if letters.isascii() and letters.isalpha():
-            return self._piece(part)
-        if letters[:-1].isascii() and letters[:-1].isalpha() and letters[-1] in MARKS:
-            word = self.words.get(letters[:-1]) if part[0] == " " else None
-            return (word or self._piece(part[:-1])) + self._piece(part[-1])
-        return b"".join(map(self._piece, self.pieces.findall(part)))
-
-    def _piece(self, piece: str) -> bytes:
+        return self.encode_array(text)
+
+    def special(self, text: str) -> np.ndarray:
+        return np.array(self.library.encode(text, add_special_tokens=False).ids, np.uint32)
+
+    def piece_ids(self, piece: str) -> bytes:
         shown, as_bytes = charmap_decode(piece.encode(), "strict", self.shown)[0], self.as_bytes
         return b"".join([as_bytes[token.id] for token in self.model.tokenize(shown)])
 

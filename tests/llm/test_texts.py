@@ -67,6 +67,18 @@ def test_coded_rows(spark, bpe, library):
     assert coded(spark.createDataFrame([], DOCS), bpe).count() == 0
 
 
+def test_a_piece_is_merged_once(bpe, monkeypatch):
+    """Marks behind a word, and a text's beginning, do not make it another piece."""
+    merged, merge = [], bpe.merge
+    monkeypatch.setattr(bpe, "merge", lambda piece: merged.append(piece) or merge(piece))
+    bpe.begin(bpe.added)
+    texts = ["so ñuvéqa ñuvéqa, ñuvéqa. (ñuvéqa", "a ñuvéqa&&& ñuvéqa?! <|endoftext|> ñuvéqa"] * 3
+    sizes, joined, decoded = bpe.coded(pa.array(texts))
+    assert merged.count(" ñuvéqa".encode()) == 1
+    for text, size, ids, back in zip(texts, sizes, joined.to_pylist(), decoded.to_pylist()):
+        assert [int(i) for i in ids.split(",")] == bpe.encode(text) and len(bpe.encode(text)) == size and back.decode() == text
+
+
 URLS = [
     "http://A.Example.ORG/en/12?x", "https://example.org/es/", "ftp://org/", "http://org", "x://example.org?/es/",
     None, "", "no scheme", "a://b://c.com/de/1", "http://notexample.org/es/", "http://x.com/fr/#a", "http://com/de/", "http://é.org/ü",
