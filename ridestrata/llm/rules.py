@@ -31,7 +31,7 @@ def _let(value: Column, body) -> Column:
 def _repeat_words(words: Column, hashes: Column, width: int) -> Column:
     """Words in windows of ``width`` words that the text holds twice or more; ``hashes`` has
     one number per word."""
-    places = F.sequence(F.lit(1), F.size(words) - (width - 1))
+    count = F.size(words) - (width - 1)
 
     def covered(starts: Column) -> Column:
         follower = lambda i: F.coalesce(F.get(starts, i + 1), F.lit(2**31 - 1))
@@ -42,14 +42,19 @@ def _repeat_words(words: Column, hashes: Column, width: int) -> Column:
         same = lambda w, i: F.get(order, i)["w"].eqNullSafe(w["w"])
         return F.filter(order, lambda w, i: same(w, i - 1) | same(w, i + 1))
 
+    # Equal windows have equal hashes, so only texts with an equal pair are looked at closely,
+    # and of these only the windows whose hash comes again.
+    named = F.transform(
+        F.slice(hashes, 1, count), lambda first, i: F.xxhash64(first, *[F.get(hashes, i + k) for k in range(1, width)])
+    )
+    suspect = F.size(F.array_distinct(named)) < count
+    numbered = F.transform(named, lambda found, i: F.struct(found.alias("w"), (i + 1).alias("at")))
     windows = F.transform(
-        places, lambda i: F.struct(F.array_join(F.slice(words, i, width), " ").alias("w"), i.alias("at"))
+        _let(F.sort_array(numbered), doubled),
+        lambda near: F.struct(F.array_join(F.slice(words, near["at"], width), " ").alias("w"), near["at"].alias("at")),
     )
-    starts = F.array_sort(F.transform(_let(F.array_sort(windows), doubled), lambda w: w["at"]))
+    starts = F.sort_array(F.transform(_let(F.sort_array(windows), doubled), lambda w: w["at"]))
     exact = _let(starts, covered)
-    # Equal windows have equal hashes, so only texts with an equal pair are looked at closely.
-    named = F.transform(places, lambda i: F.xxhash64(*[F.get(hashes, i + k - 1) for k in range(width)]))
-    suspect = _let(named, lambda found: F.size(F.array_distinct(found)) < F.size(found))
     return F.when(F.size(words) <= width, F.lit(0).cast("long")).when(suspect, exact).otherwise(F.lit(0).cast("long"))
 
 

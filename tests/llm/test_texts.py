@@ -21,7 +21,7 @@ from ridestrata.llm.bpe import coded, load_bpe, token_ids
 from ridestrata.llm.common import bounded_sample
 from ridestrata.llm.decontaminate import covered, leaks, tiles, tokens, without_leaks
 from ridestrata.llm.queries import ORACLE, QUERIES, URL_RULES
-from ridestrata.llm.rules import ruled
+from ridestrata.llm.rules import _hashes, _repeat_words, ruled
 from ridestrata.llm.urls import judged, rule_table
 from tests.compare import difference, duckdb_over
 from tests.llm.brute import plain_leaks, plain_tiles
@@ -125,6 +125,21 @@ def base_row(text):
     return len(words), sum(map(len, words)), symbols, doubled, n, len(words) < 10 or 100 * n > 20 * len(words)
 
 
+def test_repeated_windows_like_a_plain_count(spark):
+    rng = random.Random(7)
+    lists = [[rng.choice("abcdefgh"[: rng.randrange(1, 9)]) for _ in range(n)] for n in range(0, 60) for _ in range(3)]
+    lists += [[*map(str, range(40)), *map(str, range(5, 20)), "x", *map(str, range(5, 10))]]
+    expected = {}
+    for i, words in enumerate(lists):
+        windows = [tuple(words[at : at + 5]) for at in range(len(words) - 4)]
+        expected[i] = len({at + k for at, w in enumerate(windows) if windows.count(w) > 1 for k in range(5)})
+    frame = spark.createDataFrame(list(enumerate(lists)), "i int, w array<string>").withColumn("h", _hashes(F.col("w")))
+    found = frame.select("i", _repeat_words(F.col("w"), F.col("h"), 5).alias("n"))
+    assert {r["i"]: r["n"] for r in found.collect()} == expected
+    # Sorted by their natural order, not by a function that is called for each comparison.
+    assert "array_sort(" not in found._jdf.queryExecution().analyzed().toString()
+
+
 def test_base_rules_and_verdict(spark):
     rng = random.Random(4)
     texts = [" ".join(rng.choices(["a", "bé", "#c", "d|", "\n", "e\te", "f"], k=rng.randrange(80))) for _ in range(60)]
