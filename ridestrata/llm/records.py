@@ -207,6 +207,10 @@ class RecordWriter(DataSourceArrowWriter):
                     data.write(frames)
                     index.write(entries.astype("<i8").tobytes())
                     at, tokens, records = at + len(frames), tokens + int(sizes.sum()), records + part.num_rows
+        # The worker may stand idle beside those that read the files.
+        if self.tokenizer:
+            _encoder(self.tokenizer).forget()
+        pa.default_memory_pool().release_unused()
         return Written(partition, name, records, tokens)
 
     def commit(self, messages: list[Written | None]) -> None:
@@ -387,7 +391,7 @@ class Encoder(Stretches):
 
 @lru_cache(maxsize=1)
 def _encoder(tokenizer: str) -> Encoder:
-    """One memory for all tasks of a worker."""
+    """One tokenizer for all tasks of a worker."""
     return Encoder(tokenizer)
 
 

@@ -15,9 +15,10 @@ import pyarrow as pa
 import pyarrow.compute as pc
 import regex
 
-STRETCHES, PIECES_KEPT = 200_000, 50_000  #: stretches and pieces that a worker remembers, and as many older ones
+STRETCHES = 250_000  #: stretches that a worker remembers, and as many older ones
+RUNS = 10_000  #: runs of marks that a worker remembers
 LONGEST = 64  #: characters of the longest that is remembered
-ROWS_TOGETHER, BYTES_TOGETHER = 1024, 4 << 20  #: rows, and bytes of their texts, that are encoded together
+ROWS_TOGETHER, BYTES_TOGETHER = 1024, 2 << 20  #: rows, and bytes of their texts, that are encoded together
 
 #: The white space of Unicode, the pieces of byte-level BPE, the end of the
 #: Latin blocks whose letters are settled, and the ASCII marks that begin no other piece.
@@ -43,7 +44,7 @@ class Stretches:
     """What encodes whole texts with a memory for stretches and pieces. Ids are unsigned
     32-bit numbers, as bytes or arrays."""
 
-    pieces_kept = PIECES_KEPT
+    pieces_kept = 0  #: pieces that a worker remembers, and as many older ones
     by_pieces = True  #: false if ``special`` has to encode every text
 
     def piece_ids(self, piece: str) -> bytes:
@@ -60,8 +61,13 @@ class Stretches:
         self.uneven = rf"[\x00{apart}]|  | \n|\n |\n\n\n|^[ \n]|[ \n]$|{named}"
         self.stretches = re.compile(f" ?[^{WHITE}]+|[{WHITE}]+(?![^{WHITE}])|[{WHITE}]+")
         self.pieces = regex.compile(PIECES)
+        self.forget()
+
+    def forget(self) -> None:
+        """Start with an empty memory."""
         self._words: dict[str, bytes] = {}
         self._older_words: dict[str, bytes] = {}
+        self._marks: dict[str, bytes] = {}
         self._known: dict[str, bytes] = {}
         self._older: dict[str, bytes] = {}
 
@@ -122,22 +128,28 @@ class Stretches:
     def _ids(self, part: str) -> bytes:
         """Ids of a stretch. Latin letters alone are one piece, marks behind them another."""
         letters = part[1:] if part[0] == " " else part
-        known = self._known.get
         if letters.isalpha() and (letters.isascii() or max(letters) < LATIN):
-            return known(part) or self._piece(part)
+            return self._piece(part)
         head = letters.rstrip(MARKS)
         if head.isalpha() and (head.isascii() or max(head) < LATIN):
             cut = len(part) - len(letters) + len(head)
-            front, marks = part[:cut], part[cut:]
-            return (known(front) or self._piece(front)) + (known(marks) or self._piece(marks))
-        return b"".join([known(piece) or self._piece(piece) for piece in self.pieces.findall(part)])
+            word = self._words.get(head) if part[0] == " " else None
+            marks = part[cut:]
+            return (word or self._piece(part[:cut])) + (self._marks.get(marks) or self._run(marks))
+        return b"".join(map(self._piece, self.pieces.findall(part)))
+
+    def _run(self, marks: str) -> bytes:
+        """Ids of a run of marks that is new."""
+        ids = self.piece_ids(marks)
+        if len(marks) <= LONGEST and len(self._marks) < RUNS:
+            self._marks[marks] = ids
+        return ids
 
     def _piece(self, piece: str) -> bytes:
-        """Ids of a piece that is new, or was last met before the memory was full."""
-        ids = self._older.get(piece)
-        if ids is None:
-            ids = self.piece_ids(piece)
-        if len(piece) <= LONGEST:
+        if not self.pieces_kept:
+            return self.piece_ids(piece)
+        ids = self._known.get(piece) or self._older.get(piece) or self.piece_ids(piece)
+        if len(piece) <= LONGEST and piece not in self._known:
             if len(self._known) >= self.pieces_kept:
                 self._older, self._known = self._known, {}
             self._known[piece] = ids

@@ -9,7 +9,7 @@ import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
-from ridestrata.llm import records
+from ridestrata.llm import records, stretches
 from ridestrata.llm.queries import QUERIES, with_library
 from ridestrata.llm.records import Encoder, crc32c, framed, masked, shuffled_places, token_records, unframed
 
@@ -136,3 +136,23 @@ def test_query(spark, library):
         expected.append((row["doc_id"], start, len(ids), crc32(np.array(ids, "<u4").tobytes())))
         start += len(ids)
     assert sorted(map(tuple, QUERIES["op13_token_records"](spark, SF).collect())) == expected
+
+
+def test_rows_encoded_together_are_bounded(library, monkeypatch):
+    with open(FILE, encoding="utf-8") as file:
+        content = file.read()
+    monkeypatch.setattr(stretches, "STRETCHES", 50)
+    monkeypatch.setattr(Encoder, "pieces_kept", 20)
+    rng = random.Random(5)
+    words = ["the", "Éa", "ñdo,", "a%%%", "x's", "1a", "é!!", "²", "ªb", "ɐb", "中文", "a'", "and..."]
+    texts = [" ".join(rng.choice(words) + rng.choice(["", "b", "ly"]) for _ in range(3000)) for _ in range(600)] + [None, ""]
+    rows = pa.RecordBatch.from_arrays([pa.array(texts)], ["text"])
+    encoder, found = Encoder(content), []
+    for part in stretches.portions(rows, "text"):
+        assert part.num_rows <= stretches.ROWS_TOGETHER
+        assert part.num_rows == 1 or sum(len((t or "").encode()) for t in part["text"].to_pylist()) <= stretches.BYTES_TOGETHER
+        found += encoder.encode_all(part["text"].fill_null(""))
+        assert len(encoder._words) <= 50 and len(encoder._older_words) <= 50 and len(encoder._known) <= 20
+    assert len(found) == len(texts)
+    for text, ids in list(zip(texts, found))[-40:]:
+        assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
