@@ -48,7 +48,9 @@ class ByteBpe(Stretches):
         self.added = added
         self._compile()
 
-    pieces_kept = 300_000  #: a piece takes longer to merge than to find
+    # A piece takes longer to merge than to find, but a worker's memory counts for more.
+    thrift = 2
+    pieces_kept = 50_000
 
     def _compile(self) -> None:
         last, none = max(map(int, self.strings), default=-1), {}
@@ -203,6 +205,9 @@ def coded(docs: DataFrame, bpe: ByteBpe) -> DataFrame:
                 texts = [digest(found.decode("utf-8", "replace").encode()) for found in decoded.to_pylist()]
                 columns = [pa.array(sizes), pa.array(ids_sha256), pa.array(texts)]
                 yield pa.RecordBatch.from_arrays([part["doc_id"], *columns], ["doc_id", *CODED.names])
+        # The worker may stand idle beside others.
+        bpe.forget()
+        pa.default_memory_pool().release_unused()
 
     return docs.select(F.col("doc_id").cast("long"), F.col("text").cast("string")).mapInArrow(
         batches, T.StructType([T.StructField("doc_id", T.LongType()), *CODED])

@@ -44,12 +44,19 @@ class Stretches:
     """What encodes whole texts with a memory for stretches and pieces. Ids are unsigned
     32-bit numbers, as bytes or arrays."""
 
+    thrift = 1  #: how many times fewer stretches are remembered
     pieces_kept = 0  #: pieces that a worker remembers, and as many older ones
     by_pieces = True  #: false if ``special`` has to encode every text
 
     def piece_ids(self, piece: str) -> bytes:
         raise NotImplementedError
 
+    def letter_ids(self, word: str) -> bytes:
+        """Ids of a blank and the ASCII letters behind it: one piece, which is remembered as
+        a stretch and not once more."""
+        piece = " " + word
+        return self._known.get(piece) or self._older.get(piece) or self.piece_ids(piece)
+
     def special(self, text: str) -> np.ndarray:
         """Ids of a text that may hold an added token."""
         raise NotImplementedError
@@ -115,12 +122,14 @@ class Stretches:
         """Ids of a word that is new, or was last met before the memory was full."""
         ids = self._older_words.get(word)
         if ids is None:
-            if word[0] == "\0" or word[0] == "\n":
+            if word.isascii() and word.isalpha():
+                ids = self.letter_ids(word)
+            elif word[0] == "\0" or word[0] == "\n":
                 ids = b"".join(map(self._ids, self.stretches.findall(word.lstrip("\0"))))
             else:
                 ids = self._ids(" " + word)
         if len(word) <= LONGEST:
-            if len(self._words) >= STRETCHES:
+            if len(self._words) * self.thrift >= STRETCHES:
                 self._older_words, self._words = self._words, {}
             self._words[word] = ids
         return ids
@@ -133,7 +142,7 @@ class Stretches:
         head = letters.rstrip(MARKS)
         if head.isalpha() and (head.isascii() or max(head) < LATIN):
             cut = len(part) - len(letters) + len(head)
-            word = self._words.get(head) if part[0] == " " else None
+            word = (self._words.get(head) or self._older_words.get(head)) if part[0] == " " else None
             marks = part[cut:]
             return (word or self._piece(part[:cut])) + (self._marks.get(marks) or self._run(marks))
         return b"".join(map(self._piece, self.pieces.findall(part)))

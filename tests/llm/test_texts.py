@@ -16,7 +16,7 @@ import xxhash
 from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
-from ridestrata.llm import decontaminate, language, quality, toxicity
+from ridestrata.llm import decontaminate, language, quality, stretches, toxicity
 from ridestrata.llm.bpe import coded, load_bpe, token_ids
 from ridestrata.llm.common import bounded_sample
 from ridestrata.llm.decontaminate import covered, leaks, tiles, tokens, without_leaks
@@ -67,6 +67,21 @@ def test_coded_rows(spark, bpe, library):
     assert coded(spark.createDataFrame([], DOCS), bpe).count() == 0
 
 
+def test_a_worker_remembers_a_word_once_and_few_of_them(bpe, monkeypatch):
+    monkeypatch.setattr(stretches, "STRETCHES", 80)
+    bpe.begin(bpe.added)
+    words = ["".join(chr(97 + n // 26**k % 26) for k in range(3)) for n in range(300)]
+    texts = pa.array(["x " + " ".join(words[at : at + 30]) for at in range(0, 300, 30)])
+    for at in range(len(texts)):
+        sizes, joined, decoded = bpe.coded(texts.slice(at, 1))
+        assert joined[0].as_py() == bpe.encode_joined(texts[at].as_py())
+        assert len(bpe._words) <= 40 and len(bpe._older_words) <= 40
+    bpe.begin(bpe.added)
+    bpe.coded(texts.slice(0, 1))
+    assert {word for word in bpe._words if word.isalpha()} and not any(piece[0] == " " for piece in bpe._known)
+    bpe.begin(bpe.added)
+
+
 def test_a_piece_is_merged_once(bpe, monkeypatch):
     """Marks behind a word, and a text's beginning, do not make it another piece."""
     merged, merge = [], bpe.merge
