@@ -375,6 +375,7 @@ class Encoder(Stretches):
             and split.get("use_regex", True)
         )
         self.shown = "".join(character for _, character in sorted(byte_characters().items()))
+        self.blank = self.shown[ord(" ")]
         self.as_bytes = [number.to_bytes(4, "little") for number in range(self.library.get_vocab_size())]
         self.begin(token["content"] for token in parts["added_tokens"])
 
@@ -388,6 +389,10 @@ class Encoder(Stretches):
         shown, as_bytes = charmap_decode(piece.encode(), "strict", self.shown)[0], self.as_bytes
         return b"".join([as_bytes[token.id] for token in self.model.tokenize(shown)])
 
+    def letter_ids(self, word: str) -> bytes:
+        as_bytes = self.as_bytes
+        return b"".join([as_bytes[token.id] for token in self.model.tokenize(self.blank + word)])
+
 
 @lru_cache(maxsize=1)
 def _encoder(tokenizer: str) -> Encoder:

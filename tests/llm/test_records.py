@@ -156,3 +156,14 @@ def test_rows_encoded_together_are_bounded(library, monkeypatch):
     assert len(found) == len(texts)
     for text, ids in list(zip(texts, found))[-40:]:
         assert ids.tolist() == library.encode(text or "", add_special_tokens=False).ids
+
+
+def test_new_words_of_letters_go_to_the_model_as_they_are(library, monkeypatch):
+    with open(FILE, encoding="utf-8") as file:
+        encoder = Encoder(file.read())
+    mapped, piece_ids = [], encoder.piece_ids
+    monkeypatch.setattr(encoder, "piece_ids", lambda piece: mapped.append(piece) or piece_ids(piece))
+    texts = ["So fluxomat zorblings, don't é zorbling b2b", "So fluxomat", "a\nzorbling zorbling's x"]
+    for text, ids in zip(texts, encoder.encode_all(pa.array(texts))):
+        assert ids.tolist() == library.encode(text, add_special_tokens=False).ids
+    assert " fluxomat" not in mapped and " é" in mapped
