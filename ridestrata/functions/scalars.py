@@ -19,8 +19,9 @@ COUNTRY_LABELS = {
 
 
 def blank(text: Column) -> Column:
-    """True for NULL and for text of nothing but spaces (tabs count as text)."""
-    return F.coalesce(F.trim(text) == "", F.lit(True))
+    """True for NULL and for text of nothing but spaces (tabs count as text). What sorts
+    behind the blank is not, and need not be trimmed."""
+    return F.coalesce((text < "!") & (F.trim(text) == ""), F.lit(True))
 
 
 def rounded(value: Column, digits: int) -> Column:

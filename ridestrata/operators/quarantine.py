@@ -11,6 +11,7 @@ from ridestrata.operators.rules import (
     failing_names,
     trip_rules,
     with_drift,
+    with_masks,
 )
 from ridestrata.operators.stored import lookup_join, store
 
@@ -21,12 +22,16 @@ def flag(
     drift: list[Drift] = TRIP_DRIFT,
     across_roles: bool = False,
     drifting: DataFrame | None = None,
+    judged_once: bool = False,
 ) -> DataFrame:
     """All rows with ``is_bad`` and ``failed_rules`` added. ``drifting`` holds the ids
-    (role, id) that drift, if they are known from more rows than these."""
+    (role, id) that drift, if they are known from more rows than these. With
+    ``judged_once`` every rule looks at every row, once; else one that only ``is_bad``
+    needs stops at the first rule that fails."""
     columns = df.columns
     rules = trip_rules() if rules is None else rules
-    marked, drift_rules = with_drift(df, list(drift), across_roles, drifting)
+    judged, rules = with_masks(df, rules) if judged_once else (df, rules)
+    marked, drift_rules = with_drift(judged, list(drift), across_roles, drifting)
     every = [*rules, *drift_rules]
     return marked.select(
         *columns,
@@ -92,8 +97,11 @@ def without_bad_keys(flagged: DataFrame, bad_keys: DataFrame, key: str, strict:
     if not strict:
         keep = keep | F.col(key).isNull()
     kept = flagged.where(keep).drop("is_bad", "failed_rules")
-    good = kept.select(key).where(F.col(key).isNotNull()).distinct()
-    mixed = store(good.join(bad_keys.select(key), key, "left_semi"), "mixed-keys")
+    good = kept.select(key, F.lit(False).alias("_bad"))
+    copies = good.union(bad_keys.select(key, F.lit(True).alias("_bad"))).where(F.col(key).isNotNull())
+    some, every = F.max("_bad").alias("_some"), F.min("_bad").alias("_every")
+    mixed = copies.groupBy(key).agg(some, every).where("_some and not _every").select(key)
+    mixed = store(mixed, "mixed-keys")
     return lookup_join(kept, mixed, [key], "left_anti")
 
 

@@ -152,6 +152,22 @@ def with_drift(
     return df, rules
 
 
+MASK_BITS = 62  #: rules of one mask
+
+
+def with_masks(df: DataFrame, rules: list[Rule], mask: str = "_failed") -> tuple[DataFrame, list[Rule]]:
+    """Add the outcome of rules as bits of numbers; returns the rules that read them. So a
+    row is judged once, what rules share is computed once, and a join or filter behind
+    does not evaluate the rules again."""
+    masks, judged = {}, []
+    for at in range(0, len(rules), MASK_BITS):
+        name = f"{mask}{at // MASK_BITS}"
+        bits = [(rule, F.lit(1 << k).cast("bigint")) for k, rule in enumerate(rules[at : at + MASK_BITS])]
+        masks[name] = reduce(lambda a, b: a.bitwiseOR(b), (F.when(rule.failing, bit).otherwise(F.lit(0).cast("bigint")) for rule, bit in bits))
+        judged += [Rule(rule.name, F.col(name).bitwiseAND(bit) != 0) for rule, bit in bits]
+    return df.withColumns(masks), judged
+
+
 def any_failing(rules: list[Rule]) -> Column:
     return reduce(or_, (F.coalesce(r.failing, F.lit(False)) for r in rules))
 

@@ -146,7 +146,7 @@ def build_models(
     def replaced(df: DataFrame, layer: str, model: str, months: set[Month], by: tuple[str, ...] = MONTH):
         return stage(df, layer, model, by, None if full else of_months(months))
 
-    flagged = flag(bronze.where(in_months(first)), drifting=drifting)
+    flagged = flag(bronze.where(in_months(first)), drifting=drifting, judged_once=True)
     quarantine = replaced(bad_rows(flagged), "bronze", "quarantine", first)
     quarantined = quarantine.rows()
     newly_bad = quarantined.where(in_months(first))
@@ -160,7 +160,7 @@ def build_models(
         touched |= _months_of(lookup_join(others, changed, ["ride_id"], "left_semi"))
 
     if touched != first:
-        flagged = flag(bronze.where(in_months(touched)), drifting=drifting)
+        flagged = flag(bronze.where(in_months(touched)), drifting=drifting, judged_once=True)
     kept = without_bad_keys(flagged, quarantined, "ride_id", strict)
     silver = replaced(kept_to_silver(kept, tz, MONTH), "silver", "trips", touched)
     rows = silver.rows().where(in_months(touched))

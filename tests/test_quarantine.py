@@ -13,7 +13,8 @@ from ridestrata.operators.quarantine import (
     quarantine_ratio_alarm,
     without_quarantined,
 )
-from ridestrata.operators.rules import TRIP_DRIFT, TRIP_TEXT, TRIP_VALUES, ride_length, trip_rules
+from ridestrata.operators.rules import TRIP_DRIFT, TRIP_TEXT, TRIP_VALUES, Rule, ride_length, trip_rules
+from ridestrata.sources.archive import with_month
 from tests.trips import bronze, cells, ids
 
 
@@ -168,3 +169,18 @@ def test_rules_on_another_table(spark):
     clean, bad = quarantine(df, required_value("v"), [Drift("k_drift", "k", "n")])
     assert ids(clean, "k") == ["3"] and ids(bad, "k") == ["1", "1", "2"]
     assert TRIP_DRIFT[0].id_column == "start_station_id"
+
+
+def test_rules_judged_once_give_the_same_flags(spark):
+    rows = bronze(spark, {}, {"ride_id": "  "}, {"ride_id": "\t"}, {"ride_id": "é", "member_casual": None}, {"ended_at": None, "start_lat": None})
+    many = [Rule(f"r{n}", F.length("ride_id") == n % 7) for n in range(70)]
+    for rules in (None, many):
+        plain, once = (flag(rows, rules, judged_once=given) for given in (False, True))
+        assert once.columns == plain.columns
+        assert sorted(map(str, once.collect())) == sorted(map(str, plain.collect()))
+
+
+def test_months_are_read_from_folders(spark):
+    paths = ["file:///a/2024/03/x.csv", "s3a://b/2019/12/2020/01/y.zip"]
+    found = with_month(spark.createDataFrame([(p,) for p in paths], "path string")).collect()
+    assert {(r["path"], r["year"], r["month"]) for r in found} == {(paths[0], 2024, 3), (paths[1], 2020, 1)}
